@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from echoloom import schemas as S
 from echoloom.functions import rules as R
+from echoloom.functions.labels import word_pattern
 from echoloom.session import configure, scratch
 from echoloom.sources import samples as Z
 from echoloom.tables import Store
@@ -88,7 +89,7 @@ def case_label(col, pick):
 
 
 def label_columns(col="message_text"):
-    good, bad = matches(col, R.POSITIVE_WORDS), matches(col, R.NEGATIVE_WORDS)
+    good, bad = (matches(col, word_pattern(w)) for w in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS))
     return f"""{case_label(col, lambda r: q(r[0]))} AS category,
       {case_label(col, lambda r: str(r[1]))}::DOUBLE AS confidence_score,
       {case_label(col, lambda r: q(r[2]))} AS explanation,

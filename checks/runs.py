@@ -174,17 +174,26 @@ def stream_refresh_query(spark, sf):
     return _receipt_rows(spark.read.parquet(f"{store.root}/stage/run=stream-*/receipts"))
 
 
-@query("stream_dedup", """SELECT id, count(*) AS attempts FROM attempts GROUP BY id""")
+@query("stream_dedup", """SELECT id, strftime(min(created_at), '%Y-%m-%d %H:%M:%S.%f') AS accepted_at,
+  min_by(payload, (created_at, payload)) AS payload, count(*) AS attempts,
+  min(payload) <> max(payload) AS conflict FROM (
+  SELECT *, sha256(CAST(to_json({'created_by': created_by, 'message': message, 'rating': rating}) AS VARCHAR))
+    AS payload FROM attempts) GROUP BY id""")
 def stream_dedup_query(spark, sf):
-    """Attempts per ID of the stream's outcomes; each ID has one accepted attempt."""
-    path = scratch(spark, "dedup")
-    outcomes = stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem")))
-    _drain(outcomes.writeStream.format("parquet").option("path", path)
+    """The stream's final state per ID."""
+    return _final(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem"))))
+
+
+def _final(spark, aggregated):
+    """The complete result of a streaming aggregation after all input."""
+    path = scratch(spark, "final")
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(path)
+
+    _drain(aggregated.writeStream.outputMode("complete").foreachBatch(keep)
            .option("checkpointLocation", scratch(spark, "ckpt")).trigger(availableNow=True).start())
-    rows = spark.read.parquet(path)
-    return rows.groupBy("id").agg(F.count("*").alias("attempts"),
-                                  F.count(F.when(F.col("outcome") == "accepted", 1)).alias("a")) \
-        .where("a = 1").drop("a")
+    return spark.read.parquet(path)
 
 
 @query("stream_rate_limit", "SELECT count(*) AS submissions, count(DISTINCT event_type) AS actors FROM events")
@@ -205,11 +214,4 @@ def stream_weekly_query(spark, sf):
     """Weekly sentiment of the submission stream, in complete mode."""
     from echoloom.functions.text import mask
     rows = Z.label(mask(X.read_submissions(Z.submissions_from(Z.stream(spark, sf, "events")))))
-    path = scratch(spark, "weekly")
-
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(path)
-
-    _drain(stream_weekly(rows).writeStream.outputMode("complete").foreachBatch(keep)
-           .option("checkpointLocation", scratch(spark, "ckpt")).trigger(availableNow=True).start())
-    return spark.read.parquet(path)
+    return _final(spark, stream_weekly(rows))

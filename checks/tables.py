@@ -341,7 +341,7 @@ ALL_CATEGORIES = " UNION ALL ".join(
 def issue_type_rules(spark, sf):
     """Every rule family over every message."""
     each = F.explode(F.array(*[F.lit(c) for c in S.ACTIONABLE]))
-    rows = Z.stored(spark, sf).withColumn("category", each)
+    rows = labels.with_ascii(Z.stored(spark, sf)).withColumn("category", each)
     return rows.select("source", "feedback_id", "category", labels.issue_type().alias("issue_type"))
 
 

@@ -1,12 +1,14 @@
 """Review flag, issue rules, keyword labels and display labels."""
 
 import re
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from echoloom import schemas as S
 from echoloom.functions import rules as R
-from echoloom.functions.text import web_trim
+from echoloom.functions.text import ascii_lower, web_trim
 
 
 def review_flag() -> Column:
@@ -29,27 +31,53 @@ def _below(score: Column) -> Column:
     return (score < S.REVIEW_BELOW) & ~F.isnan(score)
 
 
-def _first_match(col: Column, rules, fallback) -> Column:
+# Rules are matched on a lower-cased copy of the text, made once per row as a column of its
+# own: plain alternatives are then byte searches instead of regular expressions.
+
+def with_ascii(df: DataFrame, only: Column = None) -> DataFrame:
+    """Adds `_ascii`, the lower-cased message; `only` limits the work to the rows that need it."""
+    text = ascii_lower(F.coalesce("message_text", F.lit("")))
+    return df.withColumn("_ascii", text if only is None else F.when(only, text))
+
+
+def _hit(pattern: str) -> Column:
+    if set(pattern) & set("^()"):
+        return F.col("_ascii").rlike(pattern)
+    return reduce(or_, [_alternative(p) for p in pattern.split("|")])
+
+
+def _alternative(part: str) -> Column:
+    literal = part.replace("\\.", ".")
+    if re.escape(literal).replace("\\ ", " ").replace("\\-", "-") == part:
+        return F.col("_ascii").contains(literal)
+    return F.col("_ascii").rlike(part)
+
+
+def _first_match(rules, fallback) -> Column:
     expr = F
     for pattern, label in rules:
-        expr = expr.when(_matches(col, pattern), F.lit(label))
+        expr = expr.when(_hit(pattern), F.lit(label))
     return expr.otherwise(F.lit(fallback))
 
 
-def _matches(col: Column, pattern: str) -> Column:
-    return col.rlike(f"(?i)({pattern})")
+def has_rules() -> Column:
+    return F.col("category").isin(list(R.ISSUE_RULES))
 
 
 def issue_type() -> Column:
-    """Only the rule family of the row's category is evaluated."""
-    c, text, expr = F.col("category"), F.col("message_text"), F
+    """Needs `_ascii`. Only the rule family of the row's category is evaluated."""
+    c, expr = F.col("category"), F
     for category, rules in R.ISSUE_RULES.items():
-        expr = expr.when(c == category, _first_match(text, rules, R.ISSUE_FALLBACK[category]))
+        expr = expr.when(c == category, _first_match(rules, R.ISSUE_FALLBACK[category]))
     for category, label in R.ISSUE_CONSTANT.items():
         expr = expr.when(c == category, F.lit(label))
     return expr
 
 
+def with_issue_type(df: DataFrame) -> DataFrame:
+    return with_ascii(df, has_rules()).withColumn("issue_type", issue_type()).drop("_ascii")
+
+
 def issue_cat() -> Column:
     c, expr = F.col("category"), F
     for category, name in R.ISSUE_CATEGORY.items():
@@ -57,12 +85,15 @@ def issue_cat() -> Column:
     return expr.when(F.col("issue_type").isNotNull(), c)
 
 
-def keyword_label(text="message_text") -> Column:
-    """Struct (value, confidence_score, rationale) of the first category rule that matches."""
-    col, expr = F.coalesce(F.col(text), F.lit("")), F
+def with_keyword_label(df: DataFrame) -> DataFrame:
+    """Adds `_label`, the struct (value, confidence_score, rationale) of the first category
+    rule that matches, and `sentiment`."""
+    expr = F
     for pattern, value, score, why in R.CATEGORY_RULES:
-        expr = expr.when(_matches(col, pattern), _label(value, score, why))
-    return expr.otherwise(_label(*R.CATEGORY_DEFAULT))
+        expr = expr.when(_hit(pattern), _label(value, score, why))
+    label = expr.otherwise(_label(*R.CATEGORY_DEFAULT))
+    return _with_words(df).withColumns({"_label": label, "sentiment": _sentiment()}) \
+        .drop("_ascii", "_words")
 
 
 def _label(value, score, why) -> Column:
@@ -70,9 +101,20 @@ def _label(value, score, why) -> Column:
                     F.lit(why).alias("rationale"))
 
 
-def keyword_sentiment(text="message_text") -> Column:
-    col = F.coalesce(F.col(text), F.lit(""))
-    good, bad = _matches(col, R.POSITIVE_WORDS), _matches(col, R.NEGATIVE_WORDS)
+def with_sentiment(df: DataFrame) -> DataFrame:
+    return _with_words(df).withColumn("sentiment", _sentiment()).drop("_ascii", "_words")
+
+
+def _with_words(df: DataFrame) -> DataFrame:
+    words = F.concat(F.lit(" "), F.regexp_replace("_ascii", "[^a-z]", " "), F.lit(" "))
+    return with_ascii(df).withColumn("_words", words)
+
+
+def _sentiment() -> Column:
+    good, bad = [reduce(or_, [F.col("_words").contains(" " + w.removesuffix("*") +
+                                                       ("" if w.endswith("*") else " "))
+                              for w in words])
+                 for words in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS)]
     return (F.when(good & bad, "mixed").when(good, "positive")
             .when(bad, "negative").otherwise("neutral"))
 
@@ -90,6 +132,12 @@ def nice(col) -> Column:
     return F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 2 ** 30))
 
 
+def word_pattern(words) -> str:
+    """The word list as one regular expression (compare without case)."""
+    body = "|".join(w.replace("*", "[a-z]*") for w in words)
+    return f"(^|[^a-z])({body})([^a-z]|$)"
+
+
 def label_python(text: str):
     """The keyword label of one message, for batch models and tests."""
     for pattern, value, score, why in R.CATEGORY_RULES:

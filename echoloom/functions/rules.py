@@ -4,6 +4,9 @@
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 UK_PHONE = r"\b0\d{4}[\s.-]*\d{6}\b"
 INTL_PHONE = r"(\+?\d{1,3}[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}"
+# The e-mail pattern as the engine runs it: a match can only start where a run of local-part
+# characters starts or where the last match ended, which keeps long tokens linear.
+EMAIL_LINEAR = r"(?:\G|(?<![a-zA-Z0-9._%+-]))[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 EMAIL_TOKEN = "[EMAIL]"
 PHONE_TOKEN = "[PHONE]"
 CONTACT_COLUMNS = ["message_text", "user_id", "metadata"]
@@ -54,7 +57,7 @@ ISSUE_CATEGORY = {"BUG_REPORT": "BUG"}
 # (pattern, category, confidence, rationale), first match wins.
 CATEGORY_RULES = [
     (r"^\s*$", "UNCLEAR", 0.2, "The message is empty."),
-    ("please add|would love|i wish|feature request|it would be (great|nice)|could you add",
+    ("please add|would love|i wish|feature request|it would be great|it would be nice|could you add",
      "FEATURE_REQUEST", 0.91, "Asks for a new capability."),
     (r"^(how|where|when|what|can i|do you|is there) .*\?", "QUESTION", 0.88,
      "Asks about existing functionality."),
@@ -64,17 +67,17 @@ CATEGORY_RULES = [
      "Is unhappy with support."),
     ("fee|price|pricing|expensive|overcharged", "COMPLAINT_PRICING", 0.84,
      "Is unhappy with the cost."),
-    ("delivery|delivered|courier|driver|food|order (was|is|never)|arrived|missing",
+    ("delivery|delivered|courier|driver|food|order was|order is|order never|arrived|missing",
      "COMPLAINT_DELIVERY", 0.8, "Is unhappy with a delivery."),
     ("laggy|clunky|confusing|hard to use|sluggish", "COMPLAINT_APP", 0.74,
      "Is unhappy with the app."),
     ("love|great|excellent|amazing|perfect|thank", "PRAISE", 0.9, "Expresses satisfaction."),
 ]
 CATEGORY_DEFAULT = ("UNCLEAR", 0.45, "No category is clearly supported by the message.")
-POSITIVE_WORDS = "(^|[^a-z])(love|great|excellent|amazing|perfect|thanks?|nice|good|happy)([^a-z]|$)"
-NEGATIVE_WORDS = ("(^|[^a-z])(late|cold|wrong|missing|crash[a-z]*|freez[a-z]*|error|broken|fail[a-z]*|"
-                  "stuck|bad|terrible|angry|expensive|laggy|clunky|confusing|never|unhappy|slow)"
-                  "([^a-z]|$)")
+# Whole words; a trailing * matches any ending.
+POSITIVE_WORDS = "love great excellent amazing perfect thank thanks nice good happy".split()
+NEGATIVE_WORDS = ("late cold wrong missing crash* freez* error broken fail* stuck bad terrible angry "
+                  "expensive laggy clunky confusing never unhappy slow").split()
 CLASSIFIER_VERSION = "keyword-labels-v1"
 
 # Whitespace as a browser trims it (Spark's trim strips only the blank).

@@ -1,5 +1,7 @@
 """Contact masking and text matching, as Catalyst expressions."""
 
+import string
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from echoloom.functions import rules as R
@@ -13,7 +15,7 @@ def mask_expr(col) -> Column:
     messages skip the regex passes.
     """
     col = F.col(col) if isinstance(col, str) else col
-    no_mail = F.when(col.contains("@"), F.regexp_replace(col, R.EMAIL, R.EMAIL_TOKEN)).otherwise(col)
+    no_mail = F.when(col.contains("@"), F.regexp_replace(col, R.EMAIL_LINEAR, R.EMAIL_TOKEN)).otherwise(col)
     no_uk = F.regexp_replace(no_mail, R.UK_PHONE, R.PHONE_TOKEN)
     no_phone = F.regexp_replace(no_uk, R.INTL_PHONE, R.PHONE_TOKEN)
     return F.when(col.rlike("[0-9]{3}"), no_phone).otherwise(no_mail)
@@ -28,12 +30,17 @@ def has_contact(cols=None) -> Column:
     found = F.lit(False)
     for c in cols or R.CONTACT_COLUMNS:
         col = F.col(c)
-        hit = ((col.contains("@") & col.rlike(R.EMAIL)) |
+        hit = ((col.contains("@") & col.rlike(R.EMAIL_LINEAR)) |
                (col.rlike("[0-9]{3}") & col.rlike(f"{R.UK_PHONE}|{R.INTL_PHONE}")))
         found = found | F.coalesce(hit, F.lit(False))
     return found
 
 
+def ascii_lower(col) -> Column:
+    """Lower case for A-Z only, as case-insensitive patterns compare."""
+    return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def web_trim(col) -> Column:
     return F.btrim(F.col(col) if isinstance(col, str) else col, F.lit(R.WEB_BLANKS))
 

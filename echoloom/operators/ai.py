@@ -37,9 +37,8 @@ def score(df: DataFrame, make_model) -> DataFrame:
 
 def keyword_scores(df: DataFrame) -> DataFrame:
     """The offline labeller; stays in generated code."""
-    return (df.withColumn("_label", labels.keyword_label())
-            .select("_cache_key", "_label.*", labels.keyword_sentiment().alias("sentiment"),
-                    F.lit(None).cast("string").alias("error_message")))
+    return labels.with_keyword_label(df).select(
+        "_cache_key", "_label.*", "sentiment", F.lit(None).cast("string").alias("error_message"))
 
 
 def classify(df: DataFrame, make_model=None) -> DataFrame:
@@ -53,7 +52,7 @@ def classify(df: DataFrame, make_model=None) -> DataFrame:
 
 
 def sentiment(df: DataFrame) -> DataFrame:
-    return df.withColumn("sentiment", labels.keyword_sentiment())
+    return labels.with_sentiment(df)
 
 
 def parse_response(df: DataFrame) -> DataFrame:
@@ -102,8 +101,8 @@ class KeywordModel:
         texts = batch["message_text"].fillna("")
         out = pd.DataFrame([labels.label_python(t) for t in texts],
                            columns=["value", "confidence_score", "rationale"])
-        good, bad = [texts.map(re.compile(words, re.I | re.A).search).notna().to_numpy()
-                     for words in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS)]
+        good, bad = [texts.map(re.compile(labels.word_pattern(words), re.I | re.A).search)
+                     .notna().to_numpy() for words in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS)]
         out["sentiment"] = np.select([good & bad, good, bad], ["mixed", "positive", "negative"],
                                      "neutral")
         out["error_message"] = None

@@ -15,7 +15,7 @@ SALTS = 32
 
 def assign(df: DataFrame) -> DataFrame:
     """Issue type and category by the ordered keyword rules."""
-    rows = df.withColumn("issue_type", labels.issue_type())
+    rows = labels.with_issue_type(df)
     return rows.withColumn("issue_cat", labels.issue_cat()).select(*S.GROUPED.names)
 
 

@@ -66,9 +66,15 @@ def pass_rates(judged: DataFrame) -> DataFrame:
         F.avg(F.col("passed").cast("double")).alias("pass_rate"))
 
 
+def with_keyword_labels(sample: DataFrame) -> DataFrame:
+    """Adds the keyword labeller's answer as `_label` and `_sentiment`."""
+    from echoloom.functions.labels import with_keyword_label
+    fresh = with_keyword_label(sample.withColumnRenamed("sentiment", "_saved"))
+    return fresh.withColumnsRenamed({"sentiment": "_sentiment", "_saved": "sentiment"})
+
+
 def keyword_scorers() -> dict:
     """Offline judges: does a saved label agree with the keyword labeller?"""
-    from echoloom.functions import labels
-    return {"category_supported": F.col("category") == labels.keyword_label()["value"],
-            "sentiment_supported": F.col("sentiment") == labels.keyword_sentiment(),
+    return {"category_supported": F.col("category") == F.col("_label.value"),
+            "sentiment_supported": F.col("sentiment") == F.col("_sentiment"),
             "explanation_grounded": F.coalesce(F.trim("explanation") != "", F.lit(False))}

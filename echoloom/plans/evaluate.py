@@ -6,6 +6,8 @@ from echoloom.operators import quality as Q
 
 
 def evaluate(saved: DataFrame, scorers: dict = None, n: int = 20) -> DataFrame:
-    """Judge a varied sample of saved rows; the classifier is not called."""
+    """Judge a varied sample of saved rows. Saved labels are judged, never replaced."""
     sample = Q.quality_sample(saved, n)
-    return Q.pass_rates(Q.judge_rows(sample, scorers or Q.keyword_scorers()))
+    if scorers is None:
+        sample, scorers = Q.with_keyword_labels(sample), Q.keyword_scorers()
+    return Q.pass_rates(Q.judge_rows(sample, scorers))

@@ -156,7 +156,8 @@ class Refresh:
         same = (F.col("_saved").isNotNull() & F.col("message_text").eqNullSafe(F.col("_text"))
                 & F.col("category").eqNullSafe(F.col("_category")))
         rows = analyzed.select(*S.ANALYZED.names).join(saved, S.KEYS, "left") \
-            .withColumn("_same", same) \
+            .withColumn("_same", same)
+        rows = labels.with_ascii(rows, ~F.col("_same") & labels.has_rules()) \
             .withColumn("issue_type", F.when(F.col("_same"), F.col("_saved.issue_type"))
                         .otherwise(labels.issue_type())) \
             .withColumn("issue_cat", F.when(F.col("_same"), F.col("_saved.issue_cat"))

@@ -21,6 +21,16 @@ def read_json_export(spark: SparkSession, path, schema, lines=False) -> DataFram
             .options(multiLine=not lines, mode="FAILFAST").json(path))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out to all cores.
+
+    For long texts, whose masking and matching cost far more than moving them. A scan with
+    enough splits, as any large input has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_raw(spark: SparkSession, path, fmt) -> DataFrame:
     """Exploratory load: types are inferred, rows that do not parse keep NULLs."""
     if fmt == "csv":

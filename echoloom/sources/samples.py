@@ -61,12 +61,14 @@ PHRASES = [
     "Discount code gives an error, duplicate charge.",
     "Perfect meal,\tthanks a lot!",
 ]
+LONG_TEXTS = ["documents", "pages", "conversations"]
 BASE_TIME = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; timestamps without zone are read as UTC instants."""
-    return _instants(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    df = _instants(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return X.spread(df) if name in LONG_TEXTS else df
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -161,18 +163,16 @@ def clean(spark, sf) -> DataFrame:
 
 def label(df: DataFrame) -> DataFrame:
     """Keyword labels as columns, with the review flag."""
-    hit = df.withColumn("_label", labels.keyword_label())
-    return hit.select(
+    return labels.with_keyword_label(df).select(
         *S.BASE, F.col("_label.value").alias("category"),
         F.col("_label.confidence_score").alias("confidence_score"),
-        F.col("_label.rationale").alias("explanation"),
-        labels.keyword_sentiment().alias("sentiment"),
+        F.col("_label.rationale").alias("explanation"), "sentiment",
         F.lit(False).alias("uncertain_classification")
     ).withColumn("uncertain_classification", labels.review_flag())
 
 
 def _labelled(rows: DataFrame) -> DataFrame:
-    rows = label(rows).withColumn("issue_type", labels.issue_type())
+    rows = labels.with_issue_type(label(rows))
     return rows.withColumn("issue_cat", labels.issue_cat()).select(*S.GROUPED.names)
 
 

@@ -1,7 +1,6 @@
 """Submission streams: incremental refresh, idempotency and rate limit."""
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from echoloom.operators.submissions import HOUR, payload_hash, rate_limit
 from echoloom.plans.refresh import Refresh
@@ -21,27 +20,15 @@ def stream_refresh(submissions: DataFrame, store: Store, checkpoint: str, make_m
 
 
 def stream_dedup(attempts: DataFrame) -> DataFrame:
-    """Adds `outcome`: accepted for the first payload of an ID, replay for an equal one,
-    conflict for another one. State is one hash per ID."""
-    columns = ["id", "created_at", "payload", "outcome"]
-
-    def judge(key, frames, state: GroupState):
-        kept = state.get[0] if state.exists else None
-        for frame in frames:
-            outcomes = []
-            for payload in frame["payload"]:
-                if kept is None:
-                    kept = payload
-                    state.update((kept,))
-                    outcomes.append("accepted")
-                else:
-                    outcomes.append("replay" if payload == kept else "conflict")
-            yield frame[["id", "created_at", "payload"]].assign(outcome=outcomes)[columns]
-
-    rows = attempts.select("id", "created_at", payload_hash().alias("payload"))
-    return rows.groupBy("id").applyInPandasWithState(
-        judge, "id string, created_at timestamp, payload string, outcome string",
-        "payload string", "append", GroupStateTimeout.NoTimeout)
+    """Per ID: the payload that is kept, the attempts so far and whether another payload was
+    posted. Runs on Spark's own aggregation state, a few values per ID; in update mode a
+    batch emits only the IDs it touched, so each conflict shows up in its batch."""
+    payload = payload_hash()
+    return attempts.select("id", "created_at", payload.alias("payload")).groupBy("id").agg(
+        F.min(F.struct("created_at", "payload")).alias("kept"), F.count("*").alias("attempts"),
+        (F.min("payload") != F.max("payload")).alias("conflict")) \
+        .select("id", F.col("kept.created_at").alias("accepted_at"),
+                F.col("kept.payload").alias("payload"), "attempts", "conflict")
 
 
 def stream_rate_limit(subs: DataFrame, store_path: str, checkpoint: str, limit: int = 10,
