@@ -25,18 +25,25 @@ def slim(df, *extra):
                      "rating", "timestamp", "app_version", "metadata", *extra)
 
 
+_published = {}
+
+
+def published(spark, sf):
+    """A store holding what the load before published; written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _published:
+        store = new_store(spark, "published").bootstrap()
+        rows = Z.previous_grouped(spark, sf)
+        whole = store.write_version("feedback_with_issue_type", rows, "previous")
+        store.write_version("issue_summary", issues.issue_summary(rows), "previous")
+        store.commit("previous", 0, {"feedback_clean": whole, "feedback_analyzed": whole})
+        _published[key] = store
+    return _published[key]
+
+
 def previous_store(spark, sf, name):
-    """A store holding what the load before published."""
-    store = new_store(spark, name).bootstrap()
-    old = Z.previous_grouped(spark, sf)
-    store.write_version("feedback_with_issue_type", old, "previous")
-    rows = store.spark.read.schema(S.GROUPED).parquet(
-        store._path("feedback_with_issue_type", "previous"))
-    store.write_version("feedback_clean", rows, "previous")
-    store.write_version("feedback_analyzed", rows, "previous")
-    store.write_version("issue_summary", issues.issue_summary(rows), "previous")
-    store.commit("previous", 0)
-    return store
+    """A store of its own that starts from the published earlier load."""
+    return new_store(spark, name).start_from(published(spark, sf))
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -77,9 +84,9 @@ def pinned_snapshot_read(spark, sf):
     """Version 1 stays readable after version 2 is published."""
     store = new_store(spark, "pin").bootstrap()
     store.write_version("feedback_clean", Z.previous_clean(spark, sf), "one")
-    store.commit("one", 0)
+    store.commit("one", 0, store.head()["folders"] | {"feedback_clean": store._path("feedback_clean", "one")})
     store.write_version("feedback_clean", Z.clean(spark, sf), "two")
-    store.commit("two", 1)
+    store.commit("two", 1, store.head()["folders"] | {"feedback_clean": store._path("feedback_clean", "two")})
     return slim(store.read("feedback_clean", 1))
 
 
@@ -156,11 +163,11 @@ def cache_insert_only(spark, sf):
   FROM issue_totals""")
 def summary_overwrite(spark, sf):
     """The second summary replaces the first."""
-    store = new_store(spark, "summary")
+    store = new_store(spark, "summary").bootstrap()
     rows = store.save_stage(Z.grouped(spark, sf), "1", "grouped")
     store.write_version("issue_summary", issues.issue_summary(rows.limit(0)), "1")
-    store.write_version("issue_summary", issues.issue_summary(rows), "1")
-    store.commit("1", 0)
+    path = store.write_version("issue_summary", issues.issue_summary(rows), "1")
+    store.commit("1", 0, store.head()["folders"] | {"issue_summary": path})
     return store.read("issue_summary").select("issue_category", "issue_type", "total_messages",
                                               "unique_users")
 
@@ -178,7 +185,7 @@ def run_report_log(spark, sf):
 
 @query("snapshot_clone", f"SELECT {ROW} FROM old_clean")
 def snapshot_clone(spark, sf):
-    source = previous_store(spark, sf, "main")
+    source = published(spark, sf)
     copy = source.clone_to(new_store(spark, "copy"))
     try:
         source.clone_to(copy)

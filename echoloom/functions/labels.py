@@ -1,8 +1,6 @@
 """Review flag, issue rules, keyword labels and display labels."""
 
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,7 +30,8 @@ def _below(score: Column) -> Column:
 
 
 # Rules are matched on a lower-cased copy of the text, made once per row as a column of its
-# own: plain alternatives are then byte searches instead of regular expressions.
+# own: plain alternatives are then byte searches instead of regular expressions. The rule
+# tables become one SQL CASE each.
 
 def with_ascii(df: DataFrame, only: Column = None) -> DataFrame:
     """Adds `_ascii`, the lower-cased message; `only` limits the work to the rows that need it."""
@@ -40,24 +39,22 @@ def with_ascii(df: DataFrame, only: Column = None) -> DataFrame:
     return df.withColumn("_ascii", text if only is None else F.when(only, text))
 
 
-def _hit(pattern: str) -> Column:
+def _hit(pattern: str) -> str:
     if set(pattern) & set("^()"):
-        return F.col("_ascii").rlike(pattern)
-    return reduce(or_, [_alternative(p) for p in pattern.split("|")])
+        return f"rlike(_ascii, r'{pattern}')"
+    return " OR ".join(_alternative(part) for part in pattern.split("|"))
 
 
-def _alternative(part: str) -> Column:
+def _alternative(part: str) -> str:
     literal = part.replace("\\.", ".")
-    if re.escape(literal).replace("\\ ", " ").replace("\\-", "-") == part:
-        return F.col("_ascii").contains(literal)
-    return F.col("_ascii").rlike(part)
+    if set(literal.replace(".", "")) & set("\\?*+[]{}$") or (literal == part and "." in part):
+        return f"rlike(_ascii, r'{part}')"
+    return f"contains(_ascii, '{literal}')"
 
 
-def _first_match(rules, fallback) -> Column:
-    expr = F
-    for pattern, label in rules:
-        expr = expr.when(_hit(pattern), F.lit(label))
-    return expr.otherwise(F.lit(fallback))
+def _case(branches, fallback) -> str:
+    whens = " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches)
+    return f"CASE {whens} ELSE {fallback} END"
 
 
 def has_rules() -> Column:
@@ -66,12 +63,12 @@ def has_rules() -> Column:
 
 def issue_type() -> Column:
     """Needs `_ascii`. Only the rule family of the row's category is evaluated."""
-    c, expr = F.col("category"), F
-    for category, rules in R.ISSUE_RULES.items():
-        expr = expr.when(c == category, _first_match(rules, R.ISSUE_FALLBACK[category]))
-    for category, label in R.ISSUE_CONSTANT.items():
-        expr = expr.when(c == category, F.lit(label))
-    return expr
+    families = [(f"category = '{category}'",
+                 _case([(_hit(p), f"'{name}'") for p, name in rules],
+                       f"'{R.ISSUE_FALLBACK[category]}'"))
+                for category, rules in R.ISSUE_RULES.items()]
+    families += [(f"category = '{c}'", f"'{name}'") for c, name in R.ISSUE_CONSTANT.items()]
+    return F.expr(_case(families, "NULL"))
 
 
 def with_issue_type(df: DataFrame) -> DataFrame:
@@ -88,35 +85,31 @@ def issue_cat() -> Column:
 def with_keyword_label(df: DataFrame) -> DataFrame:
     """Adds `_label`, the struct (value, confidence_score, rationale) of the first category
     rule that matches, and `sentiment`."""
-    expr = F
-    for pattern, value, score, why in R.CATEGORY_RULES:
-        expr = expr.when(_hit(pattern), _label(value, score, why))
-    label = expr.otherwise(_label(*R.CATEGORY_DEFAULT))
-    return _with_words(df).withColumns({"_label": label, "sentiment": _sentiment()}) \
-        .drop("_ascii", "_words")
+    label = _case([(_hit(p), _label(*answer)) for p, *answer in R.CATEGORY_RULES],
+                  _label(*R.CATEGORY_DEFAULT))
+    return with_ascii(df).withColumns({"_label": F.expr(label), "sentiment": _sentiment()}) \
+        .drop("_ascii")
 
 
-def _label(value, score, why) -> Column:
-    return F.struct(F.lit(value).alias("value"), F.lit(score).alias("confidence_score"),
-                    F.lit(why).alias("rationale"))
+def _label(value, score, why) -> str:
+    return (f"named_struct('value', '{value}', 'confidence_score', {score}D, "
+            f"'rationale', '{why}')")
 
 
 def with_sentiment(df: DataFrame) -> DataFrame:
-    return _with_words(df).withColumn("sentiment", _sentiment()).drop("_ascii", "_words")
+    return with_ascii(df).withColumn("sentiment", _sentiment()).drop("_ascii")
 
 
-def _with_words(df: DataFrame) -> DataFrame:
-    words = F.concat(F.lit(" "), F.regexp_replace("_ascii", "[^a-z]", " "), F.lit(" "))
-    return with_ascii(df).withColumn("_words", words)
+def _sentiment() -> Column:
+    good, bad = _has_word(R.POSITIVE_WORDS), _has_word(R.NEGATIVE_WORDS)
+    return F.expr(_case([(f"{good} AND {bad}", "'mixed'"), (good, "'positive'"),
+                         (bad, "'negative'")], "'neutral'"))
 
 
-def _sentiment() -> Column:
-    good, bad = [reduce(or_, [F.col("_words").contains(" " + w.removesuffix("*") +
-                                                       ("" if w.endswith("*") else " "))
-                              for w in words])
-                 for words in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS)]
-    return (F.when(good & bad, "mixed").when(good, "positive")
-            .when(bad, "negative").otherwise("neutral"))
+def _has_word(words) -> str:
+    """The byte search is a cheap necessary condition for the word match."""
+    some = " OR ".join(f"contains(_ascii, '{w.removesuffix('*')}')" for w in words)
+    return f"(({some}) AND rlike(_ascii, r'{word_pattern(words)}'))"
 
 
 def source_label(col="source") -> Column:

@@ -37,8 +37,14 @@ def has_contact(cols=None) -> Column:
 
 
 def ascii_lower(col) -> Column:
-    """Lower case for A-Z only, as case-insensitive patterns compare."""
-    return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
+    """Lower case for A-Z only, as case-insensitive patterns compare.
+
+    `lower` is the fast way and differs in what matters here only for the two characters
+    whose lower case holds an ASCII letter (Kelvin sign, dotted capital I).
+    """
+    odd = col.contains("\u212a") | col.contains("\u0130")
+    slow = F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(odd, slow).otherwise(F.lower(col))
 
 
 def web_trim(col) -> Column:

@@ -78,17 +78,12 @@ def split_responses(df: DataFrame):
 
 
 def extract_labels(df: DataFrame) -> DataFrame:
-    """Label columns read from the saved JSON by path."""
-    doc = F.try_parse_json("classification_json")
-
-    def path(name, dtype):
-        return F.try_variant_get(doc, f"$.response[0].{name}", dtype)
-
+    """Label columns read from the saved JSON, each document parsed once."""
     keep = [c for c in df.columns if c in S.BASE or c == "_cache_key"]
-    return df.select(*keep, path("value", "string").alias("category"),
-                     path("confidence_score", "double").alias("confidence_score"),
-                     path("rationale", "string").alias("explanation"), "sentiment",
-                     F.lit(False).alias("uncertain_classification"))
+    return parse_response(df).select(
+        *keep, F.col("value").alias("category"), F.col("score").alias("confidence_score"),
+        F.col("rationale").alias("explanation"), "sentiment",
+        F.lit(False).alias("uncertain_classification"))
 
 
 class KeywordModel:

@@ -52,12 +52,16 @@ def union_retained(incoming: DataFrame, old: DataFrame) -> DataFrame:
     return incoming.select(*S.BASE).unionByName(retained(old, incoming).select(*S.BASE))
 
 
+def text_digest(col="message_text"):
+    """Saved texts take part in joins as digests only, so they are not shuffled."""
+    return F.sha2(col, 256)
+
+
 def reuse_labels(prepared: DataFrame, prior: DataFrame) -> DataFrame:
     """Rows whose saved text is unchanged: current columns with the saved labels."""
-    saved = prior.select(*S.KEYS, F.col("message_text").alias("_text"), *S.LABELS)
+    saved = prior.select(*S.KEYS, text_digest().alias("_text"), *S.LABELS)
     both = prepared.select(*S.BASE).join(saved, S.KEYS)
-    return both.where(F.col("message_text").eqNullSafe(F.col("_text"))) \
-        .select(*S.BASE, *S.LABELS)
+    return both.where(text_digest().eqNullSafe(F.col("_text"))).select(*S.BASE, *S.LABELS)
 
 
 def pending(prepared: DataFrame, prior: DataFrame, version=None) -> DataFrame:
@@ -66,10 +70,10 @@ def pending(prepared: DataFrame, prior: DataFrame, version=None) -> DataFrame:
     Keys are unique on both sides, so an anti join on key and text is the same as an anti
     join on the keys of the reused rows, with one join fewer.
     """
-    saved = prior.select(*S.KEYS, "message_text").alias("a")
+    saved = prior.select(*S.KEYS, text_digest().alias("_text")).alias("a")
     p = prepared.select(*S.BASE).alias("p")
     same = ((F.col("p.source") == F.col("a.source")) & (F.col("p.feedback_id") == F.col("a.feedback_id"))
-            & F.col("p.message_text").eqNullSafe(F.col("a.message_text")))
+            & text_digest("p.message_text").eqNullSafe(F.col("a._text")))
     rows = p.join(saved, same, "left_anti")
     return rows.withColumn("_cache_key", cache_key(version) if version else cache_key())
 
@@ -84,10 +88,10 @@ def attach(rows: DataFrame, cache: DataFrame) -> DataFrame:
 
 def reuse_groups(analyzed: DataFrame, old: DataFrame) -> DataFrame:
     """Saved issue membership where neither text nor category changed."""
-    saved = old.select(*S.KEYS, F.col("message_text").alias("_text"),
+    saved = old.select(*S.KEYS, text_digest().alias("_text"),
                        F.col("category").alias("_category"), *S.ISSUES)
     both = analyzed.select(*S.BASE, *S.LABELS).join(saved, S.KEYS)
-    same = (F.col("message_text").eqNullSafe(F.col("_text"))
+    same = (text_digest().eqNullSafe(F.col("_text"))
             & F.col("category").eqNullSafe(F.col("_category")))
     return both.where(same).select(*S.GROUPED.names)
 

@@ -44,6 +44,10 @@ class Refresh:
     def step(self, name, *args) -> dict:
         """One step with its report. A failing report never hides the step's own error."""
         metrics = self.metrics[name] = {"processed": 0, "skipped": 0, "failed": 0}
+        if name != "publish" and self.store.has_published(self.run_id):
+            # The stages of a published run are the published tables: a replay keeps them.
+            metrics.update(self._saved_metrics(name))
+            return metrics
         try:
             getattr(self, name)(metrics, *args)
         except Exception as error:
@@ -60,6 +64,12 @@ class Refresh:
     def _report(self, name, status, metrics):
         self.store.record_report(self.run_id, name, status, json.dumps(metrics))
 
+    def _saved_metrics(self, name) -> dict:
+        row = self.store.reports().where((F.col("run_id") == self.run_id) & (F.col("step") == name)
+                                         & (F.col("status") == "SUCCEEDED")) \
+            .orderBy(F.desc("recorded_at")).first()
+        return json.loads(row["report"]) if row else {}
+
     def pinned(self) -> int:
         return self.stage("baseline").first()["version"]
 
@@ -77,22 +87,22 @@ class Refresh:
         head = self.store.head()
         if head is None:
             raise ValueError("baseline tables are missing; run bootstrap first")
-        if head["run_id"] != self.run_id:     # a repeated run keeps its first pin
-            self.save(self.store.spark.createDataFrame([(head["version"],)], "version BIGINT"),
-                      "baseline")
+        self.save(self.store.spark.createDataFrame([(head["version"],)], "version BIGINT"),
+                  "baseline")
         flagged = I.dedupe(incoming).withColumns({"_malformed": G.malformed_rating(),
                                                   "_bad": G.bad_record()})
         loaded = self.save(mask(flagged), "incoming")
         load = G.row(G.key_violations(
             loaded, weight="_copies", malformed=F.col("_malformed"), bad=F.col("_bad"),
-            empty=G.empty_key(), contacts=G.contact_left()))
+            empty=G.empty_key()))
         metrics["input_rows"] = load["checked_rows"]
         G.enforce(load, {"malformed": "store reviews have invalid ratings",
                          "bad": "records have invalid dates, text or ratings",
                          "duplicate_keys": "keys have conflicting payloads in these exports",
-                         "empty": IDENTITY, "contacts": CONTACTS}, metrics)
+                         "empty": IDENTITY}, metrics)
         metrics["deduplicated"] = load["checked_rows"] - load["keys"]
 
+        # The contact gate runs on the result, which holds every masked row of the load.
         result = self.save(I.align(loaded, self.baseline("feedback_clean")), "prepared")
         status = F.col("_status")
         total = G.row(G.key_violations(
@@ -150,10 +160,10 @@ class Refresh:
     def group(self, metrics):
         """Issue membership: saved groups stay for unchanged text and category."""
         analyzed, old = self.stage("analyzed"), self.baseline("feedback_with_issue_type")
-        saved = old.select(*S.KEYS, F.col("message_text").alias("_text"),
+        saved = old.select(*S.KEYS, I.text_digest().alias("_text"),
                            F.col("category").alias("_category"),
                            F.struct(*S.ISSUES).alias("_saved"))
-        same = (F.col("_saved").isNotNull() & F.col("message_text").eqNullSafe(F.col("_text"))
+        same = (F.col("_saved").isNotNull() & I.text_digest().eqNullSafe(F.col("_text"))
                 & F.col("category").eqNullSafe(F.col("_category")))
         rows = analyzed.select(*S.ANALYZED.names).join(saved, S.KEYS, "left") \
             .withColumn("_same", same)
@@ -183,31 +193,41 @@ class Refresh:
                        issue_types=sums["types"])
 
     def publish(self, metrics):
-        """Write the four tables as a new version and switch to it with one log row."""
+        """Switch to the new version of the four tables with one log row.
+
+        A stage that holds every saved key is the result of the upsert already and is
+        published in place; otherwise the upsert is written.
+        """
         pin, head = self.pinned(), self.store.head()
         grouped = self.stage("grouped").select(*S.GROUPED.names)
-        published = head["run_id"] == self.run_id
+        published = self.store.has_published(self.run_id)
         if not published and head["version"] != pin:
             raise G.GateFailure("baseline", 1, "publication happened since this run started; "
                                                "start a fresh run")
         old = self.baseline("feedback_with_issue_type")
-        metrics["processed"] = I.record_diff(grouped, old, S.GROUPED.names).count()
+        change = F.col("change")
+        diff = I.record_diff(grouped, old, S.GROUPED.names).agg(
+            F.count("*").alias("all"), F.count(F.when(change == "removed", 1)).alias("kept")).first()
+        metrics["processed"] = diff["all"]
         if not published:
-            self._write_tables(grouped, old)
-            final = self.store.spark.read.schema(S.GROUPED).parquet(
-                self.store._path("feedback_with_issue_type", self.run_id))
+            analyzed, prior = self.stage("analyzed"), self.baseline("feedback_analyzed")
+            lacking = {"feedback_clean": 0,      # prepared holds the retained rows
+                       "feedback_analyzed": G.missing_rows(prior, analyzed).count(),
+                       "feedback_with_issue_type": diff["kept"]}
+            stages = {"feedback_clean": "prepared", "feedback_analyzed": "analyzed",
+                      "feedback_with_issue_type": "grouped"}
+            folders = {"issue_summary": self.store.stage_path(self.run_id, "summary")}
+            for name, stage in stages.items():
+                folders[name] = self.store.stage_path(self.run_id, stage)
+                if lacking[name]:
+                    merged = I.upsert(self.baseline(name), self.stage(stage), S.KEYS,
+                                      S.PUBLISHED[name].names)
+                    folders[name] = self.store.write_version(name, merged, self.run_id)
+            name = "feedback_with_issue_type"
+            final = self.store.read_folder(name, folders[name])
             G.enforce(G.row(G.unique_keys(final)), {"duplicate_keys": IDENTITY,
                                                     "empty_keys": IDENTITY}, metrics)
-            self.store.commit(self.run_id, pin)
+            self.store.commit(self.run_id, pin, folders)
         got = grouped.agg(F.count("*").alias("n"),
                           F.count(F.when(F.col("uncertain_classification"), 1)).alias("r")).first()
         metrics.update(skipped=got["n"] - metrics["processed"], total=got["n"], needs_review=got["r"])
-
-    def _write_tables(self, grouped, old):
-        stages = {"feedback_clean": self.stage("prepared"), "feedback_analyzed": self.stage("analyzed")}
-        for name, rows in stages.items():
-            merged = I.upsert(self.baseline(name), rows, S.KEYS, S.PUBLISHED[name].names)
-            self.store.write_version(name, merged, self.run_id)
-        self.store.write_version("issue_summary", self.stage("summary"), self.run_id)
-        merged = I.upsert(old, grouped, S.KEYS, S.GROUPED.names)
-        self.store.write_version("feedback_with_issue_type", merged, self.run_id)

@@ -21,14 +21,15 @@ def read_json_export(spark: SparkSession, path, schema, lines=False) -> DataFram
             .options(multiLine=not lines, mode="FAILFAST").json(path))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than cores, dealt out to all cores.
+def few_splits(df: DataFrame) -> bool:
+    """True for a scan that would leave cores idle, as a small or unsplittable file does."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
 
-    For long texts, whose masking and matching cost far more than moving them. A scan with
-    enough splits, as any large input has, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+def deal_out(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores, for scans with few splits: masking and matching a text
+    costs far more than moving it."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def load_raw(spark: SparkSession, path, fmt) -> DataFrame:

@@ -61,19 +61,32 @@ PHRASES = [
     "Discount code gives an error, duplicate charge.",
     "Perfect meal,\tthanks a lot!",
 ]
-LONG_TEXTS = ["documents", "pages", "conversations"]
+LARGE = ["documents", "pages", "conversations", "events", "orders", "lineitem"]
 BASE_TIME = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; timestamps without zone are read as UTC instants."""
-    df = _instants(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-    return X.spread(df) if name in LONG_TEXTS else df
+    path = f"{sf_dir}/{name}.parquet"
+    schema, few = _describe(spark, path)
+    df = _instants(spark.read.schema(schema).parquet(path))
+    return X.deal_out(df) if name in LARGE and few else df
+
+
+_known = {}
+
+
+def _describe(spark, path):
+    """(schema, has few splits) of a given file, looked up once."""
+    if path not in _known:
+        df = spark.read.parquet(path)
+        _known[path] = df.schema, X.few_splits(df)
+    return _known[path]
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a file stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    schema, _ = _describe(spark, f"{sf_dir}/{name}.parquet")
     return _instants(spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
                      .parquet(sf_dir))
 
@@ -84,7 +97,7 @@ def _instants(df: DataFrame) -> DataFrame:
 
 
 def phrase(key: Column, shift=0) -> Column:
-    items = F.array(*[F.lit(p) for p in PHRASES])
+    items = F.expr("array({})".format(", ".join(f'"{p}"' for p in PHRASES)))
     return F.element_at(items, ((key + shift) % len(PHRASES) + 1).cast("int"))
 
 

@@ -1,8 +1,9 @@
 """Run-scoped stages and published versions, as plain parquet folders.
 
-Every publication writes complete new folders and then appends one row to the publication
-log. The log's last row names the current version of all four tables, so readers switch at
-once, a pinned version never changes, and input is never overwritten while it is read.
+A version of a table is a complete folder that is never written again. A publication appends
+one row to the publication log that names the folders of all four tables, so readers switch
+at once and a pinned version never changes. A stage that already is the complete new table
+is published as it is, without another copy.
 """
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from echoloom import schemas as S
 
-LOG = "version BIGINT, run_id STRING, parent BIGINT, published_at TIMESTAMP"
+LOG = ("version BIGINT, run_id STRING, parent BIGINT, folders MAP<STRING, STRING>, "
+       "published_at TIMESTAMP")
 
 
 class Store:
@@ -56,23 +58,36 @@ class Store:
     def versions(self) -> DataFrame:
         return self._log()
 
+    def has_published(self, run_id) -> bool:
+        log = self._log()
+        return log is not None and bool(log.where(F.col("run_id") == run_id).take(1))
+
     def read(self, name, version=None) -> DataFrame:
         """A published table, at the current or at a pinned version."""
         entry = self.head() if version is None else \
             self._log().where(F.col("version") == version).first()
         if entry is None:
             raise ValueError(f"no published version {version} of {name}")
-        return self.spark.read.schema(S.PUBLISHED[name]).parquet(self._path(name, entry["run_id"]))
+        return self.read_folder(name, entry["folders"][name])
+
+    def read_folder(self, name, folder) -> DataFrame:
+        return self.spark.read.schema(S.PUBLISHED[name]).parquet(folder)
 
-    def write_version(self, name, df: DataFrame, run_id):
+    def write_version(self, name, df: DataFrame, run_id) -> str:
+        """Write a complete table for a run; returns its folder."""
+        path = self._path(name, run_id)
         df.select(*[F.col(f.name).cast(f.dataType) for f in S.PUBLISHED[name]]) \
-            .write.mode("overwrite").parquet(self._path(name, run_id))
+            .write.mode("overwrite").parquet(path)
+        return path
 
-    def commit(self, run_id, parent):
-        """Make the run's folders current: one appended log row."""
+    def commit(self, run_id, parent, folders=None):
+        """Make the run's folders current: one appended log row. Tables without a folder
+        were written by `write_version`."""
+        paths = {name: (folders or {}).get(name, self._path(name, run_id)) for name in S.PUBLISHED}
         row = self.spark.range(1).select(
             F.lit(parent + 1).cast("bigint").alias("version"), F.lit(run_id).alias("run_id"),
             F.lit(parent).cast("bigint").alias("parent"),
+            F.create_map(*[F.lit(x) for pair in paths.items() for x in pair]).alias("folders"),
             F.current_timestamp().alias("published_at"))
         row.coalesce(1).write.mode("append").json(f"{self.root}/publications")
 
@@ -84,6 +99,14 @@ class Store:
             self.commit("bootstrap", -1)
         return self
 
+    def start_from(self, other: "Store"):
+        """Begin at the other store's current tables without copying them."""
+        if self.head() is not None:
+            raise FileExistsError(f"{self.root} already holds published tables")
+        head = other.head()
+        self.commit(head["run_id"], head["version"] - 1, head["folders"])
+        return self
+
     def clone_to(self, other: "Store"):
         """Snapshot copy of the current tables; fails if the target has tables already."""
         if other.head() is not None:
