@@ -304,7 +304,7 @@ def classify_feedback(spark, sf):
   explanation AS rationale, sentiment FROM ({ANSWER})""")
 def udf_model_scoring(spark, sf):
     """The same labels through the batch-model interface."""
-    return ai.score(_keyed(spark, sf), ai.KeywordModel).drop("error_message")
+    return ai.score(_keyed(spark, sf), ai.keyword_model()).drop("error_message")
 
 
 @query("analyze_sentiment", f"""SELECT source, feedback_id, sentiment FROM (

@@ -1,7 +1,5 @@
 """Review flag, issue rules, keyword labels and display labels."""
 
-import re
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from echoloom import schemas as S
@@ -129,11 +127,3 @@ def word_pattern(words) -> str:
     """The word list as one regular expression (compare without case)."""
     body = "|".join(w.replace("*", "[a-z]*") for w in words)
     return f"(^|[^a-z])({body})([^a-z]|$)"
-
-
-def label_python(text: str):
-    """The keyword label of one message, for batch models and tests."""
-    for pattern, value, score, why in R.CATEGORY_RULES:
-        if re.search(pattern, text or "", re.I | re.A):
-            return value, score, why
-    return R.CATEGORY_DEFAULT

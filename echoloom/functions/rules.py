@@ -65,7 +65,7 @@ CATEGORY_RULES = [
      "BUG_REPORT", 0.86, "Describes a technical malfunction."),
     ("support agent|customer service|refund|no reply|ticket", "COMPLAINT_SUPPORT", 0.82,
      "Is unhappy with support."),
-    ("fee|price|pricing|expensive|overcharged", "COMPLAINT_PRICING", 0.84,
+    ("fees|service fee|price|pricing|expensive|overcharged", "COMPLAINT_PRICING", 0.84,
      "Is unhappy with the cost."),
     ("delivery|delivered|courier|driver|food|order was|order is|order never|arrived|missing",
      "COMPLAINT_DELIVERY", 0.8, "Is unhappy with a delivery."),

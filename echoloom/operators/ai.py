@@ -1,5 +1,6 @@
 """Labelling: keyword rules as one expression, or a batch model over Arrow batches."""
 
+import re
 from typing import Protocol
 
 import numpy as np
@@ -7,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from echoloom import schemas as S
-from echoloom.functions import labels
+from echoloom.functions import labels, rules as R
 
 SCORED = ("_cache_key string, value string, confidence_score double, rationale string, "
           "sentiment string, error_message string")
@@ -86,19 +87,31 @@ def extract_labels(df: DataFrame) -> DataFrame:
         F.lit(False).alias("uncertain_classification"))
 
 
-class KeywordModel:
-    """The keyword labeller behind the batch-model interface."""
+def keyword_model():
+    """`make_model` for the keyword labeller behind the batch interface.
 
-    def predict(self, batch: pd.DataFrame) -> pd.DataFrame:
-        import re
-
-        from echoloom.functions import rules as R
-        texts = batch["message_text"].fillna("")
-        out = pd.DataFrame([labels.label_python(t) for t in texts],
-                           columns=["value", "confidence_score", "rationale"])
-        good, bad = [texts.map(re.compile(labels.word_pattern(words), re.I | re.A).search)
-                     .notna().to_numpy() for words in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS)]
-        out["sentiment"] = np.select([good & bad, good, bad], ["mixed", "positive", "negative"],
-                                     "neutral")
-        out["error_message"] = None
-        return out
+    Rules and class travel with the task, so workers need no copy of this package.
+    """
+    rules, default = R.CATEGORY_RULES, R.CATEGORY_DEFAULT
+    words = [labels.word_pattern(w) for w in (R.POSITIVE_WORDS, R.NEGATIVE_WORDS)]
+
+    class KeywordModel:
+        def __init__(self):
+            flags = re.I | re.A
+            self.rules = [(re.compile(p, flags), answer) for p, *answer in rules]
+            self.good, self.bad = [re.compile(w, flags) for w in words]
+
+        def answer(self, text):
+            return next((a for p, a in self.rules if p.search(text)), default)
+
+        def predict(self, batch: pd.DataFrame) -> pd.DataFrame:
+            texts = batch["message_text"].fillna("")
+            out = pd.DataFrame([self.answer(t) for t in texts],
+                               columns=["value", "confidence_score", "rationale"])
+            good, bad = [texts.map(w.search).notna().to_numpy() for w in (self.good, self.bad)]
+            out["sentiment"] = np.select([good & bad, good, bad], ["mixed", "positive", "negative"],
+                                         "neutral")
+            out["error_message"] = None
+            return out
+
+    return KeywordModel
