@@ -140,10 +140,14 @@ def missing_rows(expected: DataFrame, actual: DataFrame, keys=None) -> DataFrame
 
 def reconcile(summary: DataFrame, active: DataFrame) -> DataFrame:
     """Messages by summary and by rows; one row."""
-    left = summary.agg(F.coalesce(F.sum("total_messages"), F.lit(0)).cast("bigint").alias("summary_messages"))
-    right = active.agg(F.count("*").alias("active_messages"))
-    return left.crossJoin(right).withColumn(  # one row on each side
-        "reconciles", F.col("summary_messages") == F.col("active_messages"))
+    def counts(df, by_summary, by_rows):
+        return df.select(by_summary.cast("bigint").alias("s"), by_rows.cast("bigint").alias("a"))
+
+    both = counts(summary, F.col("total_messages"), F.lit(0)).unionByName(
+        counts(active, F.lit(0), F.lit(1)))
+    total = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n)
+                       for c, n in [("s", "summary_messages"), ("a", "active_messages")]])
+    return total.withColumn("reconciles", F.col("summary_messages") == F.col("active_messages"))
 
 
 def baseline_unchanged(pinned: dict, current: dict) -> list:

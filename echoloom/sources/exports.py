@@ -5,14 +5,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from echoloom import schemas as S
 
 
-def read_csv_export(spark: SparkSession, path, schema) -> DataFrame:
+def read_csv_export(spark: SparkSession, path, schema, multi_line=True) -> DataFrame:
     """Header CSV; a malformed row fails the read.
 
     Quoted line breaks and doubled quotes are read as RFC 4180 writes them. Such a file is
-    read by one task, so large exports should arrive as many files.
+    read by one task: send large exports as many files, or, if no field holds a line break,
+    turn `multi_line` off so that files are split.
     """
     return (spark.read.schema(schema)
-            .options(header=True, mode="FAILFAST", multiLine=True, escape='"').csv(path))
+            .options(header=True, mode="FAILFAST", multiLine=multi_line, escape='"').csv(path))
 
 
 def read_json_export(spark: SparkSession, path, schema, lines=False) -> DataFrame:

@@ -97,7 +97,7 @@ def _instants(df: DataFrame) -> DataFrame:
 
 
 def phrase(key: Column, shift=0) -> Column:
-    items = F.expr("array({})".format(", ".join(f'"{p}"' for p in PHRASES)))
+    items = F.expr("array({})".format(", ".join(f"'{p}'" for p in PHRASES)))
     return F.element_at(items, ((key + shift) % len(PHRASES) + 1).cast("int"))
 
 
