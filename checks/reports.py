@@ -168,15 +168,17 @@ def _actors(spark, sf):
         F.concat(F.lit("actor_"), F.col("event_type")).alias("created_by"), F.col("ts").alias("created_at"))
 
 
-@query("rate_limit", """SELECT event_id::VARCHAR AS id, 'actor_' || event_type AS created_by,
+RATE_LIMIT = """SELECT event_id::VARCHAR AS id, 'actor_' || event_type AS created_by,
   strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
   list_contains(kept, event_id) AS accepted FROM events JOIN (
   SELECT event_type, list_transform(list_reduce(
-      list([epoch_us(ts), event_id] ORDER BY ts, event_id::VARCHAR),
+      list([[epoch_us(ts), event_id]] ORDER BY ts, event_id::VARCHAR),
       lambda acc, x: CASE WHEN len(list_filter(acc[-4:], lambda a: a[1] > x[1][1] - 3600000000)) >= 4
         THEN acc ELSE list_concat(acc, x) END, []), lambda a: a[2]) AS kept
   FROM (SELECT event_type, ts, event_id FROM events) GROUP BY event_type) USING (event_type)"""
-       .replace("list([epoch_us(ts), event_id] ORDER BY", "list([[epoch_us(ts), event_id]] ORDER BY"))
+
+
+@query("rate_limit", RATE_LIMIT)
 def rate_limit(spark, sf):
     """At most four accepted per actor and hour, so that some are refused at any scale."""
     return U.rate_limit(_actors(spark, sf), limit=4)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.base import (CTES, FLAG, ISSUE_CAT, four, issue_type_case, label_columns, labelled, masked_rows,
                          new_store, query, stamp)
-from checks.reports import SAMPLE, WEEKS, _actors
+from checks.reports import RATE_LIMIT, SAMPLE, WEEKS
 from checks.tables import ROW, previous_store, slim
 from echoloom import schemas as S
 from echoloom.operators import ai, issues, submissions as U
@@ -196,7 +196,7 @@ def _final(spark, aggregated):
     return spark.read.parquet(path)
 
 
-@query("stream_rate_limit", "SELECT count(*) AS submissions, count(DISTINCT event_type) AS actors FROM events")
+@query("stream_rate_limit", RATE_LIMIT)
 def stream_rate_limit_query(spark, sf):
     path = scratch(spark, "limit")
     events = Z.stream(spark, sf, "events")
@@ -204,8 +204,7 @@ def stream_rate_limit_query(spark, sf):
                          F.concat(F.lit("actor_"), F.col("event_type")).alias("created_by"),
                          F.col("ts").alias("created_at"))
     _drain(stream_rate_limit(subs, path, scratch(spark, "ckpt"), limit=4))
-    return spark.read.parquet(path).agg(F.count("accepted").alias("submissions"),
-                                        F.count_distinct("created_by").alias("actors"))
+    return spark.read.parquet(path).drop("batch")
 
 
 @query("stream_weekly_sentiment", f"""SELECT CAST(CAST(date_trunc('week', "timestamp") AS DATE) AS VARCHAR) AS week,
