@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 QUERIES, ORACLES = {}, {}
 
@@ -49,3 +49,35 @@ def op6_near_dups(spark, sf_dir):
     """Near-duplicate components of all documents."""
     from echoloom.llm.near_dups import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register(rf"""
+WITH {SHINGLES},
+  b AS MATERIALIZED (SELECT item_id, regexp_extract_all({LOWER}, {WORDS}) AS w FROM benchmark),
+  t AS MATERIALIZED (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS g FROM b),
+  m AS (SELECT item_id, count(*) AS n_item FROM t GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, round(count(*) / n_item, 6) AS containment
+FROM t JOIN s USING (g) JOIN m USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING 10 * count(*) >= 8 * n_item""")
+def op1_decontaminate(spark, sf_dir):
+    """Benchmark items that documents contain."""
+    from echoloom.llm.decontaminate import contaminated
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key").withColumn("containment", F.round("containment", 6))
+
+
+@register()
+def op2_line_chunks(spark, sf_dir):
+    """All documents without chunks of lines that stand elsewhere before."""
+    from echoloom.llm.line_chunks import dedup_lines
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_removed_chunks", "n_removed_lines", "removed_bytes", "text")
+
+
+@register()
+def op8_quality_classifier(spark, sf_dir):
+    """A quality score for every document."""
+    from echoloom.llm.quality import quality_scores
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -16,20 +16,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-FILTER_BITS = 24
+FILTER_BITS = 25
 
 
 def bit_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of 2^bits bits over 64-bit keys: 2 MB whatever the number of keys.
+    """A bitmap of 2^bits bits over 64-bit keys: 4 MB whatever the number of keys.
 
     With many keys it only passes more rows; a join decides after it, so results don't depend on it.
     """
     slot = F.expr(f"`{column}` & {(1 << bits) - 1}L")
     words = (keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).collect())
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow())
     out = np.zeros(1 << (bits - 6), np.int64)
-    for r in words:
-        out[r["word"]] = r["bits"]
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 
@@ -68,3 +67,19 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         before = now
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             .union(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, text and row_key: rows equal in doc_id and text have one key and get one decision."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("row_key", F.xxhash64("doc_id", "text"))
+
+
+def let_through(df: DataFrame, bitmap: np.ndarray, column: str = "row_key") -> DataFrame:
+    """Rows whose key may be in the bitmap."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passes(bitmap, batch.column(column).to_numpy())))
+    return df.mapInArrow(run, df.schema)

@@ -18,7 +18,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _random = np.random.default_rng(20240501)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE[_SEPARATOR] = 0
+_NEWLINE = np.zeros(256, bool)
+_NEWLINE[10] = True
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = _random.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -65,13 +66,13 @@ def pieces(table, column: str, most: int = PIECE):
         yield table.slice(int(a), int(b - a))
 
 
-def _hash_piece(data, begins, lower):
+def _hash_piece(data, begins, lower, table):
     """Hashes, first bytes and byte lengths of the words; a word also ends at each text's begin."""
     global _POWERS
     if lower:
         data = _LOWER[data]
     at = np.arange(len(data), dtype=np.int64)
-    separator = _SEPARATOR[data]
+    separator = table[data]
     last = np.where(separator, at, -1)
     begins = begins[begins < len(data)]
     last[begins] = np.maximum(last[begins], begins - 1)
@@ -82,19 +83,22 @@ def _hash_piece(data, begins, lower):
     longest = int(place.max()) + 1
     if longest > len(_POWERS):
         _POWERS = _powers(longest)
-    sums = np.add.reduceat(_BYTE[data] * _POWERS[place * ~separator], starts)
+    place[separator] = 0
+    values = _BYTE[data] * _POWERS[place]
+    values[separator] = 0
+    sums = np.add.reduceat(values, starts)
     lengths = np.add.reduceat((~separator).astype(np.int64), starts)
     return mix(sums + lengths.astype(np.uint64) * np.uint64(_BASE)), starts, lengths
 
 
-def word_hashes(column, lower=True, spans=False):
+def word_hashes(column, lower=True, spans=False, table=_SEPARATOR):
     """(hashes of all words, word offsets by text); with `spans` also first byte and byte length of each word.
 
     Bytes count from the begin of the column's first text. Pieces end at separators or text ends.
     """
     data, offsets = buffers(column)
     if len(data) <= 2 * PIECE:
-        hashes, starts, lengths = _hash_piece(data, offsets[:-1], lower)
+        hashes, starts, lengths = _hash_piece(data, offsets[:-1], lower, table)
         found = [(hashes, starts, lengths)]
     else:
         found, a = [], 0
@@ -103,7 +107,7 @@ def word_hashes(column, lower=True, spans=False):
             if b < len(data):
                 step = PIECE
                 while True:
-                    cut = np.flatnonzero(_SEPARATOR[data[a:b]])
+                    cut = np.flatnonzero(table[data[a:b]])
                     if len(cut):
                         b = a + int(cut[-1]) + 1
                         break
@@ -112,7 +116,7 @@ def word_hashes(column, lower=True, spans=False):
                     b = min(b + step, len(data))
                     step *= 2
             lo, hi = np.searchsorted(offsets, [a, b])
-            h, s, n = _hash_piece(data[a:b], offsets[lo:hi] - a, lower)
+            h, s, n = _hash_piece(data[a:b], offsets[lo:hi] - a, lower, table)
             found.append((h, s + a, n))
             a = b
     hashes, starts, lengths = (np.concatenate(x) for x in zip(*found))
@@ -120,6 +124,11 @@ def word_hashes(column, lower=True, spans=False):
     return (hashes, by_text, starts, lengths) if spans else (hashes, by_text)
 
 
+def line_hashes(column):
+    """As `word_hashes` with spans, of the lines that are not empty, bytes as they are."""
+    return word_hashes(column, lower=False, spans=True, table=_NEWLINE)
+
+
 def shingles(hashes, by_text, size=SHINGLE):
     """(hashes of all `size`-word windows in order, offsets by text); a text of fewer words is one shingle."""
     n = np.diff(by_text)
