@@ -29,8 +29,9 @@ WINDOW = 512
 AGREE = 36
 BLOCK = 1 << 20
 PERCENT = 85
+KEY, LOST, LOST_ID = "__echoloom_key", "__echoloom_lost", "__echoloom_lost_id"
 _KEY = np.random.default_rng(77).integers(1, 1 << 62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SKETCH = "doc_id long, n_shingles long, digest binary, signature binary"
+_SKETCH = "doc_id long, row_key long, n_shingles long, digest binary, signature binary"
 
 
 def _sketch(batches):
@@ -47,8 +48,8 @@ def _sketch(batches):
                     digests[i] = hashlib.blake2b(sets[offsets[i]:offsets[i + 1]].tobytes(), digest_size=16).digest()
                     signatures[i] = minima[row].astype(">u4").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [t.column("doc_id").cast(pa.int64()), pa.array(sizes), pa.array(digests, pa.binary()),
-                 pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                [t.column("doc_id"), t.column("row_key"), pa.array(sizes), pa.array(digests, pa.binary()),
+                 pa.array(signatures, pa.binary())], ["doc_id", "row_key", "n_shingles", "digest", "signature"])
 
 
 def _region_key(signatures: np.ndarray, order: int, depth: int) -> np.ndarray:
@@ -158,27 +159,15 @@ def _runs(keys):
     return zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)])
 
 
-def _full_sets(bitmap):
-    """Digest and full set of the texts that may belong to a family."""
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("doc_id").cast(pa.int64())
-            key = words.mix(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            wanted = batch.filter(pa.array(shared.passes(bitmap, key) | ids.is_null().to_numpy(zero_copy_only=False)))
-            for t in words.pieces(wanted, "text"):
-                sets, offsets = words.distinct(*words.shingles(*words.word_hashes(t.column("text"))))
-                full = [i for i in range(t.num_rows) if offsets[i + 1] > offsets[i]]
-                parts = [sets[offsets[i]:offsets[i + 1]].tobytes() for i in full]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in parts], pa.binary()),
-                     pa.array(parts, pa.binary())], ["digest", "full"])
-    return run
-
-
-def _id_key(batches):
+def _full_sets(batches):
+    """Digest and full set of the texts."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(words.mix(ids.view(np.uint64)).view(np.int64))], ["key"])
+        for t in words.pieces(batch, "text"):
+            sets, offsets = words.distinct(*words.shingles(*words.word_hashes(t.column("text"))))
+            parts = [sets[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:]) if b > a]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in parts], pa.binary()),
+                 pa.array(parts, pa.binary())], ["digest", "full"])
 
 
 def _links_of(digests, fulls, sides, percent):
@@ -233,19 +222,13 @@ def _confirm(percent):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of `docs` (doc_id long, text string; others are ignored).
-
-    Documents are linked if 100 * |A and B| >= percent * |A or B| over their sets of lower-cased (A-Z) five-word
-    shingles; a text of one to four words is one shingle. Null, empty and blank texts have an empty set and link with
-    nothing. Rows that repeat a doc_id are linked by their own texts and share nothing else. A null doc_id never is a
-    component_id while another row of the component has an ID; its row has kept = false, and a component of only null IDs
-    has component_id null. Ties: the smallest doc_id is kept. An empty table gives no rows.
-    """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _decided(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, row_key, n_shingles, digest, least, own): least is the first row of the component, own this row."""
+    base = shared.identified(docs)
     sketches = shared.saved(base.mapInArrow(_sketch, _SKETCH), "sketch")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
     classes = shared.saved(sketches.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.first("signature").alias("signature"),
+        F.min(own).alias("least"), F.first("signature").alias("signature"),
         F.first("n_shingles").alias("n_shingles")), "classes")
 
     keys = shared.saved(classes.select("digest", "signature").mapInArrow(
@@ -257,7 +240,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = deep.repartition("key").sortWithinPartitions("key", "ranked", "digest").mapInArrow(
         _stars, "a binary, b binary")
     families = shared.saved(shared.components(stars, "families").join(
-        classes.select(F.col("digest").alias("node"), "least", "n_shingles"), "node"), "families")
+        classes.select(F.col("digest").alias("node"), "least.row_key", "n_shingles"), "node"), "families")
 
     blocks = families.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
     placed = (families.join(blocks, "root")
@@ -265,21 +248,44 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
               .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
               .select(F.col("node").alias("digest"), "root", "block",
                       F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")))
-    bitmap = shared.bit_filter(families.where("least IS NOT NULL").select(F.col("least").alias("doc_id")).mapInArrow(
-        _id_key, "key long"), "key")
-    full = base.mapInArrow(_full_sets(bitmap), "digest binary, full binary")
-    full = full.join(families.select(F.col("node").alias("digest")), "digest", "left_semi").dropDuplicates(["digest"])
+    full = (shared.let_through(base, shared.bit_filter(families, "row_key")).mapInArrow(
+        _full_sets, "digest binary, full binary")
+        .join(families.select(F.col("node").alias("digest")), "digest", "left_semi").dropDuplicates(["digest"]))
     links = (placed.join(full, "digest").select("root", "low", "high", "block", "digest", "full")
              .repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
              .mapInArrow(_confirm(percent), "a binary, b binary"))
     linked = shared.components(links, "links").join(
         classes.select(F.col("digest").alias("node"), "least"), "node")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "root").select(F.col("node").alias("digest"), "component_id")
-    own = classes.select("digest", "least")
-    labels = own.join(named, "digest", "left").select(
-        "digest", F.coalesce("component_id", "least").alias("component_id"))
-    return (sketches.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
+    first = linked.groupBy("root").agg(F.min("least").alias("first"))
+    named = linked.join(first, "root").select(F.col("node").alias("digest"), "first")
+    labels = classes.select("digest", "least").join(named, "digest", "left").select(
+        "digest", F.coalesce("first", "least").alias("least"))
+    return sketches.select("doc_id", "row_key", "n_shingles", "digest", own.alias("own")).join(labels, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of `docs`; columns but doc_id and text are ignored.
+
+    Documents are linked if 100 * |A and B| >= percent * |A or B| over their sets of lower-cased (A-Z) five-word
+    shingles; a text of one to four words is one shingle. Null, empty and blank texts have an empty set and link with
+    nothing. Rows that repeat a doc_id are linked by their texts alone. A null doc_id is component_id only where no
+    row of the component has an ID, and its rows have kept = false. Ties: the smallest doc_id is kept. An empty table
+    gives no rows.
+    """
+    return (_decided(docs, percent)
             .select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id"))
+                    .otherwise(F.col("least.doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """`docs` with one row of each component: the smallest doc_id (null last). All columns stay.
+
+    Rows without words are in no component: all stay, but for repeats of one doc_id, as rows equal in doc_id and text
+    count once everywhere.
+    """
+    lost = shared.saved(_decided(docs, percent).where("digest IS NOT NULL AND NOT own <=> least")
+                        .select(F.col("row_key").alias(LOST), F.col("doc_id").alias(LOST_ID)).distinct(), "lost")
+    docs = docs.withColumn(KEY, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    kept = docs.join(lost, (F.col(KEY) == F.col(LOST)) & F.col("doc_id").eqNullSafe(F.col(LOST_ID)), "left_anti")
+    return kept.dropDuplicates([KEY, "doc_id"]).drop(KEY)

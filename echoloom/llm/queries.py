@@ -81,3 +81,12 @@ def op8_quality_classifier(spark, sf_dir):
     """A quality score for every document."""
     from echoloom.llm.quality import quality_scores
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register()
+def op10_mix(spark, sf_dir):
+    """What the mix takes of every document."""
+    from echoloom.llm.mixing import SIZE, copies
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(SIZE).cast("long").alias("size"))
+    return copies(rows).select("doc_id", "size", "source_size", "target",
+                               (F.col("size") * F.col("copies")).alias("taken"), "copies")
