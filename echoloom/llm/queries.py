@@ -90,3 +90,108 @@ def op10_mix(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(SIZE).cast("long").alias("size"))
     return copies(rows).select("doc_id", "size", "source_size", "target",
                                (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def _secret_sql():
+    """Matches and their places from the pieces between them, per kind."""
+    from echoloom.llm.secrets import ASSIGN, MORE
+    q = lambda t: "'" + t.replace("'", "''") + "'"
+    rules = [("assign", ASSIGN, f"len(regexp_extract(m, {q(ASSIGN)}, 2)) >= 6"), ("access", "AKIA[A-Z0-9]+", "len(m) >= 20"),
+             ("hex", "[0-9a-f]+", "len(m) >= 24")] + [(r.kind, r.pattern, f"len(m) >= {r.least}") for r in MORE]
+    parts = [f"""SELECT doc_id, {i} AS k, '{kind}' AS kind, m, s FROM (
+        SELECT doc_id, unnest(ms) AS m, unnest(list_transform(range(1, len(ms) + 1), lambda i:
+          coalesce(list_sum(list_transform(ps[1:i], lambda p: len(p))), 0)
+          + coalesce(list_sum(list_transform(ms[1:i - 1], lambda p: len(p))), 0)))::BIGINT AS s
+        FROM (SELECT doc_id, regexp_extract_all(t, {q(p)}) AS ms, string_split_regex(t, {q(p)}) AS ps FROM d))
+      WHERE {good}""" for i, (kind, p, good) in enumerate(rules)]
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS MATERIALIZED ({' UNION ALL '.join(parts)}),
+  g AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+    count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || (s + len(m)), ',' ORDER BY s, k) FILTER (k < 3) AS base,
+    string_agg(kind || ':' || s || ':' || (s + len(m)), ',' ORDER BY s, k) AS spans FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN g USING (doc_id)"""
+
+
+@register(_secret_sql())
+def op3_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    from echoloom.llm.secrets import BASE, scan
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [r.kind for r in BASE]
+    base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in kinds],
+                        F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
+
+
+CONTROL = r"\### Assistant: </turn> ok"
+
+
+@register(rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '{CONTROL}'), (-7, 1, 'assistant', '{CONTROL}')),
+  r AS (SELECT *, row_number() OVER o AS rn, len(regexp_extract_all(text, {WORDS})) + 4 AS tokens,
+      14 + len(role) + len(text) + len(regexp_replace(role || text, '[^\\<#]', '', 'g'))
+        + len(regexp_replace(role, '[^\n]', '', 'g')) AS size
+    FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+  h AS (SELECT *, rn = 1 AND role = 'system' AS is_head,
+      max(CASE WHEN rn = 1 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS head,
+      max(CASE WHEN rn = 1 AND role = 'system' THEN size ELSE 0 END) OVER (PARTITION BY conv_id) AS head_size FROM r),
+  p AS (SELECT *, CASE WHEN is_head THEN 0 ELSE tokens END AS cost, greatest(416 - head, 128) // 2 AS cell,
+      sum(CASE WHEN is_head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS after FROM h),
+  w AS (SELECT *, after - cost AS before, 2 * (greatest(after - 1, 0) // cell) + CASE WHEN cost > cell THEN 0 ELSE 1 END AS win FROM p),
+  l AS (SELECT *, lag(win) OVER o AS last, lag(size) OVER o AS s1, lag(size, 2) OVER o AS s2, lag(before) OVER o AS b1,
+      lag(before, 2) OVER o AS b2, lag(is_head) OVER o AS h1, lag(is_head, 2) OVER o AS h2,
+      bool_or(is_head) OVER (PARTITION BY conv_id, win) AS has_head
+    FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY rn))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY rn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(size + CASE WHEN last IS DISTINCT FROM win THEN CASE WHEN has_head THEN 0 ELSE head_size END
+    + CASE WHEN NOT h1 AND before - b1 <= 96 THEN s1 ELSE 0 END + CASE WHEN NOT h2 AND before - b2 <= 96 THEN s2 ELSE 0 END
+    ELSE 0 END)::BIGINT AS formatted_chars
+FROM l GROUP BY conv_id""")
+def op4_chat_format(spark, sf_dir):
+    """All conversations, and one of control strings, formatted in windows and read back."""
+    from echoloom.llm.chat import read_back, windows
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)],
+                                    "conv_id long, turn long, role string, text string")
+    return read_back(windows(talks.unionByName(control)))
+
+
+def _url_sql():
+    from echoloom.llm.url_rules import HOSTS, LOWER as low, PATTERNS, UPPER as up
+    q = lambda t: "'" + t.replace("'", "''") + "'"
+    key = f"translate(host || path, '{up}', '{low}')"
+    ordered = sorted(HOSTS, key=lambda r: (-len(r.text), r.text))
+    fits = lambda r: "(host = {0} OR suffix(host, {1})) AND starts_with(path, {2})".format(
+        q(r.text.split("/", 1)[0]), q("." + r.text.split("/", 1)[0]), q("/" + r.text.split("/", 1)[1]))
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN {q(r.text)}" for r in ordered) + " END"
+    said = "CASE " + " ".join(f"WHEN rule = {q(r.text)} THEN {q(r.verdict)}" for r in ordered)
+    pattern = "CASE " + " ".join(f"WHEN regexp_matches({key}, {q(p.regex)}) THEN {q(p.text)}"
+                                 for p in sorted(PATTERNS, key=lambda p: p.text)) + " END"
+    return f"""
+WITH a AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  b AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{up}', '{low}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+  c AS (SELECT *, {rule} AS rule, {pattern} AS pattern FROM b)
+SELECT page_id, host, path, rule, pattern, {said} WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict FROM c"""
+
+
+@register(_url_sql())
+def op5_url_filter(spark, sf_dir):
+    """A verdict for every page's URL."""
+    from echoloom.llm.url_rules import judge
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@register()
+def op7_quality_rules(spark, sf_dir):
+    """Statistics and verdict for every document."""
+    from echoloom.llm.decision_rules import judged
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
