@@ -25,7 +25,7 @@ PRECISION, SUPPORT = 0.97, 4
 FOLDS, HELD_OUT, PRUNE = 5, 0, 4
 MIN_WORDS, REPEAT_PERCENT = 10, 20
 
-_SPACES = r"' \t\n\u000B\f\r'"
+_SPACES = r"' \t\n\u000B\u000C\r'"
 _WORDS = r"filter(split(t, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
 _LINES = r"filter(split(t, '\n'), x -> x rlike '[^\\x20\\x09-\\x0D]')"
 FEATURES = {
@@ -142,9 +142,11 @@ class _Learner:
             rule += (best[2],)
         return rule
 
-    def pruned(self, rule) -> tuple[tuple[Condition, ...], float, float]:
-        """The shortest begin of the rule with the best worth on the pruning rows; its precision there and overall cover."""
+    def pruned(self, rule) -> tuple[Condition, ...]:
+        """The begin of the rule that is precise and worth most on the pruning rows, the shortest of equals; or none."""
         options = [rule[:k] for k in range(1, len(rule) + 1)]
+        if not options:
+            return ()
         sums = []
         for k, r in enumerate(options):
             hit = self.where(r)
@@ -152,11 +154,18 @@ class _Learner:
                 for what in ("bad", "good"):
                     sums.append(F.coalesce(F.sum(F.when(hit & on, F.col(what))), F.lit(0)).alias(f"{name}_{what}_{k}"))
         r = self.cells.agg(*sums).first()
-        worth = [(r[f"prune_bad_{k}"] - r[f"prune_good_{k}"]) / max(1, r[f"prune_bad_{k}"] + r[f"prune_good_{k}"])
-                 for k in range(len(options))]
-        k = max(range(len(options)), key=lambda i: (worth[i], -i))
-        bad, good = r[f"all_bad_{k}"], r[f"all_good_{k}"]
-        return options[k], bad / max(1, bad + good), bad
+        best = ((-2.0, 0), ())
+        for k, option in enumerate(options):
+            bad, good = r[f"all_bad_{k}"], r[f"all_good_{k}"]
+            p, n = r[f"prune_bad_{k}"], r[f"prune_good_{k}"]
+            if bad >= SUPPORT and bad >= PRECISION * (bad + good):
+                best = max(best, (((p - n) / max(1, p + n), -k), option))
+        return best[1]
+
+
+def _bin(value: Column, cuts: list[float]) -> Column:
+    """How many cuts the value reaches."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= value))
 
 
 def learn(stats: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> list[tuple[Condition, ...]]:
@@ -176,17 +185,14 @@ def learn(stats: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     if len(found) < 2:
         return []
     cuts = {f: sorted({v for r in found for v in r[f]}) for f in FEATURES}
-    bins = F.array(*[F.size(F.filter(F.array(*map(F.lit, c)), lambda t, f=f: t <= F.col(f))) for f, c in cuts.items()])
+    bins = F.array(*[_bin(F.col(f), c) for f, c in cuts.items()])
     cells = shared.saved(named.select("grow", bins.alias("bins"), "bad").groupBy("grow", "bins").agg(
         F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")), "rule-cells")
     learner, rules = _Learner(cells, cuts), []
     while len(rules) < MAX_RULES:
-        rule = learner.grown()
+        rule = learner.pruned(learner.grown())
         if not rule:
             break
-        rule, precision, bad = learner.pruned(rule)
-        if precision < PRECISION or bad < SUPPORT:
-            break
         rules.append(rule)
         learner.cells = learner.cells.where(~learner.where(rule))
     return rules

@@ -195,3 +195,10 @@ def op7_quality_rules(spark, sf_dir):
     """Statistics and verdict for every document."""
     from echoloom.llm.decision_rules import judged
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register()
+def op9_license_scan(spark, sf_dir):
+    """Licence families that documents name."""
+    from echoloom.llm.licenses import licenses
+    return licenses(table(spark, sf_dir, "documents"))

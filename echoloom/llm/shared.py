@@ -83,3 +83,9 @@ def let_through(df: DataFrame, bitmap: np.ndarray, column: str = "row_key") -> D
         for batch in batches:
             yield batch.filter(pa.array(passes(bitmap, batch.column(column).to_numpy())))
     return df.mapInArrow(run, df.schema)
+
+
+def literal_rows(spark, rows: list[dict], kind: str) -> DataFrame:
+    """A small table from a parameter, as one literal: `kind` is its struct in DDL."""
+    import json
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{kind}>>")))

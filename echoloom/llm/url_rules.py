@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from echoloom.llm import shared
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -85,9 +87,10 @@ def judge(pages: DataFrame, hosts=HOSTS, patterns=PATTERNS) -> DataFrame:
     pages = pages.withColumn("host", host).withColumn("path", path)
     keys = (pages.select("host", "path").distinct()
             .withColumn("key", F.concat("host", "path")).withColumn("low", F.translate("key", UPPER, LOWER)))
-    rules = [(i, r.text, r.verdict, isinstance(r, HostRule), r.regex, r.tokens or [""])
-             for i, r in enumerate([*hosts, *patterns])]
-    rules = spark.createDataFrame(rules, "id int, text string, verdict string, is_host boolean, regex string, tokens array<string>")
+    rules = shared.literal_rows(spark, [
+        {"id": i, "text": r.text, "verdict": r.verdict, "is_host": isinstance(r, HostRule), "regex": r.regex,
+         "tokens": r.tokens or [""]} for i, r in enumerate([*hosts, *patterns])],
+        "id:int,text:string,verdict:string,is_host:boolean,regex:string,tokens:array<string>")
     listed = rules.select("id", F.explode("tokens").alias("token"))
     counts = (keys.select(F.explode(_split(F.col("low"))).alias("token"))
               .join(listed.select("token").distinct(), "token").groupBy("token").agg(F.count("*").alias("n")))
