@@ -106,8 +106,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         _chunk_bytes(bitmap), "doc_id long, row_key long, start long, stop long, lines int, bytes binary"), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "start")
     places = places.withColumn("place", place)
-    first = (places.groupBy("bytes").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-             .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"))
+    # written, so that the join deals both sides out anew and can split a chunk that stands everywhere
+    first = shared.saved(places.groupBy("bytes").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+                         .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "chunk-firsts")
     return (places.join(first, "bytes").where(~F.col("place").eqNullSafe(F.col("first")))
             .select("doc_id", "row_key", "start", "stop", "lines"))
 
