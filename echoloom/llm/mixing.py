@@ -133,13 +133,21 @@ def copies(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = M
 
 
 def _mended(rounded: DataFrame, most: int) -> DataFrame:
-    """One document of a source, of the size nearest to what the source lacks or exceeds, gets a copy more or less."""
-    error = (rounded.groupBy("place").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("error"))
-             .where("error <> 0"))
-    can = F.when(F.col("error") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
-    pick = (rounded.join(error, "place").where(can & (F.col("size") > 0) & (F.col("size") < 2 * F.abs("error")))
-            .groupBy("place").agg(F.min(F.struct(F.abs(F.abs("error") - F.col("size")).alias("off"), "size", "salt", "nth",
+    """One document of a source, of the size nearest to what the source lacks or exceeds, gets a copy more or less.
+
+    Rows are combined by (place, size) before the shuffle, each with its first document that could change.
+    """
+    at = F.struct("salt", "nth")
+    cells = shared.saved(rounded.groupBy("place", "size").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("words"), F.max("target").alias("target"),
+        F.min(F.when(F.col("copies") < most, at)).alias("more"), F.min(F.when(F.col("copies") > 0, at)).alias("less")),
+        "mix-taken")
+    error = cells.groupBy("place").agg((F.max("target") - F.sum("words")).alias("error")).where("error <> 0")
+    change = F.when(F.col("error") > 0, F.col("more")).otherwise(F.col("less"))
+    pick = (cells.join(error, "place").withColumn("at", change)
+            .where(F.col("at").isNotNull() & (F.col("size") > 0) & (F.col("size") < 2 * F.abs("error")))
+            .groupBy("place").agg(F.min(F.struct(F.abs(F.abs("error") - F.col("size")).alias("off"), "size", "at",
                                                  F.signum("error").cast("long").alias("change"))).alias("p"))
-            .select("place", "p.size", "p.salt", "p.nth", "p.change"))
-    return rounded.join(pick, ["place", "size", "salt", "nth"], "left").withColumn(
+            .select("place", "p.size", "p.at.salt", "p.at.nth", "p.change"))
+    return rounded.join(shared.saved(pick, "mix-pick"), ["place", "size", "salt", "nth"], "left").withColumn(
         "copies", F.col("copies") + F.coalesce("change", F.lit(0)))
