@@ -21,6 +21,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from echoloom.llm import shared
+
 BUDGET, HISTORY, OVERHEAD, SEGMENT = 512, 96, 4, 4096
 COUNT = r"size(filter(split({0}, '[\\x20\\x09-\\x0D]+'), x -> x <> ''))"
 _BACK = {"\\\\": "\\", "\\l": "<", "\\h": "#", "\\n": "\n"}
@@ -147,6 +149,7 @@ DIGEST_SCHEMA = pa.schema([(c, pa.string() if c.endswith("sha256") else pa.int64
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation, what its windows say: see `DIGEST`. A conversation's windows stream through one task in order."""
+    shared.small_batches(formatted.sparkSession)
     rows = (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window")
             .select("conv_id", "text", "n_repeated", "loss"))
     kinds = ", ".join(f"{c} {'string' if c.endswith('sha256') else 'long'}" for c in DIGEST)

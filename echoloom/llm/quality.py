@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from echoloom.llm import words
+from echoloom.llm import shared, words
 
 BUCKETS = 1 << 18
 SHARDS = 8
@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
     Rows without a label, ID or text don't teach. With no labelled row all weights are 0 and every score 0.5.
     """
-    spark = docs.sparkSession
+    shared.small_batches(docs.sparkSession)
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
             .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != 0)
             .withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id", "quality").limit(max_labelled))
@@ -144,6 +144,7 @@ def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFr
 
     Null and blank texts have no features: their score is that of the bias. All other columns stay as they are.
     """
+    shared.small_batches(docs.sparkSession)
     docs = docs.drop(column)
 
     def run(batches):

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from echoloom.llm import words
+from echoloom.llm import shared, words
 from echoloom.llm.automaton import Dfa
 
 PIECE = 8 << 20
@@ -92,6 +92,7 @@ def scan(docs: DataFrame, rules=RULES, redact: bool = False) -> DataFrame:
     texts stay null and have no secrets, as empty ones. A column `secrets` of `docs` is replaced, all others stay; rows
     that repeat are scanned alike. An empty table stays empty.
     """
+    shared.small_batches(docs.sparkSession)
     scanner = Scanner(tuple(rules))
     docs = docs.drop("secrets").withColumn("text", F.col("text").cast("string"))
     kinds = [r.kind for r in rules]

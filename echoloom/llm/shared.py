@@ -8,9 +8,19 @@ from pyspark.sql import DataFrame, functions as F
 from echoloom.session import scratch
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark) -> None:
+    """Arrow batches of 500 rows instead of the default 10,000, as rows are whole texts; another setting stays."""
+    if spark.conf.get(BATCH, "10000") == "10000":
+        spark.conf.set(BATCH, "500")
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to a new folder below spark.checkpoint.dir and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -71,6 +81,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, text and row_key: rows equal in doc_id and text have one key and get one decision."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .withColumn("row_key", F.xxhash64("doc_id", "text"))
 

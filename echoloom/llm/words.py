@@ -1,7 +1,7 @@
 """Words, word hashes and shingles of whole Arrow text columns, with numpy.
 
 A word is a run of characters other than space and \\t..\\r; A-Z count as a-z where `lower` is set. Texts are read in
-pieces of about a megabyte, so memory follows the words of one text at most, not the batch.
+pieces of half a megabyte, so memory follows the words of one text at most, not the batch.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE = 5
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
