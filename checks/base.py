@@ -173,7 +173,7 @@ def norm_in(t):
 
 def norm_sup(t):
     return f"""SELECT 'support' AS source, ticket_id AS feedback_id,
-      'user_' || substr(sha256(customer_email), 1, 8) AS user_id,
+      'user_' || sha256(customer_email) AS user_id,
       concat_ws(' - ', subject, message) AS message_text, CAST(NULL AS INT) AS rating,
       epoch_ms(CAST(created_at AS BIGINT)) AS "timestamp", CAST(NULL AS VARCHAR) AS app_version,
       concat_ws('|', 'status:', status, 'channel:', channel) AS metadata FROM {t}"""
@@ -267,7 +267,7 @@ CTES = {
       CASE WHEN event_type = 'purchase' THEN '{{"run_id":' || event_id || '}}' END AS result,
       event_type FROM events""",
     "sub_rows": """SELECT 'app_submission' AS source, id AS feedback_id,
-      'customer_' || substr(id, 1, 8) AS user_id, message_text, rating, created_at AS "timestamp",
+      'customer_' || id AS user_id, message_text, rating, created_at AS "timestamp",
       'demo' AS app_version, 'submitted via app' AS metadata FROM subs""",
     "attempts": f"""SELECT {uuid("'line ' || l_orderkey || '/' || l_linenumber")} AS id,
       'actor_' || l_returnflag AS created_by, {phrase('l_orderkey')} AS message,
@@ -292,8 +292,8 @@ CTES = {
       TIMESTAMP '2024-01-01' + to_minutes(c_custkey % 500000) AS decided_at FROM customer""",
     "checked_decisions": f"""SELECT trim(issue_key) AS issue_key, status,
       CASE WHEN priority IN ('P0','P1','P2','P3') THEN priority END AS priority,
-      nullif(substr(trim(owner), 1, 80), '') AS owner,
-      nullif(substr(trim(note, ' ' || chr(9)), 1, 500), '') AS note, decided_at,
+      nullif(trim(owner), '') AS owner,
+      nullif(trim(note, ' ' || chr(9)), '') AS note, decided_at,
       CASE WHEN NOT regexp_matches(trim(issue_key), '{R.DECISION_KEY}') THEN 'issue key'
         WHEN status NOT IN ('approved', 'rejected', 'needs_info') THEN 'status' END AS reason
       FROM decision_forms""",

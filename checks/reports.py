@@ -25,9 +25,9 @@ SUMMARY = f"""issue_category, issue_type, total_messages, unique_users,
 @query("issue_summary", f"""SELECT {SUMMARY}, shown, newest_md5 FROM issue_totals t JOIN (
   SELECT issue_cat AS c, issue_type AS i, count(*) AS shown,
     md5(string_agg(message_text, chr(10) ORDER BY rank)) AS newest_md5
-  FROM ({NEWEST}) WHERE rank <= 100 GROUP BY ALL) s ON t.issue_category = s.c AND t.issue_type = s.i""")
+  FROM ({NEWEST}) GROUP BY ALL) s ON t.issue_category = s.c AND t.issue_type = s.i""")
 def issue_summary(spark, sf):
-    """The inline examples are returned as their number and a hash of the messages in order."""
+    """All examples, returned as their number and a hash of the messages in order."""
     rows = issues.issue_summary(Z.grouped(spark, sf))
     return rows.withColumns({
         "shown": F.size("example_messages").cast("bigint"),
@@ -200,6 +200,34 @@ def page_of_messages(spark, sf):
     return explore.page(Z.grouped(spark, sf), 3).select("source", "feedback_id", "timestamp")
 
 
+@query("page_after", f"""SELECT source, feedback_id, {stamp()} FROM grouped
+  ORDER BY "timestamp" DESC, source, feedback_id LIMIT 25 OFFSET 75""")
+def page_after(spark, sf):
+    """The page after the third one, found by its last row's key."""
+    rows = Z.grouped(spark, sf)
+    last = explore.page(rows, 3).orderBy("timestamp", F.desc("source"), F.desc("feedback_id")).first()
+    key = (last["timestamp"], last["source"], last["feedback_id"])
+    return explore.page_after(rows, key).select("source", "feedback_id", "timestamp")
+
+
+@query("published_evidence", f"""SELECT issue_cat AS issue_category, issue_type, count(*) AS messages,
+  md5(string_agg(message_text, chr(10) ORDER BY message_text)) AS messages_md5
+  FROM active GROUP BY ALL""")
+def published_evidence(spark, sf):
+    """All evidence of a published run, read back from its own table."""
+    from checks.tables import new_store
+    from echoloom.plans.refresh import Refresh
+    store = new_store(spark, "evidence").bootstrap()
+    run = Refresh(store, "1")
+    run.save(spark.createDataFrame([(0,)], "version BIGINT"), "baseline")
+    run.save(Z.grouped(spark, sf), "analyzed")
+    run.step("group")
+    rows = run.stage("evidence").select("issue_category", "issue_type", F.explode("example_messages").alias("e"))
+    return rows.groupBy("issue_category", "issue_type").agg(
+        F.count("*").alias("messages"),
+        F.md5(F.array_join(F.sort_array(F.collect_list("e.message")), "\n")).alias("messages_md5"))
+
+
 @query("top_issues", """SELECT *, 'top' AS part FROM (SELECT * FROM issue_groups
     ORDER BY messages DESC, name, category LIMIT 8)
   UNION ALL SELECT *, 'rest' FROM (SELECT * FROM issue_groups

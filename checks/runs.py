@@ -169,7 +169,7 @@ def _drain(stream):
 def stream_refresh_query(spark, sf):
     """The submission stream through refresh runs; receipts of all batches."""
     store = new_store(spark, "stream").bootstrap()
-    events = Z.stream(spark, sf, "events")
+    events = Z.stream(spark, sf, "events", "ts")
     _drain(stream_refresh(Z.submissions_from(events), store, scratch(spark, "ckpt")))
     return _receipt_rows(spark.read.parquet(f"{store.root}/stage/run=stream-*/receipts"))
 
@@ -181,7 +181,7 @@ def stream_refresh_query(spark, sf):
     AS payload FROM attempts) GROUP BY id""")
 def stream_dedup_query(spark, sf):
     """The stream's final state per ID."""
-    return _final(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem"))))
+    return _final(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem", "l_shipdate"))))
 
 
 def _final(spark, aggregated):
@@ -199,12 +199,12 @@ def _final(spark, aggregated):
 @query("stream_rate_limit", RATE_LIMIT)
 def stream_rate_limit_query(spark, sf):
     path = scratch(spark, "limit")
-    events = Z.stream(spark, sf, "events")
+    events = Z.stream(spark, sf, "events", "ts")
     subs = events.select(F.col("event_id").cast("string").alias("id"),
                          F.concat(F.lit("actor_"), F.col("event_type")).alias("created_by"),
                          F.col("ts").alias("created_at"))
     _drain(stream_rate_limit(subs, path, scratch(spark, "ckpt"), limit=4))
-    return spark.read.parquet(path).drop("batch")
+    return spark.read.parquet(path).drop("batch", "late")
 
 
 @query("stream_weekly_sentiment", f"""SELECT CAST(CAST(date_trunc('week', "timestamp") AS DATE) AS VARCHAR) AS week,
@@ -212,5 +212,5 @@ def stream_rate_limit_query(spark, sf):
 def stream_weekly_query(spark, sf):
     """Weekly sentiment of the submission stream, in complete mode."""
     from echoloom.functions.text import mask
-    rows = Z.label(mask(X.read_submissions(Z.submissions_from(Z.stream(spark, sf, "events")))))
+    rows = Z.label(mask(X.read_submissions(Z.submissions_from(Z.stream(spark, sf, "events", "ts")))))
     return _final(spark, stream_weekly(rows))

@@ -35,7 +35,8 @@ def published(spark, sf):
         store = new_store(spark, "published").bootstrap()
         rows = Z.previous_grouped(spark, sf)
         whole = store.write_version("feedback_with_issue_type", rows, "previous")
-        store.write_version("issue_summary", issues.issue_summary(rows), "previous")
+        store.write_version("issue_summary", issues.issue_summary(rows, issues.NEWEST), "previous")
+        store.write_version("issue_evidence", issues.issue_examples(rows), "previous")
         store.commit("previous", 0, {"feedback_clean": whole, "feedback_analyzed": whole})
         _published[key] = store
     return _published[key]
@@ -64,14 +65,26 @@ def scan_json_export(spark, sf):
     return slim(X.normalize_in_app(X.read_json_export(spark, path, S.RAW_IN_APP, lines=True)))
 
 
-@query("load_raw_table", """SELECT CAST(score AS INT) AS score, count(*) AS rows,
-  count(DISTINCT "userName") AS users FROM raw_play GROUP BY ALL""")
+@query("scan_json_array", f"SELECT {ROW} FROM ({norm_in('raw_in')})")
+def scan_json_array(spark, sf):
+    """In-app messages as files of one JSON array each."""
+    path = scratch(spark, "array")
+    Z.in_app_raw(spark, sf).groupBy(F.pmod(F.xxhash64("msg", "ts"), F.lit(64)).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*S.RAW_IN_APP.names))).alias("value")) \
+        .repartition(64, "part").write.partitionBy("part").text(path)
+    rows = X.read_json_export(spark, f"{path}/*", S.RAW_IN_APP)
+    return slim(X.normalize_in_app(rows))
+
+
+@query("load_raw_table", """SELECT "reviewId", "userName", md5(content) AS content_md5, CAST(score AS INT) AS score, "at",
+  CAST("appVersion" AS DOUBLE) AS "appVersion", CAST("thumbsUpCount" AS VARCHAR) AS "thumbsUpCount" FROM raw_play""")
 def load_raw_table(spark, sf):
-    """Exploratory load with inferred types: the score comes back as a number."""
+    """Exploratory load with inferred types, row by row: score and version come back as numbers."""
     path = scratch(spark, "raw")
     Z.google_play_raw(spark, sf).write.options(header=True, escape='"').csv(path)
-    return X.load_raw(spark, path, "csv").groupBy(F.col("score").cast("int").alias("score")).agg(
-        F.count("*").alias("rows"), F.count_distinct("userName").alias("users"))
+    text = [F.col(c).cast("string").alias(c) for c in ("reviewId", "userName", "at", "thumbsUpCount")]
+    return X.load_raw(spark, path, "csv").select(*text, "appVersion", F.md5("content").alias("content_md5"),
+                                                 F.col("score").cast("int").alias("score"))
 
 
 @query("source_row_counts", "SELECT source, count(*) AS rows FROM corpus GROUP BY source")
@@ -109,24 +122,6 @@ def feedback_snapshot(spark, sf):
 
 # --- sinks -----------------------------------------------------------------------------
 
-@query("bootstrap_tables", """SELECT 'feedback_analyzed' AS name, 0 AS rows, 13 AS columns,
-  (SELECT count(*) FROM corpus) AS corpus_rows
-  UNION ALL SELECT 'feedback_clean', 0, 8, (SELECT count(*) FROM corpus)
-  UNION ALL SELECT 'feedback_with_issue_type', 0, 15, (SELECT count(*) FROM corpus)
-  UNION ALL SELECT 'issue_summary', 0, 11, (SELECT count(*) FROM corpus)""")
-def bootstrap_tables(spark, sf):
-    """Empty tables next to the volume waiting to be loaded."""
-    store = new_store(spark, "boot").bootstrap().bootstrap()
-    waiting = F.lit(Z.corpus(spark, sf).count()).cast("bigint").alias("corpus_rows")
-    out = None
-    for name in S.PUBLISHED:
-        df = store.read(name)
-        row = df.agg(F.lit(name).alias("name"), F.count("*").cast("int").alias("rows"),
-                     F.lit(len(df.columns)).alias("columns"), waiting)
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 @query("stage_roundtrip", f"SELECT {ROW} FROM clean")
 def stage_roundtrip(spark, sf):
     return slim(new_store(spark, "stage").save_stage(Z.clean(spark, sf), "1", "clean"))
@@ -215,6 +210,21 @@ def completion_receipt(spark, sf):
     return done.select("id", doc.alias("d"), "issue_key").select("id", "d.*", "issue_key")
 
 
+@query("apply_receipts", """SELECT id, result IS NULL OR result LIKE '%"processed"%' AS by_this_run,
+  'completed' AS status, strftime(CASE WHEN event_type = 'purchase' THEN created_at ELSE TIMESTAMP '2024-06-01' END,
+    '%Y-%m-%d %H:%M:%S.%f') AS completed_at, CAST(NULL AS VARCHAR) AS dispatch_error FROM subs""")
+def apply_receipts(spark, sf):
+    """Receipts put back on the submissions, twice: a replay changes nothing."""
+    subs = Z.submissions(spark, sf)
+    done = U.receipts(_submission_rows(spark, sf), subs.where("result is null"), "7", 3, 1)
+    at = F.lit("2024-06-01T00:00:00Z").cast("timestamp")
+    once = U.apply_receipts(subs, done, at)
+    twice = U.apply_receipts(once, done, at + F.make_dt_interval(days=F.lit(1)))
+    status = U.submission_status(twice, Z.runs(spark, sf)).select("id", "status")
+    return twice.join(status, "id").select("id", F.col("result").contains('"processed"').alias("by_this_run"), "status",
+                                           "completed_at", "dispatch_error")
+
+
 @query("decision_upsert", f"""SELECT issue_key, status, priority, owner, note,
   {stamp('decided_at')} FROM (SELECT * FROM new_decisions UNION ALL SELECT * FROM decisions
   WHERE issue_key NOT IN (SELECT issue_key FROM new_decisions))""")
@@ -395,7 +405,7 @@ def display_labels(spark, sf):
 
 
 @query("submission_status", """SELECT id, status,
-  CASE WHEN status = 'failed' THEN 'Processing stopped. Your feedback is saved and can be retried.'
+  CASE WHEN status = 'failed' THEN 'The run ended early. The submission is kept; a retry is possible.'
     ELSE dispatch_error END AS error, status IN ('failed', 'saved') AS can_retry FROM (
   SELECT *, CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed'
     WHEN 'view' THEN 'failed' WHEN 'click' THEN 'processing' ELSE 'saved' END AS status FROM subs)""")

@@ -120,7 +120,7 @@ def source_label(col="source") -> Column:
 def nice(col) -> Column:
     """FEATURE_REQUEST -> Feature request."""
     words = F.replace(F.lower(F.col(col) if isinstance(col, str) else col), F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 2 ** 30))
+    return F.concat(F.upper(F.substring(words, 1, 1)), F.substr(words, F.lit(2)))
 
 
 def word_pattern(words) -> str:

@@ -52,8 +52,7 @@ def web_trim(col) -> Column:
 
 
 def search_match(q: str) -> Column:
-    """Case-insensitive literal search over message, explanation and ID; the query keeps
-    its first 200 characters."""
-    needle = q[:200].lower()
+    """Case-insensitive literal search of the whole query over message, explanation and ID."""
+    needle = q.lower()
     hay = F.concat_ws(" ", "message_text", F.coalesce("explanation", F.lit("")), "feedback_id")
     return F.lower(hay).contains(needle)

@@ -32,10 +32,3 @@ def saved_decisions(decisions: DataFrame, groups: DataFrame) -> DataFrame:
 def issue_view(groups: DataFrame, decisions: DataFrame) -> DataFrame:
     d = decisions.withColumnRenamed("issue_key", "key")
     return groups.join(d, "key", "left").withColumn("has_decision", F.col("status").isNotNull())
-
-
-def status_label():
-    expr = F
-    for status, text in S.STATUS_LABELS.items():
-        expr = expr.when(F.col("status") == status, F.lit(text))
-    return expr.otherwise(F.lit(None))

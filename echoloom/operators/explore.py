@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from echoloom import schemas as S
 from echoloom.functions import labels
-from echoloom.functions.identity import row_issue_key
 from echoloom.functions.text import search_match, web_trim
+from echoloom.operators import issues
 
 
 @dataclass(frozen=True)
@@ -24,8 +24,13 @@ class Filter:
     q: str = ""
 
 
-def filter_feedback(df: DataFrame, f: Filter) -> DataFrame:
-    """Day bounds are compared as instants, so they reach the scan as range filters."""
+def filter_feedback(df: DataFrame, f: Filter, groups: DataFrame = None) -> DataFrame:
+    """Day bounds are compared as instants, so they reach the scan as range filters.
+
+    An issue key is looked up once in the issue list (`groups`, or counted here) and
+    filters as plain equalities.
+    """
+    names = issues.names_of(issues.issue_groups(df) if groups is None else groups, f.issue) if f.issue else None
     if f.start:
         df = df.where(F.col("timestamp") >= _midnight(f.start))
     if f.end:
@@ -36,7 +41,7 @@ def filter_feedback(df: DataFrame, f: Filter) -> DataFrame:
     if f.category:
         df = df.where(F.col("category") == f.category)
     if f.issue:
-        df = df.where(row_issue_key() == f.issue)
+        df = df.where(issues.of_issue(*names))
     if f.review:
         df = df.where(labels.web_review_flag())
     return search(df, f.q) if f.q else df
@@ -80,13 +85,17 @@ def overview(rows: DataFrame) -> DataFrame:
     user = F.when(web_trim("user_id") != "", F.struct("source", "user_id"))
     issue = F.when(name.isNotNull(), F.struct(F.coalesce("issue_cat", "category"), name))
     small = rows.select(user.alias("reporter"), issue.alias("issue"),
-                        labels.web_review_flag().cast("int").alias("review")) \
-        .groupBy("reporter", "issue").agg(F.count("*").alias("n"), F.sum("review").alias("review"))
-    return small.agg(
-        _total(F.col("n")).alias("messages"), F.count_distinct("reporter").alias("reporters"),
-        F.count_distinct("issue").alias("issue_types"),
+                        labels.web_review_flag().cast("int").alias("review"))
+    # one aggregation per distinct count: together they would expand every row
+    reporters = small.select("reporter").where("reporter IS NOT NULL").distinct().agg(
+        F.count("*").alias("reporters"))
+    types = small.groupBy("issue").agg(F.count("*").alias("n"), F.sum("review").alias("review")).agg(
+        _total(F.col("n")).alias("messages"), F.count("issue").alias("issue_types"),
         _total(F.when(F.col("issue").isNotNull(), F.col("n"))).alias("actionable_messages"),
         _total(F.col("review")).alias("needs_review"))
+    # two rows, laid over each other
+    return types.unionByName(reporters, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("messages", "reporters", "issue_types", "actionable_messages", "needs_review")])
 
 
 def _total(col: Column) -> Column:

@@ -150,11 +150,6 @@ def reconcile(summary: DataFrame, active: DataFrame) -> DataFrame:
     return total.withColumn("reconciles", F.col("summary_messages") == F.col("active_messages"))
 
 
-def baseline_unchanged(pinned: dict, current: dict) -> list:
-    """Names of the tables whose version differs from the pinned one."""
-    return sorted(n for n in pinned if pinned[n] != current.get(n))
-
-
 # --- form validation -------------------------------------------------------------------
 
 def validate_submissions(df: DataFrame) -> DataFrame:
@@ -173,16 +168,21 @@ def split_accepted(df: DataFrame):
     return df.where("reason is null").drop("reason"), df.where("reason is not null")
 
 
-def validate_decisions(df: DataFrame) -> DataFrame:
-    """Adds `reason`; an unknown priority becomes NULL, owner and note are trimmed and cut."""
+def validate_decisions(df: DataFrame, owner_size: int = None, note_size: int = None) -> DataFrame:
+    """Adds `reason`; an unknown priority becomes NULL, owner and note are trimmed.
+
+    With a size, a longer owner or note is a reason; nothing is cut.
+    """
     key = web_trim("issue_key")
 
-    def field(name, size):
-        text = F.substring(web_trim(name), 1, size)
-        return F.when(text != "", text)
+    def field(name):
+        return F.when(web_trim(name) != "", web_trim(name))
 
     reason = (F.when(key.isNull() | ~key.rlike(R.DECISION_KEY), "issue key")
               .when(F.col("status").isNull() | ~F.col("status").isin(S.STATUSES), "status"))
+    for name, size in (("owner", owner_size), ("note", note_size)):
+        if size is not None:
+            reason = F.coalesce(reason, F.when(F.length(web_trim(name)) > size, f"{name} length"))
     priority = F.when(F.col("priority").isin(S.PRIORITIES), F.col("priority"))
     return df.withColumns({"reason": reason, "issue_key": key, "priority": priority,
-                           "owner": field("owner", 80), "note": field("note", 500)})
+                           "owner": field("owner"), "note": field("note")})

@@ -78,6 +78,13 @@ def pending(prepared: DataFrame, prior: DataFrame, version=None) -> DataFrame:
     return rows.withColumn("_cache_key", cache_key(version) if version else cache_key())
 
 
+def one_answer(cache: DataFrame) -> DataFrame:
+    """One row per cache key, the earliest answer, whatever overlapping runs appended."""
+    rest = ["classified_at", *[c for c in cache.columns if c not in ("_cache_key", "classified_at")]]
+    first = cache.groupBy("_cache_key").agg(F.min(F.struct(*rest)).alias("_row"))
+    return first.select("_cache_key", *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*cache.columns)
+
+
 def uncached(rows: DataFrame, cache: DataFrame) -> DataFrame:
     return rows.join(cache.select("_cache_key"), "_cache_key", "left_anti")
 
@@ -86,14 +93,19 @@ def attach(rows: DataFrame, cache: DataFrame) -> DataFrame:
     return rows.join(cache.select("_cache_key", "classification_json", "sentiment"), "_cache_key")
 
 
-def reuse_groups(analyzed: DataFrame, old: DataFrame) -> DataFrame:
-    """Saved issue membership where neither text nor category changed."""
+def with_saved_group(analyzed: DataFrame, old: DataFrame) -> DataFrame:
+    """Analyzed rows with `_saved` issue membership and `_same`: neither text nor category changed."""
     saved = old.select(*S.KEYS, text_digest().alias("_text"),
-                       F.col("category").alias("_category"), *S.ISSUES)
-    both = analyzed.select(*S.BASE, *S.LABELS).join(saved, S.KEYS)
-    same = (text_digest().eqNullSafe(F.col("_text"))
+                       F.col("category").alias("_category"), F.struct(*S.ISSUES).alias("_saved"))
+    same = (F.col("_saved").isNotNull() & text_digest().eqNullSafe(F.col("_text"))
             & F.col("category").eqNullSafe(F.col("_category")))
-    return both.where(same).select(*S.GROUPED.names)
+    return analyzed.select(*S.ANALYZED.names).join(saved, S.KEYS, "left").withColumn("_same", same)
+
+
+def reuse_groups(analyzed: DataFrame, old: DataFrame) -> DataFrame:
+    """Saved issue membership where neither text nor category changed."""
+    return with_saved_group(analyzed, old).where("_same").select(
+        *S.ANALYZED.names, *[F.col(f"_saved.{c}").alias(c) for c in S.ISSUES])
 
 
 def record_diff(left: DataFrame, right: DataFrame, cols) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from echoloom import schemas as S
 from echoloom.functions import labels
-from echoloom.functions.identity import issue_key, reporter_struct, row_issue_key
+from echoloom.functions.identity import issue_key, reporter_struct
 from echoloom.functions.text import web_trim
 
 ISSUE = ["issue_cat", "issue_type"]
@@ -76,11 +76,16 @@ def top_messages(rows: DataFrame, n: int, by=None) -> DataFrame:
     return few.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def issue_summary(rows: DataFrame, newest: int = NEWEST) -> DataFrame:
-    """One row per issue. `example_messages` shows the newest messages, newest first;
-    the complete evidence is `issue_examples`."""
-    shown = (top_messages(rows, newest)
-             .groupBy(*ISSUE)
+def issue_summary(rows: DataFrame, newest: int = None) -> DataFrame:
+    """One row per issue; `example_messages` holds all its messages, newest first.
+
+    An issue's array is one value. Where issues are too large for that, `newest` shows so
+    many and `issue_examples` holds all in rows of bounded size, as `Refresh` publishes them.
+    """
+    order = [F.col("timestamp").desc(), "source", "feedback_id"]
+    ranked_rows = top_messages(rows, newest) if newest is not None else active(rows).withColumn(
+        "rank", F.row_number().over(W.partitionBy(*ISSUE).orderBy(*order)))
+    shown = (ranked_rows.groupBy(*ISSUE)
              .agg(F.sort_array(F.collect_list(F.struct("rank", _example().alias("e")))).alias("_x"))
              .select(F.col("issue_cat").alias("issue_category"), "issue_type",
                      F.col("_x.e").alias("example_messages")))
@@ -162,7 +167,22 @@ def biggest(summary: DataFrame) -> DataFrame:
         .orderBy(F.col("total_messages").desc(), "issue_category", "issue_type")
 
 
-def evidence(df: DataFrame, key: str) -> DataFrame:
-    """All rows of one issue, newest first."""
-    return df.where(row_issue_key() == key) \
+def names_of(groups: DataFrame, key: str) -> tuple:
+    """(category, name) of an issue key, or (None, None); `groups` is the small issue list."""
+    row = groups.where(F.col("key") == key).select("category", "name").first()
+    return (row["category"], row["name"]) if row else (None, None)
+
+
+def of_issue(category, name):
+    """Rows of one issue as plain equalities, which reach the scan."""
+    if name is None:
+        return F.lit(False)
+    own = (F.col("issue_cat") == category) | (F.col("issue_cat").isNull() & (F.col("category") == category))
+    return (F.col("issue_type") == name) & own
+
+
+def evidence(df: DataFrame, key: str, groups: DataFrame = None) -> DataFrame:
+    """All rows of one issue, newest first. `groups` is the issue list, if it is stored."""
+    names = names_of(issue_groups(df) if groups is None else groups, key)
+    return df.where(of_issue(*names)) \
         .orderBy(F.col("timestamp").desc(), "source", "feedback_id")

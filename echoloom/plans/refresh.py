@@ -46,6 +46,8 @@ class Refresh:
         metrics = self.metrics[name] = {"processed": 0, "skipped": 0, "failed": 0}
         if name != "publish" and self.store.has_published(self.run_id):
             # The stages of a published run are the published tables: a replay keeps them.
+            if args and self._digest(self._loaded(*args)) != self._bound():
+                raise ValueError(f"run {self.run_id} is published with another input; use a new run ID")
             metrics.update(self._saved_metrics(name))
             return metrics
         try:
@@ -70,6 +72,24 @@ class Refresh:
             .orderBy(F.desc("recorded_at")).first()
         return json.loads(row["report"]) if row else {}
 
+    @staticmethod
+    def _loaded(incoming: DataFrame) -> DataFrame:
+        """The load as it is staged: one masked row per payload, with its copies."""
+        flagged = I.dedupe(incoming).withColumns({"_malformed": G.malformed_rating(), "_bad": G.bad_record()})
+        return mask(flagged)
+
+    @staticmethod
+    def _digest(loaded: DataFrame) -> tuple:
+        """Rows and a hash of a load, whatever its order."""
+        hashed = F.xxhash64(*S.BASE, "_copies").cast("decimal(38,0)")
+        r = loaded.agg(F.sum("_copies").alias("n"), F.sum(hashed).alias("h")).first()
+        return r["n"] or 0, str(r["h"])
+
+    def _bound(self) -> tuple:
+        """Digest of the input that this run ID stands for."""
+        r = self.stage("input").first()
+        return r["rows"], r["digest"]
+
     def pinned(self) -> int:
         return self.stage("baseline").first()["version"]
 
@@ -86,12 +106,11 @@ class Refresh:
         """
         head = self.store.head()
         if head is None:
-            raise ValueError("baseline tables are missing; run bootstrap first")
+            raise ValueError("nothing is published yet: call Store.bootstrap before the first run")
         self.save(self.store.spark.createDataFrame([(head["version"],)], "version BIGINT"),
                   "baseline")
-        flagged = I.dedupe(incoming).withColumns({"_malformed": G.malformed_rating(),
-                                                  "_bad": G.bad_record()})
-        loaded = self.save(mask(flagged), "incoming")
+        loaded = self.save(self._loaded(incoming), "incoming")
+        self.save(self.store.spark.createDataFrame([self._digest(loaded)], "rows BIGINT, digest STRING"), "input")
         load = G.row(G.key_violations(
             loaded, weight="_copies", malformed=F.col("_malformed"), bad=F.col("_bad"),
             empty=G.empty_key()))
@@ -118,7 +137,8 @@ class Refresh:
         """Label new and changed text once; everything else keeps its saved label."""
         prepared, prior = self.stage("prepared").drop("_status"), self.baseline("feedback_analyzed")
         pending = self.save(I.pending(prepared, prior, self.version), "pending")
-        fresh = I.uncached(pending, self.store.cache())
+        known = self.store.cache()
+        fresh = I.uncached(pending, known)
         responses = with_audit(
             lambda: self.save(ai.classify(fresh, self.make_model), "ai_responses"),
             self._record_audit if self.audit else None, metrics)
@@ -130,11 +150,17 @@ class Refresh:
         if checked["responses"]:
             self.save(failed, "failed_ai_responses")
         if checked["ai_messages"]:
-            self.store.append_cache(valid)     # before failing: good answers are not asked again
+            # before failing: good answers are not asked again
+            self.store.append_cache(I.insert_missing(known, valid, "_cache_key"), self.run_id)
         G.enforce(checked, {"responses": "AI responses failed validation; the others are cached"},
                   metrics)
 
-        attached = I.attach(pending, self.store.cache())
+        answers = I.one_answer(self.store.cache().join(
+            pending.select("_cache_key").distinct(), "_cache_key", "left_semi"))
+        unique = G.row(G.unique_keys(answers, ["_cache_key"]))
+        G.enforce(unique, {"duplicate_keys": "the answer cache holds a key twice",
+                           "empty_keys": "the answer cache holds an empty key"}, metrics)
+        attached = I.attach(pending, answers)
         new = ai.extract_labels(attached).select(*S.ANALYZED.names, F.lit(False).alias("_reused"))
         reused = I.reuse_labels(prepared, prior).withColumn("_reused", F.lit(True))
         result = self.save(reused.unionByName(new)
@@ -145,9 +171,11 @@ class Refresh:
             needs_review=F.col("uncertain_classification")))
         got["missing"] = pending.count() - got["new"]
         got["lost"] = prepared.count() - got["checked_rows"]
-        G.enforce(got, {"labels": "new classifications failed validation",
+        if got["labels"]:
+            self.save(result.where(~F.col("_reused") & G.invalid_label()), "failed_analysis")
+        G.enforce(got, {"labels": "new labels are not in the vocabulary; see stage failed_analysis",
                         "duplicate_keys": IDENTITY, "empty": IDENTITY,
-                        "missing": "requested responses are not in the AI cache",
+                        "missing": "some requested answers did not arrive",
                         "lost": "feedback rows were lost in analysis"}, metrics)
         metrics.update(processed=got["new"], skipped=got["reused"], needs_review=got["needs_review"])
 
@@ -160,13 +188,7 @@ class Refresh:
     def group(self, metrics):
         """Issue membership: saved groups stay for unchanged text and category."""
         analyzed, old = self.stage("analyzed"), self.baseline("feedback_with_issue_type")
-        saved = old.select(*S.KEYS, I.text_digest().alias("_text"),
-                           F.col("category").alias("_category"),
-                           F.struct(*S.ISSUES).alias("_saved"))
-        same = (F.col("_saved").isNotNull() & I.text_digest().eqNullSafe(F.col("_text"))
-                & F.col("category").eqNullSafe(F.col("_category")))
-        rows = analyzed.select(*S.ANALYZED.names).join(saved, S.KEYS, "left") \
-            .withColumn("_same", same)
+        rows = I.with_saved_group(analyzed, old)
         rows = labels.with_ascii(rows, ~F.col("_same") & labels.has_rules()) \
             .withColumn("issue_type", F.when(F.col("_same"), F.col("_saved.issue_type"))
                         .otherwise(labels.issue_type())) \
@@ -180,10 +202,12 @@ class Refresh:
             active=F.col("issue_type").isNotNull(),
             needs_review=F.col("uncertain_classification")))
         got["lost"] = analyzed.count() - got["checked_rows"]
-        G.enforce(got, {"membership": "actionable messages are missing issue membership",
+        G.enforce(got, {"membership": "an active message has no issue",
                         "duplicate_keys": IDENTITY, "empty": IDENTITY, "contacts": CONTACTS,
                         "lost": "feedback rows were lost in grouping"}, metrics)
-        summary = self.save(issues.issue_summary(grouped), "summary")
+        # All evidence is published in rows of bounded size; the summary shows the newest.
+        self.save(issues.issue_examples(grouped), "evidence")
+        summary = self.save(issues.issue_summary(grouped, newest=issues.NEWEST), "summary")
         sums = summary.agg(F.count("*").alias("types"),
                            F.coalesce(F.sum("total_messages"), F.lit(0)).alias("n")).first()
         G.enforce({"reconcile": abs(sums["n"] - got["active"])},
@@ -202,8 +226,8 @@ class Refresh:
         grouped = self.stage("grouped").select(*S.GROUPED.names)
         published = self.store.has_published(self.run_id)
         if not published and head["version"] != pin:
-            raise G.GateFailure("baseline", 1, "publication happened since this run started; "
-                                               "start a fresh run")
+            raise G.GateFailure("baseline", 1, "another run published meanwhile; "
+                                               "repeat this load under a new run ID")
         old = self.baseline("feedback_with_issue_type")
         change = F.col("change")
         diff = I.record_diff(grouped, old, S.GROUPED.names).agg(
@@ -216,7 +240,8 @@ class Refresh:
                        "feedback_with_issue_type": diff["kept"]}
             stages = {"feedback_clean": "prepared", "feedback_analyzed": "analyzed",
                       "feedback_with_issue_type": "grouped"}
-            folders = {"issue_summary": self.store.stage_path(self.run_id, "summary")}
+            folders = {"issue_summary": self.store.stage_path(self.run_id, "summary"),
+                       "issue_evidence": self.store.stage_path(self.run_id, "evidence")}
             for name, stage in stages.items():
                 folders[name] = self.store.stage_path(self.run_id, stage)
                 if lacking[name]:

@@ -35,8 +35,11 @@ SUMMARY = _struct(("issue_category", _S), ("issue_type", _S), ("total_messages",
                   ("first_reported", _TS), ("last_reported", _TS),
                   ("example_messages", T.ArrayType(EXAMPLE)),
                   ("messages_per_user", _D), ("needs_review", _B))
+EVIDENCE = _struct(("issue_category", _S), ("issue_type", _S), ("day", T.DateType()), ("part", _L),
+                   ("parts", _L), ("messages", _L), ("example_messages", T.ArrayType(EXAMPLE)))
 PUBLISHED = {"feedback_clean": CLEAN, "feedback_analyzed": ANALYZED,
-             "feedback_with_issue_type": GROUPED, "issue_summary": SUMMARY}
+             "feedback_with_issue_type": GROUPED, "issue_summary": SUMMARY,
+             "issue_evidence": EVIDENCE}
 
 AI_CACHE = _struct(("_cache_key", _S), ("classification_json", _S), ("sentiment", _S),
                    ("classified_at", _TS))
@@ -59,20 +62,8 @@ RAW_SUPPORT = _strings("ticket_id", "customer_email", "subject", "message", "cre
                        "status", "channel")
 
 # Fixed vocabularies.
-CATEGORIES = {
-    "PRAISE": "Positive feedback, compliments, satisfaction with service, app, or delivery.",
-    "COMPLAINT_DELIVERY": "Negative delivery experiences: late, cold food, wrong order, "
-                          "missing items or damaged goods.",
-    "COMPLAINT_APP": "App usability or performance complaints without a specific reproducible "
-                     "technical malfunction.",
-    "COMPLAINT_SUPPORT": "Unresponsive customer support, poor resolution or refund handling.",
-    "COMPLAINT_PRICING": "Concerns about fees, prices, charges or value for money.",
-    "FEATURE_REQUEST": "Explicit suggestions for new features, improvements or capabilities.",
-    "QUESTION": "Asking how to do something or seeking information about existing functionality.",
-    "BUG_REPORT": "A specific technical malfunction, error or broken app behavior.",
-    "UNCLEAR": "Vague, irrelevant, too short or ambiguous feedback that cannot be categorized "
-               "confidently.",
-}
+CATEGORIES = ["PRAISE", "COMPLAINT_DELIVERY", "COMPLAINT_APP", "COMPLAINT_SUPPORT", "COMPLAINT_PRICING",
+              "FEATURE_REQUEST", "QUESTION", "BUG_REPORT", "UNCLEAR"]
 ACTIONABLE = ["BUG_REPORT", "FEATURE_REQUEST", "COMPLAINT_DELIVERY", "COMPLAINT_PRICING",
               "COMPLAINT_SUPPORT", "COMPLAINT_APP"]
 SENTIMENTS = ["positive", "negative", "neutral", "mixed"]
@@ -80,6 +71,4 @@ SOURCE_LABELS = {"app_submission": "Customer submission", "app_store": "App Stor
                  "google_play": "Google Play", "in_app": "In-app", "support": "Support"}
 STATUSES = ["approved", "rejected", "needs_info"]
 PRIORITIES = ["P0", "P1", "P2", "P3"]
-STATUS_LABELS = {"approved": "Approved for action", "rejected": "Not now",
-                 "needs_info": "Needs more information"}
 REVIEW_BELOW = 0.7

@@ -1,6 +1,5 @@
 """Session settings and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,7 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
-_scratch = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,20 +20,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir as the cluster names it.
-
-    A temporary folder is used only by a local session that names none, as in tests.
-    """
+    """The folder every executor can reach: spark.checkpoint.dir as the session names it."""
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not path:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _scratch:
-        _scratch[app] = tempfile.mkdtemp(prefix="echoloom-")
-    return _scratch[app]
+    return path.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -5,12 +5,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from echoloom import schemas as S
 
 
-def read_csv_export(spark: SparkSession, path, schema, multi_line=True) -> DataFrame:
-    """Header CSV; a malformed row fails the read.
+def read_csv_export(spark: SparkSession, path, schema, multi_line=False) -> DataFrame:
+    """Header CSV with doubled quotes; a malformed row fails the read.
 
-    Quoted line breaks and doubled quotes are read as RFC 4180 writes them. Such a file is
-    read by one task: send large exports as many files, or, if no field holds a line break,
-    turn `multi_line` off so that files are split.
+    Files are split among tasks. Set `multi_line` where quoted fields hold line breaks: a
+    file is then read by one task, so send such exports as many files.
     """
     return (spark.read.schema(schema)
             .options(header=True, mode="FAILFAST", multiLine=multi_line, escape='"').csv(path))
@@ -22,23 +21,12 @@ def read_json_export(spark: SparkSession, path, schema, lines=False) -> DataFram
             .options(multiLine=not lines, mode="FAILFAST").json(path))
 
 
-def few_splits(df: DataFrame) -> bool:
-    """True for a scan that would leave cores idle, as a small or unsplittable file does."""
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-
-
-def deal_out(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores, for scans with few splits: masking and matching a text
-    costs far more than moving it."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
-def load_raw(spark: SparkSession, path, fmt) -> DataFrame:
+def load_raw(spark: SparkSession, path, fmt, multi_line=True) -> DataFrame:
     """Exploratory load: types are inferred, rows that do not parse keep NULLs."""
     if fmt == "csv":
-        return spark.read.options(header=True, inferSchema=True, multiLine=True,
+        return spark.read.options(header=True, inferSchema=True, multiLine=multi_line,
                                   escape='"').csv(path)
-    df = spark.read.options(multiLine=True).json(path)
+    df = spark.read.options(multiLine=multi_line).json(path)
     return df.drop("_corrupt_record")
 
 
@@ -74,9 +62,10 @@ def normalize_in_app(df: DataFrame) -> DataFrame:
         _metadata(device="device", screen="screen"))
 
 
-def normalize_support(df: DataFrame) -> DataFrame:
-    """The customer's address is replaced by a short hash."""
-    pseudonym = F.substring(F.sha2("customer_email", 256), 1, 8)
+def normalize_support(df: DataFrame, digits: int = None) -> DataFrame:
+    """The customer's address is replaced by its hash; `digits` shortens it, and users that
+    share the first digits then count as one."""
+    pseudonym = _short(F.sha2("customer_email", 256), digits)
     return df.select(
         F.lit("support").alias("source"), F.col("ticket_id").alias("feedback_id"),
         F.concat(F.lit("user_"), pseudonym).alias("user_id"),
@@ -87,14 +76,18 @@ def normalize_support(df: DataFrame) -> DataFrame:
         _metadata(status="status", channel="channel"))
 
 
-def normalize_submission(df: DataFrame, note="submitted via app") -> DataFrame:
+def normalize_submission(df: DataFrame, note="submitted via app", digits: int = None) -> DataFrame:
     return df.select(
         F.lit("app_submission").alias("source"), F.col("id").alias("feedback_id"),
-        F.concat(F.lit("customer_"), F.substring("id", 1, 8)).alias("user_id"),
+        F.concat(F.lit("customer_"), _short(F.col("id"), digits)).alias("user_id"),
         "message_text", "rating", F.col("created_at").alias("timestamp"),
         F.lit("demo").alias("app_version"), F.lit(note).alias("metadata"))
 
 
+def _short(col, digits):
+    return col if digits is None else F.substring(col, 1, digits)
+
+
 def _metadata(**parts):
     """label:|value|label:|value - a NULL value leaves only its label."""
     items = []

@@ -61,34 +61,43 @@ PHRASES = [
     "Discount code gives an error, duplicate charge.",
     "Perfect meal,\tthanks a lot!",
 ]
-LARGE = ["documents", "pages", "conversations", "events", "orders", "lineitem"]
 BASE_TIME = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; timestamps without zone are read as UTC instants."""
     path = f"{sf_dir}/{name}.parquet"
-    schema, few = _describe(spark, path)
-    df = _instants(spark.read.schema(schema).parquet(path))
-    return X.deal_out(df) if name in LARGE and few else df
+    return _instants(spark.read.schema(_schema(spark, path)).parquet(path))
 
 
 _known = {}
 
 
-def _describe(spark, path):
-    """(schema, has few splits) of a given file, looked up once."""
+def _schema(spark, path):
+    """Schema of a given file, looked up once."""
     if path not in _known:
-        df = spark.read.parquet(path)
-        _known[path] = df.schema, X.few_splits(df)
+        _known[path] = spark.read.parquet(path).schema
     return _known[path]
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
-    schema, _ = _describe(spark, f"{sf_dir}/{name}.parquet")
-    return _instants(spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                     .parquet(sf_dir))
+_split = {}
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str, time: str, batches: int = 3) -> DataFrame:
+    """The same table as a file stream: files in time order, one micro-batch for each part."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _schema(spark, path)
+    if (spark.sparkContext.applicationId, path) not in _split:
+        df, out = spark.read.schema(schema).parquet(path), scratch(spark, f"stream-{name}")
+        at = F.col(time).cast("timestamp").cast("double")
+        cuts = df.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)])).first()[0]
+        edges = [None, *cuts, None]
+        for a, b in zip(edges, edges[1:]):
+            part = df.where((F.lit(True) if a is None else at >= a) & (F.lit(True) if b is None else at < b))
+            part.coalesce(1).write.mode("append").parquet(out)
+        _split[spark.sparkContext.applicationId, path] = out
+    out = _split[spark.sparkContext.applicationId, path]
+    return _instants(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(out))
 
 
 def _instants(df: DataFrame) -> DataFrame:

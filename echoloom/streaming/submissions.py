@@ -37,7 +37,9 @@ def stream_rate_limit(subs: DataFrame, store_path: str, checkpoint: str, limit:
 
     The accepted submissions of the window before the batch are the only state. They are
     read back from the output, decided again (all are accepted again: they were accepted
-    with at least as many before them) and dropped. Batches must arrive in time order.
+    with at least as many before them) and dropped. A submission older than one of the same
+    actor that an earlier batch decided is late: it is written with `late`, not accepted, so
+    no window ever holds more than the limit and no row vanishes.
     """
     spark = subs.sparkSession
 
@@ -46,13 +48,21 @@ def stream_rate_limit(subs: DataFrame, store_path: str, checkpoint: str, limit:
         if first is None:
             return
         rows = batch.withColumn("_known", F.lit(False))
+        late = batch.limit(0)
         if batch_id:
             since = F.lit(first) - F.make_dt_interval(secs=F.lit(seconds))
             past = spark.read.parquet(store_path).where(
-                (F.col("batch") < batch_id) & F.col("accepted") & (F.col("created_at") > since))
-            rows = rows.unionByName(past.select(*batch.columns).withColumn("_known", F.lit(True)))
+                (F.col("batch") < batch_id) & (F.col("created_at") > since))
+            newest = past.groupBy("created_by").agg(F.max("created_at").alias("_newest"))
+            marked = batch.join(newest, "created_by", "left")
+            behind = F.coalesce(F.col("created_at") < F.col("_newest"), F.lit(False))
+            late = marked.where(behind).select(*batch.columns)
+            rows = marked.where(~behind).select(*batch.columns).withColumn("_known", F.lit(False))
+            rows = rows.unionByName(past.where("accepted").select(*batch.columns).withColumn("_known", F.lit(True)))
         decided = rate_limit(rows, limit, seconds).where("not _known").drop("_known")
-        decided.write.mode("overwrite").parquet(f"{store_path}/batch={batch_id}")
+        decided.withColumn("late", F.lit(False)).unionByName(
+            late.withColumns({"accepted": F.lit(False), "late": F.lit(True)})) \
+            .write.mode("overwrite").parquet(f"{store_path}/batch={batch_id}")
 
     return (subs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -6,6 +6,10 @@ at once and a pinned version never changes. A stage that already is the complete
 is published as it is, without another copy.
 """
 
+import datetime as dt
+import json
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +19,10 @@ LOG = ("version BIGINT, run_id STRING, parent BIGINT, folders MAP<STRING, STRING
        "published_at TIMESTAMP")
 
 
+class Conflict(RuntimeError):
+    """Another run published first."""
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -55,8 +63,11 @@ class Store:
         row = None if log is None else log.orderBy(F.desc("version"), "run_id").first()
         return None if row is None else row.asDict()
 
-    def versions(self) -> DataFrame:
-        return self._log()
+    def _entry(self, version):
+        rows = self._log().where(F.col("version") == version).take(2)
+        if len(rows) > 1:
+            raise Conflict(f"version {version} is in the log twice")
+        return rows[0] if rows else None
 
     def has_published(self, run_id) -> bool:
         log = self._log()
@@ -64,8 +75,7 @@ class Store:
 
     def read(self, name, version=None) -> DataFrame:
         """A published table, at the current or at a pinned version."""
-        entry = self.head() if version is None else \
-            self._log().where(F.col("version") == version).first()
+        entry = self.head() if version is None else self._entry(version)
         if entry is None:
             raise ValueError(f"no published version {version} of {name}")
         return self.read_folder(name, entry["folders"][name])
@@ -81,15 +91,25 @@ class Store:
         return path
 
     def commit(self, run_id, parent, folders=None):
-        """Make the run's folders current: one appended log row. Tables without a folder
+        """Make the run's folders current: one log file named by version, created only if it
+        is absent, so of two commits on one parent the second fails. Tables without a folder
         were written by `write_version`."""
         paths = {name: (folders or {}).get(name, self._path(name, run_id)) for name in S.PUBLISHED}
-        row = self.spark.range(1).select(
-            F.lit(parent + 1).cast("bigint").alias("version"), F.lit(run_id).alias("run_id"),
-            F.lit(parent).cast("bigint").alias("parent"),
-            F.create_map(*[F.lit(x) for pair in paths.items() for x in pair]).alias("folders"),
-            F.current_timestamp().alias("published_at"))
-        row.coalesce(1).write.mode("append").json(f"{self.root}/publications")
+        entry = {"version": parent + 1, "run_id": run_id, "parent": parent, "folders": paths,
+                 "published_at": dt.datetime.now(dt.timezone.utc).isoformat()}
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/publications/{parent + 1:020d}.json")
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            if not files.exists(path):
+                raise
+            raise Conflict(f"version {parent + 1} is published already; start a fresh run") from error
+        try:
+            out.write(bytearray(json.dumps(entry).encode()))
+        finally:
+            out.close()
 
     def bootstrap(self):
         """Create the four empty tables as version 0; existing tables are untouched."""
@@ -119,11 +139,13 @@ class Store:
     # --- append-only tables ------------------------------------------------------------
 
     def cache(self) -> DataFrame:
+        """Answers of all runs; two runs may have asked for one key, see `one_answer`."""
         found = self._read_or_none(f"{self.root}/ai_cache", S.AI_CACHE)
-        return self.spark.createDataFrame([], S.AI_CACHE) if found is None else found
+        return self.spark.createDataFrame([], S.AI_CACHE) if found is None else found.select(*S.AI_CACHE.names)
 
-    def append_cache(self, rows: DataFrame):
-        rows.select(*S.AI_CACHE.names).write.mode("append").parquet(f"{self.root}/ai_cache")
+    def append_cache(self, rows: DataFrame, run_id):
+        """A run's answers, in a folder of its own: a repeated step replaces them."""
+        rows.select(*S.AI_CACHE.names).write.mode("overwrite").parquet(f"{self.root}/ai_cache/by_run={run_id}")
 
     def reports(self) -> DataFrame:
         return self.spark.read.schema(S.RUN_LOG).json(f"{self.root}/runs")

@@ -27,6 +27,11 @@ def test_filters_compose_and_include_the_end_day(spark, feedback):
     assert explore.search(rows, "%").count() == 0        # literal, not a pattern
 
 
+def test_search_reads_the_whole_query(spark, feedback):
+    rows = feedback(("support", "1", "u", "x" * 200 + "A", None, "2026-01-01")).withColumn("explanation", F.lit(""))
+    assert explore.search(rows, "x" * 200 + "a").count() == 1 and explore.search(rows, "x" * 200 + "b").count() == 0
+
+
 def test_pages(spark, feedback):
     rows = feedback(*[("s", f"{i:02d}", "u", "x", 1, dt.datetime(2026, 1, 1) + dt.timedelta(hours=i // 2)) for i in range(60)])
     last = explore.page(rows, 99).collect()

@@ -25,8 +25,8 @@ def test_decision_validation(spark):
             ("issue-2", "maybe", "P1", "o" * 90, None)]
     df = spark.createDataFrame(rows, "issue_key string, status string, priority string, owner string, note string")
     a, b, c = G.validate_decisions(df).collect()
-    assert (a.reason, a.issue_key, a.priority, a.owner, len(a.note)) == (None, "issue-1", None, None, 500)
-    assert b.reason == "issue key" and c.reason == "status" and len(c.owner) == 80
+    assert (a.reason, a.issue_key, a.priority, a.owner, len(a.note)) == (None, "issue-1", None, None, 600)
+    assert b.reason == "issue key" and c.reason == "status" and len(c.owner) == 90
 
 
 def test_conflicts_and_copies(feedback):
@@ -78,3 +78,12 @@ def test_reused_pending_and_retained_partition_the_keys(feedback):
     assert sorted(r.feedback_id for r in reused) == ["1", "2"]     # NULL text equals NULL text
     assert [r.feedback_id for r in pending] == ["3"]
     assert {r.feedback_id: r.rating for r in reused} == {"1": 1, "2": 2}   # current columns
+
+
+def test_long_owner_and_note_are_kept_or_refused(spark):
+    forms = spark.createDataFrame([("issue-" + "a" * 24, "approved", "P1", "o" * 200, "n" * 900)],
+                                  "issue_key string, status string, priority string, owner string, note string")
+    kept = G.validate_decisions(forms).first()
+    assert (len(kept.owner), len(kept.note)) == (200, 900)
+    assert G.validate_decisions(forms, owner_size=80).first().reason == "owner length"
+    assert G.validate_decisions(forms, note_size=500).first().reason == "note length"

@@ -91,7 +91,8 @@ def test_projections(spark):
     ticket = spark.createDataFrame([("T", "a@b.c", None, "m", "1781510249000", "open", "email")], S.RAW_SUPPORT)
     r = X.normalize_support(ticket).first()
     assert r.metadata == "status:|open|channel:|email" and r.message_text == "m"
-    assert r.user_id == "user_" + hashlib.sha256(b"a@b.c").hexdigest()[:8]
+    assert r.user_id == "user_" + hashlib.sha256(b"a@b.c").hexdigest()
+    assert X.normalize_support(ticket, digits=8).first().user_id == "user_" + hashlib.sha256(b"a@b.c").hexdigest()[:8]
 
 
 def test_issue_counts_messages_and_reporters(spark, feedback):

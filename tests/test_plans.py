@@ -34,6 +34,17 @@ def test_relational_paths_have_no_python_and_no_pairs(rows):
             assert bad not in text
 
 
+def test_issue_filter_reaches_the_scan(spark, rows):
+    groups = spark.createDataFrame([("issue-1", "Late Delivery", "COMPLAINT_DELIVERY")], "key string, name string, category string")
+    text = plan(explore.filter_feedback(rows, Filter(issue="issue-1"), groups))
+    assert "EqualTo(issue_type,Late Delivery)" in text
+    assert "EqualTo(issue_type,Late Delivery)" in plan(issues.evidence(rows, "issue-1", groups))
+
+
+def test_overview_expands_no_rows(rows):
+    assert "Expand" not in plan(explore.overview(rows))
+
+
 def test_ranks_are_limited_before_the_shuffle(rows):
     assert plan(issues.top_messages(rows, 5)).count("WindowGroupLimit") >= 4
     assert "WindowGroupLimit" in plan(Q.sample_rank(rows, 20))

@@ -6,6 +6,7 @@ from echoloom.operators.gates import GateFailure
 from echoloom.plans.audit import with_audit
 from echoloom.plans.refresh import Refresh
 from echoloom.plans.submissions import submission_refresh
+from echoloom.tables import Conflict
 
 ROWS = [("support", "1", "u1", "Payment failed, call 07700 900190", None, "2026-01-01"),
         ("support", "2", "u2", "Delivery was late", None, "2026-01-02"),
@@ -159,3 +160,57 @@ def test_observer_failures_never_repeat_or_hide():
     with pytest.raises(ValueError):
         with_audit(failing, broken, {})
     assert calls == [1, 1]
+
+
+def test_run_id_is_bound_to_its_input(store, feedback):
+    Refresh(store, "1").run(feedback(ROWS[0]))
+    Refresh(store, "1").run(feedback(ROWS[0]))                      # a replay
+    with pytest.raises(ValueError, match="another input"):
+        Refresh(store, "1").run(feedback(*ROWS))
+    assert len(table(store)) == 1
+
+
+def test_second_commit_on_one_parent_fails(store):
+    store.commit("a", 0, store.head()["folders"])
+    with pytest.raises(Conflict):
+        store.commit("b", 0, store.head()["folders"])
+    assert store.head()["run_id"] == "a" and store.read("feedback_clean", 1).count() == 0
+
+
+def test_overlapping_runs_may_cache_one_answer_twice(store, feedback):
+    Refresh(store, "1").run(feedback(*ROWS))
+    store.append_cache(store.cache(), "overlap")
+    changed = ROWS[1][:3] + ("The order is wrong",) + ROWS[1][4:]
+    again = Refresh(store, "2").run(feedback(*ROWS[:1], changed))
+    assert again["analyze"]["ai_messages"] == 1 and len(table(store)) == 4
+    back = Refresh(store, "3").run(feedback(ROWS[1]))               # its answer is there twice
+    assert back["analyze"]["ai_messages"] == 0 and table(store)["support", "2"].issue_type == "Late Delivery"
+
+
+def test_all_evidence_is_published(store, feedback):
+    rows = [("support", str(i), f"u{i}", f"Payment failed {i}", None, "2026-01-01") for i in range(150)]
+    Refresh(store, "1").run(feedback(*rows))
+    assert store.read("issue_evidence").agg(F.sum("messages")).first()[0] == 150
+    assert store.read("issue_evidence").select(F.explode("example_messages.message").alias("m")).distinct().count() == 150
+
+
+def test_rejected_labels_are_saved(store, feedback):
+    make = keyword_model()
+
+    class Odd:
+        def predict(self, batch):
+            out = make().predict(batch)
+            out.loc[:, "sentiment"] = "odd"
+            return out
+    with pytest.raises(GateFailure):
+        Refresh(store, "1", Odd).run(feedback(*ROWS))
+    run = Refresh(store, "1")
+    with_failures = [s for s in ("failed_ai_responses", "failed_analysis") if _exists(run, s)]
+    assert with_failures
+
+
+def _exists(run, name):
+    try:
+        return run.stage(name).count() > 0
+    except Exception:
+        return False

@@ -95,3 +95,31 @@ def test_status(spark):
                                  "run_id long, life_cycle_state string, result_state string")
     got = {r.id: (r.status, r.can_retry) for r in U.submission_status(subs, runs).collect()}
     assert got == {"a": ("completed", False), "b": ("failed", True), "c": ("processing", False), "d": ("saved", True)}
+
+
+def test_late_posts_never_break_the_limit(spark):
+    """Ten posts at 07:30, then ten at 07:10 in the next batch: the late ones are reported, not accepted."""
+    folder, out = scratch(spark, "late-in"), scratch(spark, "late-out")
+    late = T0 + dt.timedelta(minutes=10)
+    for minutes in (30, 10):
+        rows = [(f"{minutes}-{i}", "a", T0 + dt.timedelta(minutes=minutes)) for i in range(10)]
+        spark.createDataFrame(rows, "id string, created_by string, created_at timestamp").coalesce(1) \
+            .write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("id string, created_by string, created_at timestamp").parquet(folder)
+        stream_rate_limit(stream, out, f"{out}-ckpt").awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 20 and got.where("accepted").count() == 10
+    assert got.where("late AND NOT accepted").count() == 10
+
+
+def test_receipts_complete_submissions_once(spark):
+    subs = spark.createDataFrame([("1", None, None, "busy"), ("2", '{"a":1}', T0, None), ("3", None, None, "x")],
+                                 "id string, result string, completed_at timestamp, dispatch_error string")
+    done = spark.createDataFrame([("1", '{"b":2}'), ("2", '{"c":3}')], "id string, result string")
+    at = F.lit(T0 + dt.timedelta(days=1))
+    once = U.apply_receipts(subs, done, at)
+    again = U.apply_receipts(once, done, at + F.make_dt_interval(days=F.lit(1)))
+    got = {r.id: r for r in again.collect()}
+    assert got["1"].result == '{"b":2}' and got["1"].completed_at == T0 + dt.timedelta(days=1)
+    assert got["1"].dispatch_error is None and got["2"].result == '{"a":1}' and got["2"].completed_at == T0
+    assert got["3"].result is None and got["3"].dispatch_error == "x"
