@@ -119,9 +119,18 @@ def top_messages_per_issue(spark, sf):
         "issue_cat", "issue_type", "rank", "source", "feedback_id", "timestamp")
 
 
-RANKED = """SELECT *, row_number() OVER (PARTITION BY category, uncertain_classification
+def ranked_sql(table):
+    return f"""SELECT *, row_number() OVER (PARTITION BY category, uncertain_classification
   ORDER BY CASE WHEN source = 'app_submission' THEN 0 ELSE 1 END, sha256(source || '|' || feedback_id))
-  AS sample_rank FROM grouped"""
+  AS sample_rank FROM {table}"""
+
+
+def sample_sql(table, n):
+    return f"""SELECT * FROM ({ranked_sql(table)}) ORDER BY sample_rank,
+  CASE WHEN source = 'app_submission' THEN 0 ELSE 1 END, category, uncertain_classification DESC LIMIT {n}"""
+
+
+RANKED = ranked_sql("grouped")
 
 
 @query("stratified_sample_rank", f"""SELECT source, feedback_id, category, uncertain_classification,
@@ -131,8 +140,7 @@ def stratified_sample_rank(spark, sf):
         "source", "feedback_id", "category", "uncertain_classification", "sample_rank")
 
 
-SAMPLE = f"""SELECT * FROM ({RANKED}) ORDER BY sample_rank,
-  CASE WHEN source = 'app_submission' THEN 0 ELSE 1 END, category, uncertain_classification DESC LIMIT 20"""
+SAMPLE = sample_sql("grouped", 20)
 
 
 @query("quality_sample", f"""SELECT source, feedback_id, category, sentiment, explanation, sample_rank

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from checks.base import (CTES, FLAG, ISSUE_CAT, four, issue_type_case, label_columns, labelled, masked_rows,
                          new_store, query, stamp)
-from checks.reports import RATE_LIMIT, SAMPLE, WEEKS
-from checks.tables import ROW, previous_store, slim
+from checks.reports import RATE_LIMIT, WEEKS, sample_sql
+from checks.tables import ROW, previous_store, published, slim
 from echoloom import schemas as S
 from echoloom.operators import ai, issues, submissions as U
 from echoloom.plans.evaluate import evaluate
@@ -139,13 +139,19 @@ def submission_refresh_query(spark, sf):
     return _receipt_rows(submission_refresh(run, Z.submissions(spark, sf)))
 
 
+JUDGED = f"""SELECT *, {label_columns()} FROM (SELECT o.category AS old_category, o.sentiment AS old_sentiment,
+  o.explanation AS old_explanation, coalesce(c.message_text, o.message_text) AS message_text
+  FROM ({sample_sql("old_grouped", 1000)}) o LEFT JOIN clean c ON o.source = c.source AND o.feedback_id = c.feedback_id)"""
+
+
 @query("quality_evaluation", f"""SELECT scorer, count(*) AS judged, count(CASE WHEN passed THEN 1 END) AS passed,
   round(avg(CAST(passed AS INT)), 6) AS pass_rate FROM (
-  SELECT 'category_supported' AS scorer, true AS passed FROM ({SAMPLE}) UNION ALL
-  SELECT 'sentiment_supported', true FROM ({SAMPLE}) UNION ALL
-  SELECT 'explanation_grounded', trim(explanation) <> '' FROM ({SAMPLE})) GROUP BY scorer""")
+  SELECT 'category_supported' AS scorer, old_category = category AS passed FROM ({JUDGED}) UNION ALL
+  SELECT 'sentiment_supported', old_sentiment = sentiment FROM ({JUDGED}) UNION ALL
+  SELECT 'explanation_grounded', old_explanation = explanation FROM ({JUDGED})) GROUP BY scorer""")
 def quality_evaluation(spark, sf):
-    return evaluate(Z.grouped(spark, sf))
+    """Labels of the earlier load, at its version, against today's texts: some texts changed."""
+    return evaluate(published(spark, sf), 1, Z.stored(spark, sf), n=1000)
 
 
 @query("ai_audit_log", f"""SELECT source, feedback_id, md5(message_text) AS text_md5, sentiment

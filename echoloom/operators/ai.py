@@ -1,10 +1,11 @@
 """Labelling: keyword rules as one expression, or a batch model over Arrow batches."""
 
-import re
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from echoloom import schemas as S
@@ -97,18 +98,21 @@ def keyword_model():
 
     class KeywordModel:
         def __init__(self):
-            flags = re.I | re.A
-            self.rules = [(re.compile(p, flags), answer) for p, *answer in rules]
-            self.good, self.bad = [re.compile(w, flags) for w in words]
+            self.answers = [answer for _, *answer in rules] + [list(default)]
 
-        def answer(self, text):
-            return next((a for p, a in self.rules if p.search(text)), default)
+        def hits(self, texts, pattern):
+            """One mask per pattern; patterns are in lower case."""
+            spaces = pattern.replace("\\s", "[\\t\\n\\v\\f\\r ]")
+            return pc.match_substring_regex(texts, spaces).to_numpy(zero_copy_only=False)
 
         def predict(self, batch: pd.DataFrame) -> pd.DataFrame:
-            texts = batch["message_text"].fillna("")
-            out = pd.DataFrame([self.answer(t) for t in texts],
-                               columns=["value", "confidence_score", "rationale"])
-            good, bad = [texts.map(w.search).notna().to_numpy() for w in (self.good, self.bad)]
+            texts = pc.ascii_lower(pa.array(batch["message_text"], pa.large_string(), from_pandas=True).fill_null(""))
+            masks = [self.hits(texts, p) for p, *_ in rules]
+            first = np.select(masks, range(len(masks)), len(masks))
+            out = pd.DataFrame({name: np.array([a[i] for a in self.answers], object)[first]
+                                for i, name in enumerate(("value", "confidence_score", "rationale"))})
+            out["confidence_score"] = out["confidence_score"].astype(float)
+            good, bad = [self.hits(texts, w) for w in words]
             out["sentiment"] = np.select([good & bad, good, bad], ["mixed", "positive", "negative"],
                                          "neutral")
             out["error_message"] = None

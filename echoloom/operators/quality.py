@@ -66,15 +66,22 @@ def pass_rates(judged: DataFrame) -> DataFrame:
         F.avg(F.col("passed").cast("double")).alias("pass_rate"))
 
 
-def with_keyword_labels(sample: DataFrame) -> DataFrame:
-    """Adds the keyword labeller's answer as `_label` and `_sentiment`."""
-    from echoloom.functions.labels import with_keyword_label
-    fresh = with_keyword_label(sample.withColumnRenamed("sentiment", "_saved"))
-    return fresh.withColumnsRenamed({"sentiment": "_sentiment", "_saved": "sentiment"})
-
-
-def keyword_scorers() -> dict:
-    """Offline judges: does a saved label agree with the keyword labeller?"""
-    return {"category_supported": F.col("category") == F.col("_label.value"),
-            "sentiment_supported": F.col("sentiment") == F.col("_sentiment"),
-            "explanation_grounded": F.coalesce(F.trim("explanation") != "", F.lit(False))}
+def model_judge(make_model):
+    """A batch judge from a labelling model: is a saved label what the model says of the text?"""
+    class ModelJudge:
+        def __init__(self):
+            self.model = make_model()
+
+        def assess(self, batch: pd.DataFrame) -> pd.DataFrame:
+            answer = self.model.predict(batch)
+            parts = []
+            for scorer, saved, wanted in (("category_supported", "category", "value"),
+                                          ("sentiment_supported", "sentiment", "sentiment"),
+                                          ("explanation_grounded", "explanation", "rationale")):
+                passed = batch[saved].to_numpy() == answer[wanted].to_numpy()
+                parts.append(batch[["source", "feedback_id"]].assign(
+                    scorer=scorer, passed=passed, reason=[None if p else f"the text says {w}"
+                                                          for p, w in zip(passed, answer[wanted])]))
+            return pd.concat(parts)
+
+    return ModelJudge
