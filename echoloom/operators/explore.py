@@ -3,7 +3,7 @@
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from echoloom import schemas as S
 from echoloom.functions import labels
@@ -60,10 +60,26 @@ def order_evidence(df: DataFrame) -> DataFrame:
 
 
 def page(df: DataFrame, number: int, size: int = 25) -> DataFrame:
-    """Page `number`, clamped to the pages there are. For deep pages use `page_after`."""
-    pages = max(1, -(-df.count() // size))
-    at = min(max(1, number), pages)
-    return order_evidence(df).offset((at - 1) * size).limit(size)
+    """Page `number`, clamped to the pages there are; its days are found by counts before any sort."""
+    days = df.groupBy(F.to_date("timestamp").alias("day")).agg(F.count("*").alias("n"))
+    order = W.orderBy(F.col("day").desc())              # one row per day reaches the window
+    days = days.withColumn("before", F.sum("n").over(order) - F.col("n"))
+    total = days.agg(F.sum("n")).first()[0] or 0 if number > 1 else size
+    skip = (min(max(1, number), max(1, -(-total // size))) - 1) * size
+    # only the days that the page touches are sorted
+    touched = days.where((F.col("before") < skip + size) & (F.col("before") + F.col("n") > skip)).agg(
+        F.min("day").alias("first"), F.max("day").alias("last"), F.min("before").alias("before"),
+        F.max(F.col("day").isNull()).alias("open")).first()
+    if touched["before"] is None:
+        return df.limit(0)
+    day = F.to_date("timestamp")
+    inside = F.lit(False)
+    if touched["first"] is not None:
+        after = touched["last"] + dt.timedelta(days=1)
+        inside = (F.col("timestamp") >= _midnight(touched["first"].isoformat())) & (F.col("timestamp") < _midnight(after.isoformat()))
+    if touched["open"]:
+        inside = F.coalesce(inside, F.lit(False)) | day.isNull()
+    return order_evidence(df.where(inside)).offset(skip - touched["before"]).limit(size)
 
 
 def page_after(df: DataFrame, last=None, size: int = 25) -> DataFrame:
@@ -127,7 +143,6 @@ def facets(rows: DataFrame) -> DataFrame:
     """Date bounds and the categories present, for a filter form: one row per category."""
     per = rows.groupBy("category").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
     # At most one row per category reaches the window.
-    from pyspark.sql import Window as W
     every = W.partitionBy()
     return per.select("category", F.to_date(F.min("a").over(every)).alias("first_day"),
                       F.to_date(F.max("b").over(every)).alias("last_day"))

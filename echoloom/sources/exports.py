@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from echoloom import schemas as S
+from echoloom.operators import gates
 
 
 def read_csv_export(spark: SparkSession, path, schema, multi_line=False) -> DataFrame:
@@ -123,6 +124,15 @@ def read_submissions(submissions: DataFrame, ids: DataFrame = None) -> DataFrame
     return canonical(normalize_submission(picked))
 
 
+def read_snapshot(store, version: int = None) -> DataFrame:
+    """The read side's rows of a published version; refused if a needed field is missing or a key is there twice."""
+    rows = feedback_snapshot(store.read("feedback_with_issue_type", version))
+    checked = gates.row(gates.key_violations(rows, missing=gates.missing_snapshot_field(), empty=gates.empty_key()))
+    gates.enforce(checked, {"missing": "the table lacks fields that the read side needs",
+                            "duplicate_keys": "the table holds a key twice", "empty": "the table holds an empty key"}, {})
+    return rows
+
+
 def feedback_snapshot(df: DataFrame) -> DataFrame:
     """The read side's 13 columns; scores that are not finite become NULL."""
     score = F.col("confidence_score").try_cast("double")

@@ -29,6 +29,31 @@ def test_every_rule_family_on_every_phrase(spark):
         assert r.issue_cat == (None if want is None else R.ISSUE_CATEGORY.get(r.category, r.category))
 
 
+EXPECTED = [   # written out, so that a slip in a rule table shows
+    ("BUG_REPORT", "The payment failed", "Payment/Checkout Failure"), ("BUG_REPORT", "It has crashed", "App Crash/Freeze"),
+    ("BUG_REPORT", "No OTP came", "Login/Authentication"), ("BUG_REPORT", "Search is broken", "Search Functionality"),
+    ("BUG_REPORT", "The button is broken", "Button/UI Not Working"), ("BUG_REPORT", "Broken since May", "Post-Update Issues"),
+    ("BUG_REPORT", "Voucher error", "Promo Code Issues"), ("BUG_REPORT", "Billed twice", "Duplicate Charges"),
+    ("BUG_REPORT", "It is broken", "Other Bug"), ("FEATURE_REQUEST", "Add a dark theme", "Dark Mode"),
+    ("FEATURE_REQUEST", "Let us split bills: split bill", "Group/Split Orders"), ("FEATURE_REQUEST", "Order in advance", "Scheduled Orders"),
+    ("FEATURE_REQUEST", "A bookmark list", "Favorites/Saved Items"), ("FEATURE_REQUEST", "Show a GPS dot", "Better Tracking"),
+    ("FEATURE_REQUEST", "Send an alert", "Notifications/Alerts"), ("FEATURE_REQUEST", "Vegan dishes", "Dietary Filters"),
+    ("FEATURE_REQUEST", "A gratuity", "Tipping Options"), ("FEATURE_REQUEST", "A new logo", "UI/Design Changes"),
+    ("FEATURE_REQUEST", "Add PayPal", "Payment Methods"), ("FEATURE_REQUEST", "More", "Other Feature Request"),
+    ("COMPLAINT_DELIVERY", "It was late and cold", "Late Delivery"), ("COMPLAINT_DELIVERY", "Cold soup", "Food Temperature"),
+    ("COMPLAINT_DELIVERY", "A mistake", "Wrong Order"), ("COMPLAINT_DELIVERY", "Forgot the rice", "Missing Items"),
+    ("COMPLAINT_DELIVERY", "It never came", "Order Cancelled/No Show"), ("COMPLAINT_DELIVERY", "Rude driver", "Driver/Location Issues"),
+    ("COMPLAINT_DELIVERY", "A spill", "Damaged Food"), ("COMPLAINT_DELIVERY", "Bad", "Other Delivery Issue"),
+    ("COMPLAINT_PRICING", "x", "Pricing/Fees Too High"), ("COMPLAINT_SUPPORT", "x", "Customer Support Issues"),
+    ("COMPLAINT_APP", "x", "App Performance"), ("PRAISE", "The payment failed", None), ("QUESTION", "x", None)]
+
+
+def test_issue_of_each_text(spark):
+    df = spark.createDataFrame([(i, c, t) for i, (c, t, _) in enumerate(EXPECTED)], "i int, category string, message_text string")
+    got = {r.i: r.issue_type for r in labels.with_issue_type(df).collect()}
+    assert [(t, got[i]) for i, (_, t, _) in enumerate(EXPECTED)] == [(t, want) for _, t, want in EXPECTED]
+
+
 def test_rules_are_ordered(spark):
     df = spark.createDataFrame([("BUG_REPORT", "promo code"), ("BUG_REPORT", "card charged twice")],
                                "category string, message_text string")

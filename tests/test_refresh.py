@@ -6,6 +6,7 @@ from echoloom.operators.gates import GateFailure
 from echoloom.plans.audit import with_audit
 from echoloom.plans.refresh import Refresh
 from echoloom.plans.submissions import submission_refresh
+from echoloom.sources.exports import read_snapshot
 from echoloom.tables import Conflict
 
 ROWS = [("support", "1", "u1", "Payment failed, call 07700 900190", None, "2026-01-01"),
@@ -214,3 +215,15 @@ def _exists(run, name):
         return run.stage(name).count() > 0
     except Exception:
         return False
+
+
+def test_bad_snapshot_is_refused(store, feedback):
+    Refresh(store, "1").run(feedback(*ROWS))
+    assert read_snapshot(store).count() == 4
+    rows = store.read("feedback_with_issue_type")
+    folders = dict(store.head()["folders"])
+    for n, bad in enumerate((rows.unionByName(rows), rows.withColumn("sentiment", F.lit(None).cast("string")))):
+        folders["feedback_with_issue_type"] = store.write_version("feedback_with_issue_type", bad, f"bad-{n}")
+        store.commit(f"bad-{n}", store.head()["version"], folders)
+        with pytest.raises(GateFailure):
+            read_snapshot(store)
