@@ -258,8 +258,9 @@ def _decided(docs: DataFrame, percent: int) -> DataFrame:
         classes.select(F.col("digest").alias("node"), "least"), "node")
     first = linked.groupBy("root").agg(F.min("least").alias("first"))
     named = linked.join(first, "root").select(F.col("node").alias("digest"), "first")
-    labels = classes.select("digest", "least").join(named, "digest", "left").select(
-        "digest", F.coalesce("first", "least").alias("least"))
+    # written, so that the last join deals both sides out anew and can split a digest with many copies
+    labels = shared.saved(classes.select("digest", "least").join(named, "digest", "left").select(
+        "digest", F.coalesce("first", "least").alias("least")), "labels")
     return sketches.select("doc_id", "row_key", "n_shingles", "digest", own.alias("own")).join(labels, "digest", "left")
 
 
