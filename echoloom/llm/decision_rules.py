@@ -174,9 +174,9 @@ def learn(stats: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     Rows without ID or label don't teach; without bad or good rows the list is empty. Equal inputs give equal lists.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
-    rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-            .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold != HELD_OUT)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labelled))
+    rows = shared.hash_sample(
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+        .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold != HELD_OUT), max_labelled, "doc_id", "quality")
     named = shared.saved(stats.join(rows, "doc_id").select(
         (fold != PRUNE).alias("grow"), (F.col("quality") == 0).cast("long").alias("bad"),
         *[F.coalesce(F.expr(e).cast("double"), F.lit(0.0)).alias(f) for f, e in FEATURES.items()]), "rule-rows")

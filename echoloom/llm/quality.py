@@ -122,9 +122,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     Rows without a label, ID or text don't teach. With no labelled row all weights are 0 and every score 0.5.
     """
     shared.small_batches(docs.sparkSession)
-    rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
-            .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != 0)
-            .withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id", "quality").limit(max_labelled))
+    rows = shared.hash_sample(
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
+        .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != 0), max_labelled, "doc_id", "quality")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where("text IS NOT NULL")
     shards = (texts.join(rows, "doc_id").select(F.pmod("turn", F.lit(SHARDS)).alias("shard"), "turn", "text", "quality")

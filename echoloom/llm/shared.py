@@ -96,6 +96,19 @@ def let_through(df: DataFrame, bitmap: np.ndarray, column: str = "row_key") -> D
     return df.mapInArrow(run, df.schema)
 
 
+def hash_sample(df: DataFrame, most: int, *keys: str) -> DataFrame:
+    """The `most` rows of the least hash of `keys`, with that hash as `turn`; ties by the keys.
+
+    Rows are counted first, and only those below a hash that lets about 2 * most + 100 rows through are sorted: what
+    tasks send doesn't grow with their number.
+    """
+    total = df.count()
+    below = min(1.0, (2 * most + 100) / max(1, total)) * float(1 << 63)
+    turn = F.shiftrightunsigned(F.xxhash64(*keys), 1)
+    return (df.withColumn("turn", turn).where(F.col("turn").cast("double") <= below)
+            .orderBy("turn", *keys).limit(most))
+
+
 def literal_rows(spark, rows: list[dict], kind: str) -> DataFrame:
     """A small table from a parameter, as one literal: `kind` is its struct in DDL."""
     import json
