@@ -11,6 +11,8 @@ from echoloom.llm.mixing import mix
 from echoloom.llm.near_dups import one_of_each
 from echoloom.llm.quality import accepted
 
+NEAR_PERCENT = 80
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,8 +33,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return one_of_each(docs)
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return one_of_each(docs, percent=NEAR_PERCENT)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,6 +113,24 @@ def test_one_of_each(docs, rows, empty):
     assert near_dups.one_of_each(empty).count() == 0
 
 
+def test_near_stage_links_from_80_percent(spark):
+    """Pairs at similarity 0.80 to 0.85 lose one document in the pipeline, and pairs below 0.80 none."""
+    import corpus_pipeline
+    rows = []
+    for i in range(40):
+        words = prose(200, 7000 + i).split()
+        other = words[:]
+        for j in range(2 + i % 5):  # each of these takes five of 196 shingles
+            other[20 + 30 * j] = f"changed{j}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    sets = [shingles(t) for _, t in rows]
+    like = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 80, 2)]
+    assert any(0.8 <= x < 0.85 for x in like) and any(x < 0.8 for x in like)
+    want = {2 * i for i in range(40)} | {2 * i + 1 for i, x in enumerate(like) if x < 0.8}
+    kept = corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == want
+
+
 def test_decontamination(spark, docs, rows, empty):
     bench = spark.createDataFrame([(i, t, 5) for i, t in ITEMS], "item_id long, text string, doc_id int")
     got = {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in decontaminate.contaminated(docs, bench).collect()}
