@@ -192,6 +192,29 @@ def test_line_chunks(spark, docs, empty):
     assert line_chunks.dedup_lines(empty).count() == 0
 
 
+def test_short_passages_between_other_lines(spark):
+    """Planted passages of 2 to 8 short lines go whole from all places but the first; written-out results."""
+    rows, want, r = [], {}, random.Random(8)
+    for k in range(60):
+        n = 2 + k % 7
+        shared = "\n".join(prose(3 if n > 6 else 9, 40_000 + 10 * k + i) for i in range(n))
+        for j in range(3):
+            before, after = passage(r.randint(1, 4), 50_000 + 6 * k + 2 * j), passage(r.randint(1, 4), 50_001 + 6 * k + 2 * j)
+            rows.append((3 * k + j, f"{before}\n{shared}\n{after}"))
+            want[3 * k + j] = (f"{before}\n{after}", 1, n, len(shared.encode())) if j else (rows[-1][1], 0, 0, 0)
+    lines = [prose(6, 60_000 + i) for i in range(4)]
+    tiny = "\n".join(f"line {i:02}" for i in range(12))  # no chunk of two lines has 60 bytes
+    rows += [(1000, "\n".join([lines[0]] * 6)), (1001, "\n".join(lines[1:3] * 4)), (1002, tiny), (1003, "a\n" + tiny + "\nb"),
+             (1004, lines[3] + "\nx"), (1005, "y\n" + lines[3])]
+    out = line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = {x.doc_id: (x.text, x.n_removed_chunks, x.n_removed_lines, x.removed_bytes) for x in out}
+    assert {i: got[i] for i in want} == want
+    assert got[1000][0].strip("\n") == "\n".join([lines[0]] * 2) and got[1000][2] == 4
+    assert got[1001][0].strip("\n") == "\n".join(lines[1:3]) and got[1001][2] == 6
+    assert got[1002][0] == tiny and got[1003][0] == "a\nb" and got[1003][1:3] == (1, 12)
+    assert got[1004][0] == rows[-2][1] and got[1005][0] == rows[-1][1]
+
+
 def test_boundaries_resist_shifts():
     import pyarrow as pa
     text = passage(60, 3)
