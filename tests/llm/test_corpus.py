@@ -379,6 +379,33 @@ def test_licenses(spark, docs, empty):
     assert licenses.licenses(docs).count() == docs.count() and licenses.licenses(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Notices wrapped at any width, with comment marks or without, count once; a blank line ends a notice."""
+    import textwrap
+    notes = {"mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                    "documentation files (the \"Software\"), to deal in the Software without restriction",
+             "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                    "the following conditions are met:",
+             "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+                    "Public License as published by the Free Software Foundation, either version 3 of the License",
+             "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                     "General Public License as published by the Free Software Foundation; either version 2.1"}
+    rows, want = [], {}
+    for family, text in notes.items():
+        for width in (12, 30, 50, 72, 78):
+            for mark in ("", " * ", "# "):
+                wrapped = "\n".join(mark + x for x in textwrap.wrap(text, width))
+                want[len(rows)] = (family, 1)
+                rows.append((len(rows), f"{prose(12, len(rows))}\n{wrapped}\n{prose(30, len(rows) + 500)}"))
+    want[len(rows)] = ("", 0)
+    rows.append((len(rows), "Redistribution and use in source and binary forms, with or without\n\n"
+                            "modification, are permitted provided that the following conditions are"))
+    rows += [(len(rows) + i, prose(40, 900 + i)) for i in range(40)]
+    got = {r.doc_id: (r.licenses, r.n_notices) for r in
+           licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i] for i in want} == want and all(got[i] == ("", 0) for i in got if i not in want)
+
+
 def targets_brute(totals):
     names = sorted((s for s in totals if s is not None)) + [None] * (None in totals)
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
