@@ -202,3 +202,67 @@ def op9_license_scan(spark, sf_dir):
     """Licence families that documents name."""
     from echoloom.llm.licenses import licenses
     return licenses(table(spark, sf_dir, "documents"))
+
+
+def _nibbles():
+    """The CRC-32 steps of four bits, from its polynomial."""
+    out = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+@register(rf"""
+WITH RECURSIVE
+  r AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents),
+  d AS MATERIALIZED (SELECT doc_id, w, count(*) AS c, hex(encode(concat(doc_id, ':', w))) AS k FROM r WHERE len(w) >= 5 GROUP BY ALL),
+  h AS (SELECT w, c, xor(4294967295, list_reduce(list_transform(range(1, len(k) + 1),
+      lambda i: instr('123456789ABCDEF', substr(k, CASE WHEN i % 2 = 1 THEN i + 1 ELSE i - 1 END, 1))::BIGINT),
+      lambda a, x: xor({_nibbles()}[1 + (xor(a, x) & 15)], a >> 4), 4294967295::BIGINT)) AS h FROM d),
+  t AS (SELECT c, CASE WHEN h % 97 = 0 THEN left(w, (h % len(w))::INT) || substr(w, (h % len(w))::INT + 2) ELSE w END AS w FROM h),
+  v AS MATERIALIZED (SELECT w, sum(c)::BIGINT AS n FROM t WHERE len(w) >= 5 GROUP BY w HAVING sum(c) >= 3),
+  s AS MATERIALIZED (SELECT w, i, left(w, i - 1) AS p, substr(w, i + 1) AS e FROM (SELECT w, unnest(range(1, len(w) + 1))::INT AS i FROM v)),
+  x AS (SELECT DISTINCT s.w AS a, v.w AS b FROM s JOIN v ON v.w = s.p || s.e),
+  near AS MATERIALIZED (SELECT a, b FROM x UNION ALL SELECT b, a FROM x
+    UNION ALL SELECT y.w, z.w FROM s y JOIN s z ON y.p = z.p AND y.e = z.e AND y.w <> z.w),
+  best AS (SELECT a, count(*) AS n_near, first(b ORDER BY v.n DESC, b) AS b, max(v.n) AS bn FROM near JOIN v ON v.w = b GROUP BY a),
+  f AS MATERIALIZED (SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * n THEN b END AS form,
+    CASE WHEN bn >= 2 * n THEN bn END AS form_n FROM v LEFT JOIN best ON a = w),
+  up(w, top) AS (SELECT w, w FROM f UNION ALL SELECT up.w, f.form FROM up JOIN f ON f.w = up.top WHERE f.form IS NOT NULL)
+SELECT f.w AS word, f.form, up.top AS root, f.n, f.n_near, f.form_n
+FROM f JOIN up ON up.w = f.w JOIN f g ON g.w = up.top AND g.form IS NULL""")
+def op11_spelling_variants(spark, sf_dir):
+    """Words of all documents with their near words and forms."""
+    from echoloom.llm.spelling import variants
+    return variants(table(spark, sf_dir, "documents"))
+
+
+@register(r"""
+WITH a AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', doc_id)) AS h FROM documents),
+  b AS (SELECT *, len(t)::BIGINT AS n, list_transform(range(0, 4), lambda i: ('0x' || substr(h, 8 * i::INT + 1, 8))::BIGINT) AS g FROM a),
+  c AS (SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR g[3] % 100 >= 90 THEN 'plain'
+      WHEN g[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    least(g[1] % (n + 1), g[2] % (n + 1)) AS lo, greatest(g[1] % (n + 1), g[2] % (n + 1)) AS hi FROM b),
+  e AS (SELECT *, left(t, lo) AS p, substr(t, lo + 1, hi - lo) AS m, substr(t, hi + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256, sha256(t) AS restored_sha256
+FROM e""")
+def op12_fill_in_middle(spark, sf_dir):
+    """Every document as a fill-in-the-middle example, and what it was made of."""
+    from echoloom.llm.infill import fill_in_middle, restored
+    out = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+@register()
+def op13_pack(spark, sf_dir):
+    """All documents packed into sequences of at most 1024 tokens."""
+    import public_tokenizers
+
+    from echoloom.llm.packing import pack
+    out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
