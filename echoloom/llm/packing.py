@@ -1,7 +1,8 @@
 """Packing documents into training sequences of bounded length, balanced by attention cost.
 
-Tokens come from a tokenizer file that is given by its path. Texts are cut before white space after a visible character,
-where the tokenizer's own splitting always begins anew; only the distinct units of a piece of text are encoded.
+Tokens come from a tokenizer file of byte-level pairs that is given by its path. Texts are cut before white space after
+a visible character, and between a letter and a punctuation mark, where the tokenizer's own splitting always begins anew; only distinct units are encoded,
+many in one call, and remembered.
 
 A task packs what it reads in blocks of about `BLOCK` tokens; nothing is shuffled. Within a block, whole lengths of `LENGTH`
 are sequences of their own; what is left of each document goes, in descending order of size, to the sequence of least
@@ -24,7 +25,9 @@ from echoloom.llm import shared, words
 
 LENGTH, BLOCK, END = 1024, 1 << 21, 0
 WIDTH = 4608  # tokens of context at which attention costs as much as all else
-KNOWN, SHORT = 1 << 17, 64
+KNOWN = 1 << 19  # units to remember, and 16 times as many ids
+TOGETHER = 2000
+PIECE = 1 << 22
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[10, 32]] = True
@@ -33,6 +36,13 @@ _VISIBLE = np.zeros(256, bool)
 _VISIBLE[33:127] = True
 _MAYBE = np.zeros(256, bool)
 _MAYBE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_ACCENTED = np.zeros(256, bool)  # after C3: letters, but for the signs of times and division
+_ACCENTED[128:192] = True
+_ACCENTED[[0x97, 0xB7]] = False
+_MARK = np.zeros(256, bool)  # not the apostrophe, as some endings begin with it
+_MARK[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[]_{}"]] = True
 
 
 def price(size):
@@ -49,7 +59,9 @@ def units(data, offsets):
     lead3[2:] = _MAYBE[data[:-2]]
     visible |= letter & ~lead2 & ~lead3 & ~_MAYBE[data]
     cut = np.zeros(len(data) + 1, bool)
-    cut[1:-1] = _SPACE[data[1:]] & visible[:-1]
+    after_letter = _LETTER[data]
+    after_letter[1:] |= (data[:-1] == 0xC3) & _ACCENTED[data[1:]]
+    cut[1:-1] = (_SPACE[data[1:]] & visible[:-1]) | (_MARK[data[1:]] & after_letter[:-1])
     cut[offsets] = True
     cut[0] = False
     ends = np.flatnonzero(cut)
@@ -57,42 +69,79 @@ def units(data, offsets):
 
 
 class Encoder:
-    """Token ids of text columns; remembers about `KNOWN` units of up to `SHORT` characters."""
+    """Token ids of text columns; remembers the ids of units one after another, up to a bound."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.known: dict[str, np.ndarray] = {}
-
-    def _ids(self, strings):
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        new, got = [u for u in strings if u not in self.known], {}
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for u, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                got[u] = np.array(e.ids, np.uint32)
-        self.known.update((u, ids) for u, ids in got.items() if len(u) <= SHORT)
-        return [got[u] if u in got else self.known[u] for u in strings]
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a character of a token's name is a byte
+        self._forget()
+
+    def _forget(self):
+        self.numbers: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encoded(self, strings):
+        """(ids of all strings, how many each has). Strings that can stand in one text are encoded as one."""
+        joins = [u[0] in " \n" and not u[-1].isspace() for u in strings]
+        together = [i for i, j in enumerate(joins) if j]
+        groups = [together[i:i + TOGETHER] for i in range(0, len(together), TOGETHER)] + [[i] for i, j in enumerate(joins) if not j]
+        found, sizes = [], np.zeros(len(strings), np.int64)
+        for a in range(0, len(groups), 256):
+            some = groups[a:a + 256]
+            texts = ["".join([strings[i] for i in g]) for g in some]
+            for g, e in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, np.uint32)
+                ends = np.cumsum(self.bytes[ids])
+                stops = np.searchsorted(ends, np.cumsum([len(strings[i].encode()) for i in g])) + 1
+                sizes[g] = np.diff(stops, prepend=0)
+                found.append(ids)
+        order = [i for g in groups for i in g]
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        # back to the order of the strings
+        starts = np.empty(len(strings), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat[_runs(starts, sizes)], sizes
+
+    def _numbers(self, strings):
+        """Numbers of the strings among what is remembered."""
+        if len(self.numbers) > KNOWN or len(self.flat) > 16 * KNOWN:
+            self._forget()
+        get = self.numbers.get
+        out = np.fromiter((get(u, -1) for u in strings), np.int64, len(strings))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            new = [strings[i] for i in missing]
+            out[missing] = np.arange(len(self.numbers), len(self.numbers) + len(new))
+            self.numbers.update(zip(new, out[missing].tolist()))
+            ids, sizes = self._encoded(new)
+            self.flat = np.concatenate([self.flat, ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return out
 
     def encode(self, column):
         """(ids of all texts with `END` after each, offsets by text)."""
         data, offsets = words.buffers(column)
         ends, counts = units(data, offsets)
-        texts = len(offsets) - 1
         strings = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)),
                                                    pa.py_buffer(data)).dictionary_encode()
-        ids = self._ids(strings.dictionary.to_pylist()) + [np.array([END], np.uint32)]
-        # every text's units, then the end
-        which = np.insert(strings.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(counts), len(ids) - 1)
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        each = sizes[which]
-        stops = np.cumsum(each)
-        flat = np.concatenate(ids)[np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts[which] - stops + each, each)]
-        return flat, np.concatenate([[0], stops[np.cumsum(counts + 1) - 1]]) if texts else np.zeros(1, np.int64)
+        numbers = self._numbers(strings.dictionary.to_numpy(zero_copy_only=False).tolist())
+        which = numbers[strings.indices.to_numpy(zero_copy_only=False)]
+        sizes = np.diff(self.starts)[which]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        n = stops[np.concatenate([[0], np.cumsum(counts)])]
+        ids = self.flat[_runs(self.starts[which], sizes)]
+        return np.insert(ids, n[1:], np.uint32(END)), n + np.arange(len(n))
+
+
+def _runs(starts, sizes):
+    """Places of runs, one after another."""
+    stops = np.cumsum(sizes)
+    return np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts - stops + sizes, sizes)
 
 
 def rooms(total: int, length: int) -> list[int]:
@@ -186,7 +235,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, block: int = BLO
 
         for batch in batches:
             encoder = encoder or Encoder(tokenizer)
-            for t in words.pieces(batch, "text"):
+            for t in words.pieces(batch, "text", PIECE):
                 flat, offsets = encoder.encode(t.column("text"))
                 kept.append((t.column("doc_id"), flat, offsets))
                 held += len(flat)
