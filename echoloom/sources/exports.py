@@ -4,16 +4,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from echoloom import schemas as S
 from echoloom.operators import gates
+from echoloom.sources.records import csv_records
 
 
-def read_csv_export(spark: SparkSession, path, schema, multi_line=False) -> DataFrame:
-    """Header CSV with doubled quotes; a malformed row fails the read.
+def read_csv_export(spark: SparkSession, path, schema, line_breaks=True) -> DataFrame:
+    """Header CSV with doubled quotes; a malformed row fails the read. Files are split among tasks.
 
-    Files are split among tasks. Set `multi_line` where quoted fields hold line breaks: a
-    file is then read by one task, so send such exports as many files.
+    Quoted fields may hold line breaks. Where it is known that none do, `line_breaks=False` takes Spark's own
+    reader, which needs no count of quotes beforehand.
     """
-    return (spark.read.schema(schema)
-            .options(header=True, mode="FAILFAST", multiLine=multi_line, escape='"').csv(path))
+    options = {"mode": "FAILFAST", "escape": '"'}
+    if not line_breaks:
+        return spark.read.schema(schema).options(header=True, **options).csv(path)
+    parsed = F.from_csv("record", schema.toDDL(), options | {"multiLine": "true"})
+    return csv_records(spark, path).select(parsed.alias("r")).select("r.*")
 
 
 def read_json_export(spark: SparkSession, path, schema, lines=False) -> DataFrame:

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-FAST = ["normalize_in_app", "mask_contacts", "classify_feedback", "issue_type_rules", "record_diff", "issue_summary",
+FAST = ["scan_csv_export", "normalize_in_app", "mask_contacts", "classify_feedback", "issue_type_rules", "record_diff", "issue_summary",
         "issue_examples", "issue_groups", "weekly_sentiment", "dedupe_by_key", "hourly_submission_count", "rate_limit",
         "submission_idempotency", "validate_submissions", "decision_upsert", "publish_result", "stream_dedup"]
 
