@@ -157,7 +157,7 @@ def gate_baseline_unchanged(spark, sf):
     from echoloom.plans.refresh import Refresh
     store = previous_store(spark, sf, "pinned")
     run = Refresh(store, "late")
-    run.save(spark.createDataFrame([(1,)], "version BIGINT"), "baseline")
+    run.pin(1)
     run.save(store.read("feedback_with_issue_type"), "grouped")
     for name in S.PUBLISHED:
         store.write_version(name, store.read(name), "other")

@@ -227,7 +227,7 @@ def published_evidence(spark, sf):
     from echoloom.plans.refresh import Refresh
     store = new_store(spark, "evidence").bootstrap()
     run = Refresh(store, "1")
-    run.save(spark.createDataFrame([(0,)], "version BIGINT"), "baseline")
+    run.pin(0)
     run.save(Z.grouped(spark, sf), "analyzed")
     run.step("group")
     rows = run.stage("evidence").select("issue_category", "issue_type", F.explode("example_messages").alias("e"))

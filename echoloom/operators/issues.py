@@ -85,12 +85,16 @@ def issue_summary(rows: DataFrame, newest: int = None) -> DataFrame:
     order = [F.col("timestamp").desc(), "source", "feedback_id"]
     ranked_rows = top_messages(rows, newest) if newest is not None else active(rows).withColumn(
         "rank", F.row_number().over(W.partitionBy(*ISSUE).orderBy(*order)))
+    return _with_examples(issue_totals(rows), ranked_rows)
+
+
+def _with_examples(totals: DataFrame, ranked_rows: DataFrame) -> DataFrame:
     shown = (ranked_rows.groupBy(*ISSUE)
              .agg(F.sort_array(F.collect_list(F.struct("rank", _example().alias("e")))).alias("_x"))
              .select(F.col("issue_cat").alias("issue_category"), "issue_type",
                      F.col("_x.e").alias("example_messages")))
     # An issue may carry a NULL category in saved data: compare null-safe.
-    t, s = issue_totals(rows).alias("t"), shown.alias("s")
+    t, s = totals.alias("t"), shown.alias("s")
     same = (F.col("t.issue_category").eqNullSafe(F.col("s.issue_category"))
             & (F.col("t.issue_type") == F.col("s.issue_type")))
     return t.join(s, same, "left").select(
@@ -98,29 +102,77 @@ def issue_summary(rows: DataFrame, newest: int = None) -> DataFrame:
           for c in S.SUMMARY.names])
 
 
-def issue_examples(rows: DataFrame, per_row: int = CHUNK) -> DataFrame:
+# --- the summary by parts ----------------------------------------------------------------
+# Counts, sums and times of a bucket are renewed when a run touches it; reporters are counted
+# in buckets by user, from messages per (issue, source, user), which can be taken back exactly.
+
+def part_totals(rows: DataFrame, *within) -> DataFrame:
+    """Counts, sums and times per issue, and per value of `within`."""
+    return active(rows).groupBy(*ISSUE, *within).agg(
+        F.count("*").alias("messages"), F.sum("confidence_score").alias("score"),
+        F.count("confidence_score").alias("scored"),
+        F.sum(F.col("uncertain_classification").cast("bigint")).alias("flagged"),
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+
+
+def user_messages(rows: DataFrame, sign: int = 1) -> DataFrame:
+    """Messages per (issue, source, user), each counting `sign`."""
+    named = active(rows).where(F.col("user_id").isNotNull() & (F.trim("user_id") != ""))
+    return named.groupBy(*ISSUE, "source", "user_id").agg((F.count("*") * sign).alias("messages"))
+
+
+def added_up(*parts: DataFrame) -> DataFrame:
+    """Messages per (issue, source, user) of several counts; those that come to none are left out."""
+    whole = parts[0].select(*S.USERS.names)
+    for p in parts[1:]:
+        whole = whole.unionByName(p.select(*S.USERS.names))
+    return whole.groupBy(*ISSUE, "source", "user_id").agg(F.sum("messages").alias("messages")).where("messages <> 0")
+
+
+def merged_summary(totals: DataFrame, reporters: DataFrame, newest_rows: DataFrame, newest: int = NEWEST) -> DataFrame:
+    """The summary from the parts of all buckets: a few rows per issue and bucket, whatever the number of messages."""
+    zero = F.lit(0).cast("long")
+    users = reporters.select(*ISSUE, *[F.lit(None).cast(S.TOTALS[c].dataType).alias(c) for c in S.TOTALS.names if c not in ISSUE],
+                             "reporters")
+    both = totals.select(*S.TOTALS.names, zero.alias("reporters")).unionByName(users)
+    total = both.groupBy(*ISSUE).agg(
+        F.coalesce(F.sum("messages"), zero).alias("total_messages"), F.sum("reporters").alias("unique_users"),
+        (F.sum("score") / F.nullif(F.sum("scored"), F.lit(0))).alias("avg_confidence"),
+        F.sum("flagged").alias("uncertain_messages"),
+        F.min("first").alias("first_reported"), F.max("last").alias("last_reported")).where("total_messages > 0")
+    count = F.col("unique_users")
+    total = total.withColumnRenamed("issue_cat", "issue_category").withColumns({
+        "messages_per_user": F.when(count > 0, F.col("total_messages") / count),
+        "needs_review": F.col("uncertain_messages") > 0})
+    return _with_examples(total, top_messages(newest_rows, newest))
+
+
+def issue_examples(rows: DataFrame, per_row: int = CHUNK, within=()) -> DataFrame:
     """Every message of every issue, in rows of about `per_row` messages.
 
-    An issue may hold a third of all messages, so its evidence is split by day and, within
-    a day, into ceil(messages / per_row) parts by a hash of the message key. No message is
-    dropped, and no array grows with the data. Messages are in time order within a row.
+    An issue may hold a third of all messages, so its evidence is split by day (and by the
+    columns `within`) and, in a day, into ceil(messages / per_row) parts by a hash of the message
+    key. No message is dropped, and no array grows with the data. Messages are in time order
+    within a row.
     """
     day = F.to_date("timestamp")
     rows = active(rows).withColumn("day", day)
-    parts = rows.groupBy(*ISSUE, "day").agg(
+    parts = rows.groupBy(*ISSUE, "day", *within).agg(
         F.ceil(F.count("*") / F.lit(per_row)).alias("parts"))
     r, p = rows.alias("r"), parts.alias("p")
     same = ((F.col("r.issue_type") == F.col("p.issue_type"))
             & F.col("r.issue_cat").eqNullSafe(F.col("p.issue_cat"))
             & F.col("r.day").eqNullSafe(F.col("p.day")))
+    for c in within:
+        same = same & (F.col(f"r.{c}") == F.col(f"p.{c}"))
     digest = F.md5(F.concat_ws("|", "r.source", "r.feedback_id"))
     part = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.col("p.parts")
     item = F.struct("timestamp", "source", "feedback_id", _example().alias("e"))
     return (r.join(p, same).select("r.*", part.alias("part"), "p.parts")
-            .groupBy(F.col("issue_cat").alias("issue_category"), "issue_type", "day", "part", "parts")
+            .groupBy(F.col("issue_cat").alias("issue_category"), "issue_type", "day", "part", "parts", *within)
             .agg(F.count("*").alias("messages"), F.sort_array(F.collect_list(item)).alias("_x"))
             .select("issue_category", "issue_type", "day", "part", "parts", "messages",
-                    F.col("_x.e").alias("example_messages")))
+                    F.col("_x.e").alias("example_messages"), *within))
 
 
 def issue_groups(rows: DataFrame) -> DataFrame:

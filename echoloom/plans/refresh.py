@@ -2,11 +2,14 @@
 
 Each step reads stages, writes stages and evaluates its gates and counts in one aggregation
 over what it wrote. A step can be repeated; publication happens last.
+
+A run reads and writes only the buckets that hold keys of its load. The other buckets stay as
+they are published, and enter the metrics by their stored counts.
 """
 
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from echoloom import schemas as S
 from echoloom.functions import labels
@@ -14,8 +17,12 @@ from echoloom.functions.rules import CLASSIFIER_VERSION
 from echoloom.functions.text import mask
 from echoloom.operators import ai, gates as G, incremental as I, issues
 from echoloom.plans.audit import with_audit
-from echoloom.tables import Store
+from echoloom.tables import COUNTED, Store, counts_of, key_bucket, user_bucket
 
+STAGES = {"prepared": ("feedback_clean", "_status STRING"), "analyzed": ("feedback_analyzed", "_reused BOOLEAN"),
+          "grouped": ("feedback_with_issue_type", "_same BOOLEAN, _known BOOLEAN"), "evidence": ("issue_evidence", None),
+          "parts": ("issue_parts", None), "newest": ("issue_newest", None),
+          "users": ("issue_users", None), "reporters": ("issue_reporters", None)}
 IDENTITY = "duplicate or empty feedback keys"
 CONTACTS = "records still hold contact details; publication stopped"
 
@@ -31,8 +38,23 @@ class Refresh:
     def save(self, df, name) -> DataFrame:
         return self.store.save_stage(df, self.run_id, name)
 
+    def save_buckets(self, df, name) -> DataFrame:
+        """Save the touched buckets of a table as a stage."""
+        by_user = STAGES[name][0] in S.BY_USER
+        cut = F.col("bucket") if "bucket" in df.columns else (user_bucket if by_user else key_bucket)(self.store.buckets)
+        salt = S.KEYS if "feedback_id" in df.columns else ()
+        touched = self.user_buckets() if by_user else self.touched()
+        self.store.save_buckets(df, self.store.stage_path(self.run_id, name), cut, len(touched), *salt)
+        return self.stage(name)
+
     def stage(self, name) -> DataFrame:
-        return self.store.stage(self.run_id, name)
+        """A stage; a stage in buckets has the bucket as its last column."""
+        if name not in STAGES:
+            return self.store.stage(self.run_id, name)
+        table, more = STAGES[name]
+        extra = T.StructType.fromDDL(more).fields if more else []
+        schema = T.StructType([*S.PUBLISHED[table].fields, *extra, T.StructField("bucket", T.IntegerType())])
+        return self.store.stage(self.run_id, name, schema)
 
     def run(self, incoming: DataFrame) -> dict:
         """All four steps; returns the metrics per step."""
@@ -90,11 +112,32 @@ class Refresh:
         r = self.stage("input").first()
         return r["rows"], r["digest"]
 
+    def pin(self, version, touched=None):
+        """Bind the run to a version, and to the buckets that it renews (all of them by default)."""
+        touched = list(range(self.store.buckets)) if touched is None else touched
+        self.save(self.store.spark.createDataFrame([(version, touched)], "version BIGINT, touched ARRAY<INT>"), "baseline")
+
     def pinned(self) -> int:
         return self.stage("baseline").first()["version"]
 
+    def touched(self) -> list[int]:
+        return self.stage("baseline").first()["touched"]
+
+    def user_buckets(self) -> list[int]:
+        return self.stage("user_buckets").first()["touched"]
+
+    def untouched(self, touched) -> list[int]:
+        return [b for b in range(self.store.buckets) if b not in set(touched)]
+
     def baseline(self, name) -> DataFrame:
-        return self.store.read(name, self.pinned())
+        """The touched buckets of a table as the run found it."""
+        return self.store.read(name, self.pinned(), self.touched())
+
+    def rest(self, name, field) -> int:
+        """A count over the buckets of a table that the run leaves alone."""
+        alone = self.untouched(self.touched())
+        counts = counts_of(self.store.entry(self.pinned())).get(name)
+        return sum(counts[b][field] for b in alone) if alone else 0
 
     # --- steps ------------------------------------------------------------------------
 
@@ -107,22 +150,25 @@ class Refresh:
         head = self.store.head()
         if head is None:
             raise ValueError("nothing is published yet: call Store.bootstrap before the first run")
-        self.save(self.store.spark.createDataFrame([(head["version"],)], "version BIGINT"),
-                  "baseline")
         loaded = self.save(self._loaded(incoming), "incoming")
+        buckets = None
+        if self.store.in_buckets(head):
+            # at most one row for each bucket
+            buckets = sorted(r["b"] for r in loaded.select(key_bucket(self.store.buckets).alias("b")).distinct().collect())
+        self.pin(head["version"], buckets)
         self.save(self.store.spark.createDataFrame([self._digest(loaded)], "rows BIGINT, digest STRING"), "input")
         load = G.row(G.key_violations(
             loaded, weight="_copies", malformed=F.col("_malformed"), bad=F.col("_bad"),
             empty=G.empty_key()))
         metrics["input_rows"] = load["checked_rows"]
-        G.enforce(load, {"malformed": "store reviews have invalid ratings",
-                         "bad": "records have invalid dates, text or ratings",
-                         "duplicate_keys": "keys have conflicting payloads in these exports",
+        G.enforce(load, {"malformed": "ratings of store reviews are not whole numbers from 1 to 5",
+                         "bad": "rows lack a text or a time, or their rating is out of range",
+                         "duplicate_keys": "one key came with different contents in this load",
                          "empty": IDENTITY}, metrics)
         metrics["deduplicated"] = load["checked_rows"] - load["keys"]
 
         # The contact gate runs on the result, which holds every masked row of the load.
-        result = self.save(I.align(loaded, self.baseline("feedback_clean")), "prepared")
+        result = self.save_buckets(I.align(loaded, self.baseline("feedback_clean")), "prepared")
         status = F.col("_status")
         total = G.row(G.key_violations(
             result, empty=G.empty_key(), contacts=G.contact_left(),
@@ -130,12 +176,13 @@ class Refresh:
             retained=status == "retained"))
         G.enforce(total, {"contacts": CONTACTS, "empty": IDENTITY, "duplicate_keys": IDENTITY},
                   metrics)
+        alone = self.rest("feedback_clean", "rows")
         metrics.update(processed=total["processed"], skipped=total["skipped"],
-                       retained_from_previous=total["retained"], total=total["checked_rows"])
+                       retained_from_previous=total["retained"] + alone, total=total["checked_rows"] + alone)
 
     def analyze(self, metrics):
         """Label new and changed text once; everything else keeps its saved label."""
-        prepared, prior = self.stage("prepared").drop("_status"), self.baseline("feedback_analyzed")
+        prepared, prior = self.stage("prepared").drop("_status", "bucket"), self.baseline("feedback_analyzed")
         pending = self.save(I.pending(prepared, prior, self.version), "pending")
         known = self.store.cache()
         fresh = I.uncached(pending, known)
@@ -163,8 +210,8 @@ class Refresh:
         attached = I.attach(pending, answers)
         new = ai.extract_labels(attached).select(*S.ANALYZED.names, F.lit(False).alias("_reused"))
         reused = I.reuse_labels(prepared, prior).withColumn("_reused", F.lit(True))
-        result = self.save(reused.unionByName(new)
-                           .withColumn("uncertain_classification", labels.review_flag()), "analyzed")
+        result = self.save_buckets(reused.unionByName(new)
+                                   .withColumn("uncertain_classification", labels.review_flag()), "analyzed")
         got = G.row(G.key_violations(
             result, empty=G.empty_key(), labels=~F.col("_reused") & G.invalid_label(),
             new=~F.col("_reused"), reused=F.col("_reused"),
@@ -177,7 +224,8 @@ class Refresh:
                         "duplicate_keys": IDENTITY, "empty": IDENTITY,
                         "missing": "some requested answers did not arrive",
                         "lost": "feedback rows were lost in analysis"}, metrics)
-        metrics.update(processed=got["new"], skipped=got["reused"], needs_review=got["needs_review"])
+        metrics.update(processed=got["new"], skipped=got["reused"] + self.rest("feedback_analyzed", "rows"),
+                       needs_review=got["needs_review"] + self.rest("feedback_analyzed", "review"))
 
     def _record_audit(self, responses: DataFrame):
         """Masked inputs next to the saved answers, by feedback key."""
@@ -194,33 +242,69 @@ class Refresh:
                         .otherwise(labels.issue_type())) \
             .withColumn("issue_cat", F.when(F.col("_same"), F.col("_saved.issue_cat"))
                         .otherwise(labels.issue_cat())) \
-            .select(*S.GROUPED.names, "_same")
-        grouped = self.save(rows, "grouped")
+            .select(*S.GROUPED.names, "_same", F.col("_saved").isNotNull().alias("_known"))
+        grouped = self.save_buckets(rows, "grouped")
         got = G.row(G.key_violations(
             grouped, empty=G.empty_key(), membership=G.missing_membership(),
-            contacts=G.contact_left(), same=F.col("_same"),
+            contacts=G.contact_left(), same=F.col("_same"), known=F.col("_known"),
             active=F.col("issue_type").isNotNull(),
             needs_review=F.col("uncertain_classification")))
         got["lost"] = analyzed.count() - got["checked_rows"]
         G.enforce(got, {"membership": "an active message has no issue",
                         "duplicate_keys": IDENTITY, "empty": IDENTITY, "contacts": CONTACTS,
                         "lost": "feedback rows were lost in grouping"}, metrics)
-        # All evidence is published in rows of bounded size; the summary shows the newest.
-        self.save(issues.issue_examples(grouped), "evidence")
-        summary = self.save(issues.issue_summary(grouped, newest=issues.NEWEST), "summary")
+        final, n_active = grouped.select(*S.GROUPED.names), got["active"]
+        if old.count() > got["known"]:      # rows that only the published table holds stay in it
+            final = I.upsert(old, final, S.KEYS, S.GROUPED.names)
+            n_active = issues.active(final).count()
+        summary = self.summarise(final, old)
         sums = summary.agg(F.count("*").alias("types"),
                            F.coalesce(F.sum("total_messages"), F.lit(0)).alias("n")).first()
-        G.enforce({"reconcile": abs(sums["n"] - got["active"])},
+        n_active += self.rest("feedback_with_issue_type", "active")
+        G.enforce({"reconcile": abs(sums["n"] - n_active)},
                   {"reconcile": "messages differ between summary and membership"}, metrics)
-        metrics.update(processed=got["checked_rows"] - got["same"], skipped=got["same"],
-                       needs_review=got["needs_review"], actionable_messages=got["active"],
-                       issue_types=sums["types"])
+        metrics.update(processed=got["checked_rows"] - got["same"],
+                       skipped=got["same"] + self.rest("feedback_with_issue_type", "rows"),
+                       needs_review=got["needs_review"] + self.rest("feedback_with_issue_type", "review"),
+                       actionable_messages=n_active, issue_types=sums["types"])
+
+    def summarise(self, final: DataFrame, old: DataFrame) -> DataFrame:
+        """Renew the touched parts of the summary and add up all parts.
+
+        All evidence is published in rows of bounded size; the summary shows the newest. Of
+        the reporters only those are counted anew whose messages came or went.
+        """
+        pin, touched, everything = self.pinned(), self.touched(), range(self.store.buckets)
+        rows = final.withColumn("bucket", key_bucket(self.store.buckets))
+        self.save_buckets(issues.issue_examples(rows, within=["bucket"]), "evidence")
+        parts = self.save_buckets(issues.part_totals(rows, "bucket"), "parts")
+        newest = self.save_buckets(issues.top_messages(rows, issues.NEWEST, [*issues.ISSUE, "bucket"])
+                                   .select(*S.NEWEST.names, "bucket"), "newest")
+        alone = self.untouched(touched)
+        if alone:
+            delta = self.save(issues.added_up(issues.user_messages(final), issues.user_messages(old, -1)), "user_changes")
+            users = sorted(r["b"] for r in delta.select(user_bucket(self.store.buckets).alias("b")).distinct().collect())
+        else:
+            delta, users = issues.user_messages(final), list(everything)
+        self.save(self.store.spark.createDataFrame([(users,)], "touched ARRAY<INT>"), "user_buckets")
+        if alone:
+            delta = issues.added_up(self.store.read("issue_users", pin, users), delta)
+        counted = self.save_buckets(delta, "users")
+        G.enforce({"users": counted.where("messages < 0").count()}, {"users": "more messages of a user were taken back than there were"})
+        reporters = self.save_buckets(counted.groupBy(*issues.ISSUE, "bucket").agg(F.count("*").alias("reporters")), "reporters")
+
+        def whole(name, renewed, buckets):
+            kept = self.untouched(buckets)
+            new = renewed.select(*S.PUBLISHED[name].names)
+            return new.unionByName(self.store.read(name, pin, kept)) if kept else new
+        return self.save(issues.merged_summary(whole("issue_parts", parts, touched), whole("issue_reporters", reporters, users),
+                                               whole("issue_newest", newest, touched)), "summary")
 
     def publish(self, metrics):
-        """Switch to the new version of the four tables with one log row.
+        """Switch to the new version of all tables with one log file.
 
-        A stage that holds every saved key is the result of the upsert already and is
-        published in place; otherwise the upsert is written.
+        The touched buckets of the stages are published in place, and the others as they are.
+        Rows that only a published table holds stay in it: its touched buckets are then merged.
         """
         pin, head = self.pinned(), self.store.head()
         grouped = self.stage("grouped").select(*S.GROUPED.names)
@@ -235,24 +319,39 @@ class Refresh:
         metrics["processed"] = diff["all"]
         if not published:
             analyzed, prior = self.stage("analyzed"), self.baseline("feedback_analyzed")
-            lacking = {"feedback_clean": 0,      # prepared holds the retained rows
-                       "feedback_analyzed": G.missing_rows(prior, analyzed).count(),
-                       "feedback_with_issue_type": diff["kept"]}
-            stages = {"feedback_clean": "prepared", "feedback_analyzed": "analyzed",
-                      "feedback_with_issue_type": "grouped"}
-            folders = {"issue_summary": self.store.stage_path(self.run_id, "summary"),
-                       "issue_evidence": self.store.stage_path(self.run_id, "evidence")}
-            for name, stage in stages.items():
-                folders[name] = self.store.stage_path(self.run_id, stage)
-                if lacking[name]:
-                    merged = I.upsert(self.baseline(name), self.stage(stage), S.KEYS,
-                                      S.PUBLISHED[name].names)
-                    folders[name] = self.store.write_version(name, merged, self.run_id)
+            lacking = {"feedback_analyzed": G.missing_rows(prior, analyzed).count(), "feedback_with_issue_type": diff["kept"]}
+            touched, users, before = self.touched(), self.user_buckets(), self.store.entry(pin)
+            folders = {"issue_summary": self.store.stage_path(self.run_id, "summary")}
+            for stage, (name, _) in STAGES.items():
+                path = self.store.stage_path(self.run_id, stage)
+                if lacking.get(name):
+                    path = self.store._path(name, self.run_id)
+                    merged = I.upsert(self.baseline(name), self.stage(stage), S.KEYS, S.PUBLISHED[name].names)
+                    self.store.save_buckets(merged, path, key_bucket(self.store.buckets), len(touched), *S.KEYS)
+                renewed = self.store.bucket_folders(path)
+                mine = set(users if name in S.BY_USER else touched)
+                folders[name] = [renewed.get(b, "") if b in mine else before["folders"][name][b]
+                                 for b in range(self.store.buckets)]
+            stats = {name: self._counts(name, folders[name], before, touched) for name in COUNTED}
             name = "feedback_with_issue_type"
-            final = self.store.read_folder(name, folders[name])
+            final = self.store.read_folders(name, [folders[name][b] for b in touched])
             G.enforce(G.row(G.unique_keys(final)), {"duplicate_keys": IDENTITY,
                                                     "empty_keys": IDENTITY}, metrics)
-            self.store.commit(self.run_id, pin, folders)
+            self.store.commit(self.run_id, pin, folders, stats)
         got = grouped.agg(F.count("*").alias("n"),
                           F.count(F.when(F.col("uncertain_classification"), 1)).alias("r")).first()
-        metrics.update(skipped=got["n"] - metrics["processed"], total=got["n"], needs_review=got["r"])
+        alone = {f: self.rest("feedback_with_issue_type", f) for f in ("rows", "review")}
+        metrics.update(skipped=got["n"] + alone["rows"] - metrics["processed"], total=got["n"] + alone["rows"],
+                       needs_review=got["r"] + alone["review"])
+
+    def _counts(self, name, folders, before, touched) -> list[dict]:
+        """Counts per bucket: renewed ones are counted, the others are as before."""
+        rows = self.store.read_folders(name, [folders[b] for b in touched])
+        flag = lambda c, of: F.count(F.when(of, 1)).alias(c) if of is not None else F.lit(0).cast("long").alias(c)
+        found = rows.groupBy(key_bucket(self.store.buckets).alias("b")).agg(
+            F.count("*").alias("rows"), flag("review", F.col("uncertain_classification") if "uncertain_classification" in rows.columns else None),
+            flag("active", F.col("issue_type").isNotNull() if "issue_type" in rows.columns else None))
+        new = {r["b"]: {f: r[f] for f in ("rows", "review", "active")} for r in found.collect()}
+        kept = counts_of(before).get(name) or [None] * self.store.buckets
+        return [new.get(b, {"rows": 0, "review": 0, "active": 0}) if b in set(touched) else kept[b]
+                for b in range(self.store.buckets)]

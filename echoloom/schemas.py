@@ -37,9 +37,19 @@ SUMMARY = _struct(("issue_category", _S), ("issue_type", _S), ("total_messages",
                   ("messages_per_user", _D), ("needs_review", _B))
 EVIDENCE = _struct(("issue_category", _S), ("issue_type", _S), ("day", T.DateType()), ("part", _L),
                    ("parts", _L), ("messages", _L), ("example_messages", T.ArrayType(EXAMPLE)))
-PUBLISHED = {"feedback_clean": CLEAN, "feedback_analyzed": ANALYZED,
-             "feedback_with_issue_type": GROUPED, "issue_summary": SUMMARY,
-             "issue_evidence": EVIDENCE}
+# Parts of the summary that a run renews for the rows it touches only.
+TOTALS = _struct(*ISSUE_FIELDS, ("messages", _L), ("score", _D), ("scored", _L), ("flagged", _L),
+                 ("first", _TS), ("last", _TS))
+NEWEST = _struct(*[f for f in BASE_FIELDS if f[0] in (*KEYS, "user_id", "message_text", "timestamp")],
+                 ("confidence_score", _D), ("sentiment", _S), *ISSUE_FIELDS)
+USERS = _struct(*ISSUE_FIELDS, ("source", _S), ("user_id", _S), ("messages", _L))
+REPORTERS = _struct(*ISSUE_FIELDS, ("reporters", _L))
+
+# Tables in buckets by feedback key, tables in buckets by user, and the summary.
+BY_KEY = {"feedback_clean": CLEAN, "feedback_analyzed": ANALYZED, "feedback_with_issue_type": GROUPED,
+          "issue_evidence": EVIDENCE, "issue_parts": TOTALS, "issue_newest": NEWEST}
+BY_USER = {"issue_users": USERS, "issue_reporters": REPORTERS}
+PUBLISHED = {**BY_KEY, **BY_USER, "issue_summary": SUMMARY}
 
 AI_CACHE = _struct(("_cache_key", _S), ("classification_json", _S), ("sentiment", _S),
                    ("classified_at", _TS))

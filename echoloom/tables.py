@@ -1,9 +1,11 @@
 """Run-scoped stages and published versions, as plain parquet folders.
 
-A version of a table is a complete folder that is never written again. A publication appends
-one row to the publication log that names the folders of all four tables, so readers switch
-at once and a pinned version never changes. A stage that already is the complete new table
-is published as it is, without another copy.
+Tables are cut into buckets by a hash of their key, and a version of a table is a list of
+folders, one for each bucket, that are never written again. A publication adds one file to the
+log that names the folders of all tables, so readers switch at once and a pinned version never
+changes. A run writes the buckets that it touches; the others stay the folders they were, and
+the counts kept with them spare reading them. A table may also be one folder (a copy, a table
+written by hand): the next run cuts it into buckets.
 """
 
 import datetime as dt
@@ -15,17 +17,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from echoloom import schemas as S
 
-LOG = ("version BIGINT, run_id STRING, parent BIGINT, folders MAP<STRING, STRING>, "
-       "published_at TIMESTAMP")
+LOG = ("version BIGINT, run_id STRING, parent BIGINT, folders MAP<STRING, ARRAY<STRING>>, "
+       "stats MAP<STRING, ARRAY<STRUCT<rows: BIGINT, review: BIGINT, active: BIGINT>>>, published_at TIMESTAMP")
+BUCKETS = 16    # a run rewrites whole buckets: choose as many as keep one bucket a small job
+
+
+def key_bucket(n: int):
+    return F.pmod(F.xxhash64(*S.KEYS), F.lit(n)).cast("int")
+
+
+def user_bucket(n: int):
+    return F.pmod(F.xxhash64("source", "user_id"), F.lit(n)).cast("int")
+
+
+COUNTED = ("feedback_clean", "feedback_analyzed", "feedback_with_issue_type")
 
 
 class Conflict(RuntimeError):
     """Another run published first."""
 
 
+def counts_of(entry) -> dict:
+    """The bucket counts of a version as plain values."""
+    return {name: [c.asDict() for c in counts] for name, counts in (entry["stats"] or {}).items()}
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     # --- stages -----------------------------------------------------------------------
 
@@ -38,8 +57,24 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def stage(self, run_id, name) -> DataFrame:
-        return self.spark.read.parquet(self.stage_path(run_id, name))
+    def save_buckets(self, df: DataFrame, path, bucket, touched: int, *salt) -> None:
+        """Write a folder per bucket; `salt` columns spread a bucket over the tasks that are left over."""
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(1, tasks // max(1, touched)) if salt else 1
+        cut = df.withColumn("bucket", bucket).repartition(
+            tasks, "bucket", F.pmod(F.xxhash64(F.lit("salt"), *salt), F.lit(salts)))
+        cut.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+    def bucket_folders(self, path) -> dict[int, str]:
+        """The buckets below a folder that hold rows."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+        return {int(n.split("=")[1]): f"{path}/{n}" for n in names if n.startswith("bucket=")}
+
+    def stage(self, run_id, name, schema=None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.stage_path(run_id, name))
 
     # --- published tables -------------------------------------------------------------
 
@@ -73,15 +108,31 @@ class Store:
         log = self._log()
         return log is not None and bool(log.where(F.col("run_id") == run_id).take(1))
 
-    def read(self, name, version=None) -> DataFrame:
-        """A published table, at the current or at a pinned version."""
-        entry = self.head() if version is None else self._entry(version)
-        if entry is None:
-            raise ValueError(f"no published version {version} of {name}")
-        return self.read_folder(name, entry["folders"][name])
-
-    def read_folder(self, name, folder) -> DataFrame:
-        return self.spark.read.schema(S.PUBLISHED[name]).parquet(folder)
+    def entry(self, version=None) -> dict:
+        found = self.head() if version is None else self._entry(version)
+        if found is None:
+            raise ValueError(f"no published version {version}")
+        return found
+
+    def read(self, name, version=None, buckets=None) -> DataFrame:
+        """A published table, at the current or at a pinned version; only some of its buckets if they are named."""
+        folders = self.entry(version)["folders"][name]
+        if buckets is None or len(folders) == self.buckets:
+            return self.read_folders(name, folders if buckets is None else [folders[b] for b in buckets])
+        cut = user_bucket if name in S.BY_USER else key_bucket
+        return self.read_folders(name, folders).where(cut(self.buckets).isin([int(b) for b in buckets]))
+
+    def read_folders(self, name, folders) -> DataFrame:
+        """Buckets without rows have no folder."""
+        there = [f for f in folders if f]
+        if not there:
+            return self.spark.createDataFrame([], S.PUBLISHED[name])
+        return self.spark.read.schema(S.PUBLISHED[name]).parquet(*there)
+
+    def in_buckets(self, entry) -> bool:
+        """Whether all tables of a version are cut into this store's buckets, with counts."""
+        return all(len(entry["folders"].get(n) or []) == self.buckets for n in (*S.BY_KEY, *S.BY_USER)) and all(
+            len((entry["stats"] or {}).get(n) or []) == self.buckets for n in COUNTED)
 
     def write_version(self, name, df: DataFrame, run_id) -> str:
         """Write a complete table for a run; returns its folder."""
@@ -90,13 +141,15 @@ class Store:
             .write.mode("overwrite").parquet(path)
         return path
 
-    def commit(self, run_id, parent, folders=None):
+    def commit(self, run_id, parent, folders=None, stats=None):
         """Make the run's folders current: one log file named by version, created only if it
         is absent, so of two commits on one parent the second fails. Tables without a folder
-        were written by `write_version`."""
+        were written by `write_version`. `stats` are the counts of the buckets; without them, or
+        with a table in one folder, the next run touches every bucket."""
         paths = {name: (folders or {}).get(name, self._path(name, run_id)) for name in S.PUBLISHED}
+        paths = {name: [p] if isinstance(p, str) else list(p) for name, p in paths.items()}
         entry = {"version": parent + 1, "run_id": run_id, "parent": parent, "folders": paths,
-                 "published_at": dt.datetime.now(dt.timezone.utc).isoformat()}
+                 "stats": stats or {}, "published_at": dt.datetime.now(dt.timezone.utc).isoformat()}
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/publications/{parent + 1:020d}.json")
         files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -112,11 +165,12 @@ class Store:
             out.close()
 
     def bootstrap(self):
-        """Create the four empty tables as version 0; existing tables are untouched."""
+        """Create the empty tables as version 0; existing tables are untouched."""
         if self.head() is None:
-            for name, schema in S.PUBLISHED.items():
-                self.write_version(name, self.spark.createDataFrame([], schema), "bootstrap")
-            self.commit("bootstrap", -1)
+            none = {"rows": 0, "review": 0, "active": 0}
+            self.write_version("issue_summary", self.spark.createDataFrame([], S.SUMMARY), "bootstrap")
+            self.commit("bootstrap", -1, {n: [""] * self.buckets for n in (*S.BY_KEY, *S.BY_USER)},
+                        {n: [none] * self.buckets for n in COUNTED})
         return self
 
     def start_from(self, other: "Store"):
@@ -124,7 +178,7 @@ class Store:
         if self.head() is not None:
             raise FileExistsError(f"{self.root} already holds published tables")
         head = other.head()
-        self.commit(head["run_id"], head["version"] - 1, head["folders"])
+        self.commit(head["run_id"], head["version"] - 1, head["folders"], counts_of(head))
         return self
 
     def clone_to(self, other: "Store"):
