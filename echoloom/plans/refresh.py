@@ -34,6 +34,7 @@ class Refresh:
                  audit=False):
         self.store, self.run_id, self.make_model = store, str(run_id), make_model
         self.version, self.audit, self.metrics = version, audit, {}
+        self._baseline = self._users = self._entry = None   # small rows, read once
 
     def save(self, df, name) -> DataFrame:
         return self.store.save_stage(df, self.run_id, name)
@@ -101,11 +102,11 @@ class Refresh:
         return mask(flagged)
 
     @staticmethod
-    def _digest(loaded: DataFrame) -> tuple:
+    def _digest(loaded: DataFrame, *more) -> tuple:
         """Rows and a hash of a load, whatever its order."""
         hashed = F.xxhash64(*S.BASE, "_copies").cast("decimal(38,0)")
-        r = loaded.agg(F.sum("_copies").alias("n"), F.sum(hashed).alias("h")).first()
-        return r["n"] or 0, str(r["h"])
+        r = loaded.agg(F.sum("_copies").alias("n"), F.sum(hashed).alias("h"), *more).first()
+        return r["n"] or 0, str(r["h"]), *r[2:]
 
     def _bound(self) -> tuple:
         """Digest of the input that this run ID stands for."""
@@ -116,27 +117,37 @@ class Refresh:
         """Bind the run to a version, and to the buckets that it renews (all of them by default)."""
         touched = list(range(self.store.buckets)) if touched is None else touched
         self.save(self.store.spark.createDataFrame([(version, touched)], "version BIGINT, touched ARRAY<INT>"), "baseline")
+        self._baseline, self._entry = (version, touched), None
 
     def pinned(self) -> int:
-        return self.stage("baseline").first()["version"]
+        self._baseline = self._baseline or tuple(self.stage("baseline").select("version", "touched").first())
+        return self._baseline[0]
 
     def touched(self) -> list[int]:
-        return self.stage("baseline").first()["touched"]
+        self.pinned()
+        return self._baseline[1]
+
+    def before(self) -> dict:
+        """The log entry of the version that the run is pinned to."""
+        self._entry = self._entry or self.store.entry(self.pinned())
+        return self._entry
 
     def user_buckets(self) -> list[int]:
-        return self.stage("user_buckets").first()["touched"]
+        if self._users is None:
+            self._users = self.stage("user_buckets").first()["touched"]
+        return self._users
 
     def untouched(self, touched) -> list[int]:
         return [b for b in range(self.store.buckets) if b not in set(touched)]
 
     def baseline(self, name) -> DataFrame:
         """The touched buckets of a table as the run found it."""
-        return self.store.read(name, self.pinned(), self.touched())
+        return self.store.read(name, self.before(), self.touched())
 
     def rest(self, name, field) -> int:
         """A count over the buckets of a table that the run leaves alone."""
         alone = self.untouched(self.touched())
-        counts = counts_of(self.store.entry(self.pinned())).get(name)
+        counts = counts_of(self.before()).get(name)
         return sum(counts[b][field] for b in alone) if alone else 0
 
     # --- steps ------------------------------------------------------------------------
@@ -151,12 +162,10 @@ class Refresh:
         if head is None:
             raise ValueError("nothing is published yet: call Store.bootstrap before the first run")
         loaded = self.save(self._loaded(incoming), "incoming")
-        buckets = None
-        if self.store.in_buckets(head):
-            # at most one row for each bucket
-            buckets = sorted(r["b"] for r in loaded.select(key_bucket(self.store.buckets).alias("b")).distinct().collect())
-        self.pin(head["version"], buckets)
-        self.save(self.store.spark.createDataFrame([self._digest(loaded)], "rows BIGINT, digest STRING"), "input")
+        # at most one value for each bucket
+        rows, digest, buckets = self._digest(loaded, F.collect_set(key_bucket(self.store.buckets)))
+        self.pin(head["version"], sorted(buckets) if self.store.in_buckets(head) else None)
+        self.save(self.store.spark.createDataFrame([(rows, digest)], "rows BIGINT, digest STRING"), "input")
         load = G.row(G.key_violations(
             loaded, weight="_copies", malformed=F.col("_malformed"), bad=F.col("_bad"),
             empty=G.empty_key()))
@@ -274,7 +283,7 @@ class Refresh:
         All evidence is published in rows of bounded size; the summary shows the newest. Of
         the reporters only those are counted anew whose messages came or went.
         """
-        pin, touched, everything = self.pinned(), self.touched(), range(self.store.buckets)
+        before, touched, everything = self.before(), self.touched(), range(self.store.buckets)
         rows = final.withColumn("bucket", key_bucket(self.store.buckets))
         self.save_buckets(issues.issue_examples(rows, within=["bucket"]), "evidence")
         parts = self.save_buckets(issues.part_totals(rows, "bucket"), "parts")
@@ -287,16 +296,19 @@ class Refresh:
         else:
             delta, users = issues.user_messages(final), list(everything)
         self.save(self.store.spark.createDataFrame([(users,)], "touched ARRAY<INT>"), "user_buckets")
+        self._users = users
         if alone:
-            delta = issues.added_up(self.store.read("issue_users", pin, users), delta)
+            delta = issues.added_up(self.store.read("issue_users", before, users), delta)
         counted = self.save_buckets(delta, "users")
-        G.enforce({"users": counted.where("messages < 0").count()}, {"users": "more messages of a user were taken back than there were"})
+        if alone:
+            G.enforce({"users": counted.where("messages < 0").count()},
+                      {"users": "more messages of a user were taken back than there were"})
         reporters = self.save_buckets(counted.groupBy(*issues.ISSUE, "bucket").agg(F.count("*").alias("reporters")), "reporters")
 
         def whole(name, renewed, buckets):
             kept = self.untouched(buckets)
             new = renewed.select(*S.PUBLISHED[name].names)
-            return new.unionByName(self.store.read(name, pin, kept)) if kept else new
+            return new.unionByName(self.store.read(name, before, kept)) if kept else new
         return self.save(issues.merged_summary(whole("issue_parts", parts, touched), whole("issue_reporters", reporters, users),
                                                whole("issue_newest", newest, touched)), "summary")
 
@@ -320,7 +332,7 @@ class Refresh:
         if not published:
             analyzed, prior = self.stage("analyzed"), self.baseline("feedback_analyzed")
             lacking = {"feedback_analyzed": G.missing_rows(prior, analyzed).count(), "feedback_with_issue_type": diff["kept"]}
-            touched, users, before = self.touched(), self.user_buckets(), self.store.entry(pin)
+            touched, users, before = self.touched(), self.user_buckets(), self.before()
             folders = {"issue_summary": self.store.stage_path(self.run_id, "summary")}
             for stage, (name, _) in STAGES.items():
                 path = self.store.stage_path(self.run_id, stage)

@@ -102,20 +102,23 @@ class Store:
         rows = self._log().where(F.col("version") == version).take(2)
         if len(rows) > 1:
             raise Conflict(f"version {version} is in the log twice")
-        return rows[0] if rows else None
+        return rows[0].asDict() if rows else None
 
     def has_published(self, run_id) -> bool:
         log = self._log()
         return log is not None and bool(log.where(F.col("run_id") == run_id).take(1))
 
     def entry(self, version=None) -> dict:
+        if isinstance(version, dict):
+            return version
         found = self.head() if version is None else self._entry(version)
         if found is None:
             raise ValueError(f"no published version {version}")
         return found
 
     def read(self, name, version=None, buckets=None) -> DataFrame:
-        """A published table, at the current or at a pinned version; only some of its buckets if they are named."""
+        """A published table, at the current version or a pinned one (its number or log entry); only some
+        of its buckets if they are named."""
         folders = self.entry(version)["folders"][name]
         if buckets is None or len(folders) == self.buckets:
             return self.read_folders(name, folders if buckets is None else [folders[b] for b in buckets])

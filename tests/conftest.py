@@ -23,7 +23,7 @@ def spark(tmp_path_factory):
 def store(spark):
     from echoloom.session import scratch
     from echoloom.tables import Store
-    return Store(spark, scratch(spark, "test")).bootstrap()
+    return Store(spark, scratch(spark, "test"), buckets=4).bootstrap()
 
 
 @pytest.fixture
