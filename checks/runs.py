@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.base import (CTES, FLAG, ISSUE_CAT, four, issue_type_case, label_columns, labelled, masked_rows,
                          new_store, query, stamp)
-from checks.reports import RATE_LIMIT, WEEKS, sample_sql
+from checks.reports import NEWEST, RATE_LIMIT, SUMMARY, WEEKS, sample_sql
 from checks.tables import ROW, previous_store, published, slim
 from echoloom import schemas as S
 from echoloom.operators import ai, issues, submissions as U
@@ -120,6 +120,23 @@ def incremental_rerun(spark, sf):
         F.count("*").alias("total"), *[F.lit(v).cast("bigint").alias(k) for k, v in values.items()])
 
 
+@query("incremental_summary", f"""SELECT {SUMMARY}, shown, newest_md5 FROM issue_totals t JOIN (
+  SELECT issue_cat AS c, issue_type AS i, count(*) AS shown,
+    md5(string_agg(message_text, chr(10) ORDER BY rank)) AS newest_md5
+  FROM ({NEWEST}) WHERE rank <= {issues.NEWEST} GROUP BY ALL) s ON t.issue_category = s.c AND t.issue_type = s.i""")
+def incremental_summary(spark, sf):
+    """All exports but one customer's tickets, then these alone: the second run renews the buckets they fall into."""
+    store = new_store(spark, "parts").bootstrap()
+    exports = Z.raw_exports(spark, sf)
+    late = F.col("customer_email") == "user7@mail.example.com"
+    tickets = exports["support"]
+    Refresh(store, "1").run(X.unify_exports(**exports | {"support": tickets.where(~late)}))
+    Refresh(store, "2").run(X.unify(X.normalize_support(tickets.where(late))))
+    return store.read("issue_summary").withColumns({
+        "shown": F.size("example_messages").cast("bigint"),
+        "newest_md5": F.md5(F.array_join(F.col("example_messages.message"), "\n"))}).drop("example_messages")
+
+
 SUB_GROUPED = f"""(SELECT *, {ISSUE_CAT} AS issue_cat FROM (SELECT *, {issue_type_case()} AS issue_type
   FROM ({labelled('(' + masked_rows('sub_rows') + ')')})))"""
 RECEIPT = f"""SELECT feedback_id AS id, category, sentiment, issue_type, CAST(rating AS VARCHAR) AS rating,
@@ -183,23 +200,23 @@ def stream_refresh_query(spark, sf):
 @query("stream_dedup", """SELECT id, strftime(min(created_at), '%Y-%m-%d %H:%M:%S.%f') AS accepted_at,
   min_by(payload, (created_at, payload)) AS payload, count(*) AS attempts,
   min(payload) <> max(payload) AS conflict FROM (
-  SELECT *, sha256(CAST(to_json({'created_by': created_by, 'message': message, 'rating': rating}) AS VARCHAR))
-    AS payload FROM attempts) GROUP BY id""")
+    SELECT *, sum(fresh) OVER (PARTITION BY id ORDER BY created_at ROWS UNBOUNDED PRECEDING) AS life FROM (
+      SELECT *, CASE WHEN created_at <= lag(created_at) OVER (PARTITION BY id ORDER BY created_at) + INTERVAL 7 DAY
+          THEN 0 ELSE 1 END AS fresh,
+        sha256(CAST(to_json({'created_by': created_by, 'message': message, 'rating': rating}) AS VARCHAR)) AS payload
+      FROM attempts)) GROUP BY id, life
+  HAVING max(created_at) + INTERVAL 8 DAY <= (SELECT max(created_at) FROM attempts)""")
 def stream_dedup_query(spark, sf):
-    """The stream's final state per ID."""
-    return _final(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem", "l_shipdate"))))
-
-
-def _final(spark, aggregated):
-    """The complete result of a streaming aggregation after all input."""
-    path = scratch(spark, "final")
+    """The IDs that closed by the end of the stream: none for seven days before the watermark, a day behind."""
+    return _appended(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem", "l_shipdate"))))
 
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(path)
 
-    _drain(aggregated.writeStream.outputMode("complete").foreachBatch(keep)
+def _appended(spark, closed):
+    """What a stream in append mode has written after all input."""
+    path = scratch(spark, "closed")
+    _drain(closed.writeStream.format("parquet").option("path", path).outputMode("append")
            .option("checkpointLocation", scratch(spark, "ckpt")).trigger(availableNow=True).start())
-    return spark.read.parquet(path)
+    return spark.read.schema(closed.schema).parquet(path)
 
 
 @query("stream_rate_limit", RATE_LIMIT)
@@ -210,13 +227,14 @@ def stream_rate_limit_query(spark, sf):
                          F.concat(F.lit("actor_"), F.col("event_type")).alias("created_by"),
                          F.col("ts").alias("created_at"))
     _drain(stream_rate_limit(subs, path, scratch(spark, "ckpt"), limit=4))
-    return spark.read.parquet(path).drop("batch", "late")
+    return spark.read.parquet(path).drop("late")
 
 
 @query("stream_weekly_sentiment", f"""SELECT CAST(CAST(date_trunc('week', "timestamp") AS DATE) AS VARCHAR) AS week,
-  {WEEKS} FROM ({labelled('(' + masked_rows('sub_rows') + ')')}) GROUP BY 1""")
+  {WEEKS} FROM ({labelled('(' + masked_rows('sub_rows') + ')')}) GROUP BY date_trunc('week', "timestamp")
+  HAVING date_trunc('week', "timestamp") + INTERVAL 21 DAY <= (SELECT max("timestamp") FROM sub_rows)""")
 def stream_weekly_query(spark, sf):
-    """Weekly sentiment of the submission stream, in complete mode."""
+    """Weekly sentiment of the submission stream: the weeks that are closed, two weeks behind the newest message."""
     from echoloom.functions.text import mask
     rows = Z.label(mask(X.read_submissions(Z.submissions_from(Z.stream(spark, sf, "events", "ts")))))
-    return _final(spark, stream_weekly(rows))
+    return _appended(spark, stream_weekly(rows))

@@ -35,9 +35,10 @@ def published(spark, sf):
         store = new_store(spark, "published").bootstrap()
         rows = Z.previous_grouped(spark, sf)
         whole = store.write_version("feedback_with_issue_type", rows, "previous")
-        store.write_version("issue_summary", issues.issue_summary(rows, issues.NEWEST), "previous")
-        store.write_version("issue_evidence", issues.issue_examples(rows), "previous")
-        store.commit("previous", 0, {"feedback_clean": whole, "feedback_analyzed": whole})
+        folders = {"issue_summary": store.write_version("issue_summary", issues.issue_summary(rows, issues.NEWEST), "previous"),
+                   "issue_evidence": store.write_version("issue_evidence", issues.issue_examples(rows), "previous"),
+                   **dict.fromkeys(("feedback_clean", "feedback_analyzed", "feedback_with_issue_type"), whole)}
+        store.commit("previous", 0, store.head()["folders"] | folders)
         _published[key] = store
     return _published[key]
 

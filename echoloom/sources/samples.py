@@ -84,20 +84,22 @@ _split = {}
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str, time: str, batches: int = 3) -> DataFrame:
-    """The same table as a file stream: files in time order, one micro-batch for each part."""
+    """The same table as a file stream in time order, rows without a time first; about one micro-batch for each part."""
     path = f"{sf_dir}/{name}.parquet"
     schema = _schema(spark, path)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if (spark.sparkContext.applicationId, path) not in _split:
         df, out = spark.read.schema(schema).parquet(path), scratch(spark, f"stream-{name}")
         at = F.col(time).cast("timestamp").cast("double")
-        cuts = df.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)])).first()[0]
+        cuts = df.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)])).first()[0] or []
         edges = [None, *cuts, None]
         for a, b in zip(edges, edges[1:]):
-            part = df.where((F.lit(True) if a is None else at >= a) & (F.lit(True) if b is None else at < b))
-            part.coalesce(1).write.mode("append").parquet(out)
+            after = F.lit(True) if a is None else at >= a
+            part = df.where(after & (F.lit(True) if b is None else at < b) | (at.isNull() if a is None else F.lit(False)))
+            part.repartition(files).write.mode("append").parquet(out)
         _split[spark.sparkContext.applicationId, path] = out
     out = _split[spark.sparkContext.applicationId, path]
-    return _instants(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(out))
+    return _instants(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(out))
 
 
 def _instants(df: DataFrame) -> DataFrame:

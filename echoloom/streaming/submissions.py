@@ -1,8 +1,12 @@
 """Submission streams: incremental refresh, idempotency and rate limit."""
 
-from pyspark.sql import DataFrame, functions as F
+from collections import deque
 
-from echoloom.operators.submissions import HOUR, payload_hash, rate_limit
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from echoloom.operators.submissions import HOUR, payload_hash
 from echoloom.plans.refresh import Refresh
 from echoloom.plans.submissions import submission_refresh
 from echoloom.tables import Store
@@ -19,12 +23,16 @@ def stream_refresh(submissions: DataFrame, store: Store, checkpoint: str, make_m
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def stream_dedup(attempts: DataFrame) -> DataFrame:
-    """Per ID: the payload that is kept, the attempts so far and whether another payload was
-    posted. Runs on Spark's own aggregation state, a few values per ID; in update mode a
-    batch emits only the IDs it touched, so each conflict shows up in its batch."""
-    payload = payload_hash()
-    return attempts.select("id", "created_at", payload.alias("payload")).groupBy("id").agg(
+def stream_dedup(attempts: DataFrame, keep: str = "7 days", delay: str = "1 day") -> DataFrame:
+    """Per ID: the payload that is kept, the attempts and whether another payload was posted.
+
+    An ID is remembered until no attempt came for `keep`: it then closes, is emitted once
+    (append mode) and leaves the state. A post of a closed ID is a new submission. Attempts
+    older than the newest of all by more than `delay` are late: Spark leaves them out and
+    counts them in the query's progress (`numRowsDroppedByWatermark`).
+    """
+    posted = attempts.withWatermark("created_at", delay).select("id", "created_at", payload_hash().alias("payload"))
+    return posted.groupBy(F.session_window("created_at", keep), "id").agg(
         F.min(F.struct("created_at", "payload")).alias("kept"), F.count("*").alias("attempts"),
         (F.min("payload") != F.max("payload")).alias("conflict")) \
         .select("id", F.col("kept.created_at").alias("accepted_at"),
@@ -32,37 +40,47 @@ def stream_dedup(attempts: DataFrame) -> DataFrame:
 
 
 def stream_rate_limit(subs: DataFrame, store_path: str, checkpoint: str, limit: int = 10,
-                      seconds: int = HOUR):
-    """Rate limit per micro-batch with the batch operator.
+                      seconds: int = HOUR, delay: str = "1 day"):
+    """Rate limit with a state per actor: the times accepted within the window, and the newest time.
 
-    The accepted submissions of the window before the batch are the only state. They are
-    read back from the output, decided again (all are accepted again: they were accepted
-    with at least as many before them) and dropped. A submission older than one of the same
-    actor that an earlier batch decided is late: it is written with `late`, not accepted, so
-    no window ever holds more than the limit and no row vanishes.
+    A batch costs what it holds; nothing that was decided is read again. A post older than the
+    newest decided one of its actor is written with `late`, not accepted, so no window ever
+    holds more than the limit. An actor is forgotten once the watermark is a window past the newest post.
+    Posts older than the newest of all by more than `delay` are left out by the
+    watermark and counted in the query's progress. A batch's posts of one actor are decided in one
+    task; the source's options bound a batch.
     """
-    spark = subs.sparkSession
+    width = seconds * 1_000_000
+    names = subs.columns
 
-    def process(batch: DataFrame, batch_id: int):
-        first = batch.agg(F.min("created_at")).first()[0]
-        if first is None:
+    def decide(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
             return
-        rows = batch.withColumn("_known", F.lit(False))
-        late = batch.limit(0)
-        if batch_id:
-            since = F.lit(first) - F.make_dt_interval(secs=F.lit(seconds))
-            past = spark.read.parquet(store_path).where(
-                (F.col("batch") < batch_id) & (F.col("created_at") > since))
-            newest = past.groupBy("created_by").agg(F.max("created_at").alias("_newest"))
-            marked = batch.join(newest, "created_by", "left")
-            behind = F.coalesce(F.col("created_at") < F.col("_newest"), F.lit(False))
-            late = marked.where(behind).select(*batch.columns)
-            rows = marked.where(~behind).select(*batch.columns).withColumn("_known", F.lit(False))
-            rows = rows.unionByName(past.where("accepted").select(*batch.columns).withColumn("_known", F.lit(True)))
-        decided = rate_limit(rows, limit, seconds).where("not _known").drop("_known")
-        decided.withColumn("late", F.lit(False)).unionByName(
-            late.withColumns({"accepted": F.lit(False), "late": F.lit(True)})) \
-            .write.mode("overwrite").parquet(f"{store_path}/batch={batch_id}")
+        newest, taken = state.get if state.exists else (None, "")
+        taken = deque(int(t) for t in taken.split(",") if t)
+        rows = pd.concat(list(frames)).sort_values(["_at", "id"], kind="stable")
+        at = rows.pop("_at").to_numpy()
+        late = np.zeros(len(at), bool) if newest is None else at < newest
+        accepted = np.zeros(len(at), bool)
+        i, n = int(late.sum()), len(at)
+        while i < n:
+            while taken and taken[0] <= at[i] - width:
+                taken.popleft()
+            if len(taken) >= limit:
+                # full: pass over all up to the one that frees a place
+                i += max(1, int(np.searchsorted(at[i:], taken[0] + width)))
+                continue
+            accepted[i] = True
+            taken.append(int(at[i]))
+            i += 1
+        newest = max(int(at[-1]), newest or int(at[-1]))
+        state.update((newest, ",".join(map(str, taken))))
+        state.setTimeoutTimestamp(max((newest + width) // 1000, state.getCurrentWatermarkMs()) + 1)
+        yield rows[names].assign(accepted=accepted, late=late)
 
-    return (subs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    fields = [*subs.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("late", T.BooleanType())]
+    decided = (subs.withColumn("_at", F.unix_micros("created_at")).withWatermark("created_at", delay).groupBy("created_by")
+               .applyInPandasWithState(decide, T.StructType(fields), "newest LONG, taken STRING", "append", "EventTimeTimeout"))
+    return (decided.writeStream.format("parquet").option("path", store_path).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -6,7 +6,9 @@ from echoloom import schemas as S
 
 
 def stream_weekly(rows: DataFrame, delay: str = "14 days") -> DataFrame:
-    """Messages per Monday week and sentiment; a week closes once the watermark passes it.
+    """Messages per Monday week and sentiment. For append mode: a week is emitted once, when the
+    watermark (the newest time less `delay`) passes its end; later messages of it are left out and
+    counted in the query's progress.
 
     The epoch was a Thursday: windows of seven days start four days later, on Mondays.
     """

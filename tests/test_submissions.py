@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from echoloom.operators import submissions as U
 from echoloom.session import scratch
-from echoloom.streaming.submissions import stream_rate_limit
+from echoloom.streaming.submissions import stream_dedup, stream_rate_limit
+from echoloom.streaming.trends import stream_weekly
 
 T0 = dt.datetime(2026, 1, 1, 7)
 
@@ -112,6 +113,61 @@ def test_late_posts_never_break_the_limit(spark):
     assert got.where("late AND NOT accepted").count() == 10
 
 
+def feed(spark, schema, batches, start):
+    """Batches through one stream, a file each; returns the progress of every micro-batch."""
+    folder = scratch(spark, "feed")
+    spark.createDataFrame([], schema).write.parquet(folder)
+    progress = []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        query = start(spark.readStream.schema(schema).parquet(folder))
+        query.awaitTermination()
+        progress.append(query.recentProgress)
+    return progress
+
+
+def appended(stream, out):
+    return (stream.writeStream.format("parquet").option("path", out).outputMode("append")
+            .option("checkpointLocation", f"{out}-ckpt").trigger(availableNow=True).start())
+
+
+def test_stream_ids_expire(spark):
+    """IDs close seven days after their last attempt, leave the state, and may then be used anew."""
+    day = lambda n: T0 + dt.timedelta(days=n)
+    schema, out = "id string, created_by string, message string, rating int, created_at timestamp", scratch(spark, "ids")
+    batches = [[("1", "a", "m", 1, day(0)), ("1", "a", "other", 1, day(1)), ("2", "a", "m", 1, day(2))],
+               [("1", "a", "m", 1, day(7)), ("3", "b", "m", 1, day(30))],
+               [("1", "a", "again", 1, day(40)), ("2", "a", "late", 1, day(3)), ("4", "b", "m", 1, day(60))]]
+    progress = feed(spark, schema, batches, lambda s: appended(stream_dedup(s), out))
+    got = sorted((r.id, r.accepted_at, r.attempts, r.conflict) for r in spark.read.parquet(out).collect())
+    assert got == [("1", day(0), 3, True), ("1", day(40), 1, False), ("2", day(2), 1, False), ("3", day(30), 1, False)]
+    kept = [p[-1]["stateOperators"][0]["numRowsTotal"] for p in progress]
+    assert kept == [2, 1, 1]                         # only the open IDs
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress[2]) == 1
+
+
+def test_stream_actors_are_forgotten(spark):
+    """The state holds the actors of the last window; the result is that of the batch operator."""
+    out, rows = scratch(spark, "forget"), []
+    for d in range(4):
+        rows.append([(f"{d}-{i:02d}", f"actor{d}-{i % 3}", T0 + dt.timedelta(days=3 * d, minutes=i)) for i in range(45)])
+    progress = feed(spark, "id string, created_by string, created_at timestamp", rows,
+                    lambda s: stream_rate_limit(s, out, f"{out}-ckpt", limit=4))
+    got = {r.id: r.accepted for r in spark.read.parquet(out).collect()}
+    assert got == brute_limit([r for batch in rows for r in batch], 4, 3600)
+    assert progress[-1][-1]["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_stream_weeks_close_once(spark):
+    at = lambda n: T0 + dt.timedelta(days=n)
+    out = scratch(spark, "weeks")
+    batches = [[("negative", at(0)), ("positive", at(6))], [("negative", at(2)), ("mixed", at(30))], [("mixed", at(1)), ("mixed", at(60))]]
+    progress = feed(spark, "sentiment string, timestamp timestamp", batches, lambda s: appended(stream_weekly(s), out))
+    got = {str(r.week): (r.positive, r.negative, r.mixed) for r in spark.read.parquet(out).collect()}
+    assert got == {"2025-12-29": (0, 2, 0), "2026-01-05": (1, 0, 0), "2026-01-26": (0, 0, 1)}
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress[2]) == 1
+
+
 def test_receipts_complete_submissions_once(spark):
     subs = spark.createDataFrame([("1", None, None, "busy"), ("2", '{"a":1}', T0, None), ("3", None, None, "x")],
                                  "id string, result string, completed_at timestamp, dispatch_error string")
