@@ -88,6 +88,22 @@ def load_raw_table(spark, sf):
                                                  F.col("score").cast("int").alias("score"))
 
 
+@query("load_raw_rescued", """SELECT "reviewId", CAST(score AS INT) AS score, CAST(NULL AS INT) AS "appVersion",
+  "appVersion" AS rescued_version, CASE WHEN length("thumbsUpCount") > 1 THEN "thumbsUpCount" END AS rescued_thumbs,
+  length("thumbsUpCount") <= 1 AS thumbs_kept FROM raw_play""")
+def load_raw_rescued(spark, sf):
+    """Named types that do not fit: versions are no integers, nor are the larger counts, written with a sign here."""
+    path = scratch(spark, "rescued")
+    Z.google_play_raw(spark, sf).withColumn(
+        "thumbsUpCount", F.when(F.length("thumbsUpCount") > 1, F.concat(F.lit("~"), "thumbsUpCount")).otherwise(F.col("thumbsUpCount"))) \
+        .write.options(header=True, escape='"').csv(path)
+    rows = X.load_raw(spark, path, "csv", types={"appVersion": "int", "thumbsUpCount": "int"})
+    return rows.select(F.col("reviewId").cast("string").alias("reviewId"), F.col("score").cast("int").alias("score"), "appVersion",
+                       F.col("_rescued")["appVersion"].alias("rescued_version"),
+                       F.ltrim(F.col("_rescued")["thumbsUpCount"], F.lit("~")).alias("rescued_thumbs"),
+                       F.col("thumbsUpCount").isNotNull().alias("thumbs_kept"))
+
+
 @query("source_row_counts", "SELECT source, count(*) AS rows FROM corpus GROUP BY source")
 def source_row_counts(spark, sf):
     return X.source_counts(Z.corpus(spark, sf))

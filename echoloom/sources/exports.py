@@ -1,6 +1,6 @@
 """Raw exports: readers and the projections to the canonical row."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from echoloom import schemas as S
 from echoloom.operators import gates
@@ -26,13 +26,56 @@ def read_json_export(spark: SparkSession, path, schema, lines=False) -> DataFram
             .options(multiLine=not lines, mode="FAILFAST").json(path))
 
 
-def load_raw(spark: SparkSession, path, fmt, multi_line=True) -> DataFrame:
-    """Exploratory load: types are inferred, rows that do not parse keep NULLs."""
-    if fmt == "csv":
-        return spark.read.options(header=True, inferSchema=True, multiLine=multi_line,
-                                  escape='"').csv(path)
-    df = spark.read.options(multiLine=multi_line).json(path)
-    return df.drop("_corrupt_record")
+def load_raw(spark: SparkSession, path, fmt, types=None) -> DataFrame:
+    """Exploratory load: each column gets the narrowest type that all its values fit (see `inferred`).
+
+    `types` names types for some columns. What does not fit stands in the map `_rescued`, by
+    column, and a CSV record with too few or too many fields as a whole under `_record`. CSV
+    files are split among tasks, also where fields hold line breaks; JSON files hold an array each.
+    """
+    if fmt == "json":
+        return spark.read.options(multiLine=True).json(path).drop("_corrupt_record")
+    names = spark.read.options(header=True, escape='"').csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, RECORD)])
+    options = {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": RECORD}
+    text = csv_records(spark, path).select(F.from_csv("record", schema.toDDL(), options).alias("r")).select("r.*")
+    return typed(text, inferred(text.drop(*(types or {}))) | dict(types or {}))
+
+
+RECORD = "_record"
+# Types from narrow to wide; text fits all. A value must look like the type, not only be castable to it.
+LOOKS = {"int": r"[+-]?\d+", "bigint": r"[+-]?\d+", "double": r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?",
+         "boolean": "(?i)true|false", "date": r"\d{4}-\d{2}-\d{2}", "timestamp": r"\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}.*)?"}
+
+
+def _fits(name, kind):
+    value = F.trim(F.col(f"`{name}`"))
+    return F.when(value.isNotNull(), F.rlike(value, F.lit(f"^(?:{LOOKS[kind]})$")) & value.try_cast(kind).isNotNull())
+
+
+def inferred(text: DataFrame) -> dict[str, str]:
+    """The type of every text column, from one aggregation: which types all its values fit.
+
+    What fits two parts of a table is what fits both, so tasks combine their answers in any
+    order. Null fits all; a column of nulls is text.
+    """
+    names = [n for n in text.columns if n != RECORD]
+    flags = [F.bool_and(_fits(n, kind)).alias(f"{i} {kind}") for i, n in enumerate(names) for kind in LOOKS]
+    found = text.agg(*flags).first() if flags else {}
+    return {n: next((kind for kind in LOOKS if found[f"{i} {kind}"]), "string") for i, n in enumerate(names)}
+
+
+def typed(text: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns as their types, and `_rescued`: the texts that do not fit, by column, or null."""
+    names = [n for n in text.columns if n != RECORD]
+    cast = {n: F.col(f"`{n}`") if types.get(n, "string") == "string" else F.trim(F.col(f"`{n}`")).try_cast(types[n]) for n in names}
+    lost = [F.when(F.col(f"`{n}`").isNotNull() & cast[n].isNull(), F.struct(F.lit(n).alias("key"), F.col(f"`{n}`").alias("value")))
+            for n in names if types.get(n, "string") != "string"]
+    if RECORD in text.columns:
+        lost.append(F.when(F.col(RECORD).isNotNull(), F.struct(F.lit(RECORD).alias("key"), F.col(RECORD).alias("value"))))
+    kept = F.filter(F.array(*lost), lambda x: x.isNotNull()) if lost else F.lit(None)
+    rescued = F.when(F.size(kept) > 0, F.map_from_entries(kept)) if lost else F.lit(None).cast("map<string,string>")
+    return text.select(*[cast[n].alias(n) for n in names], rescued.alias("_rescued"))
 
 
 def normalize_app_store(df: DataFrame) -> DataFrame:

@@ -102,3 +102,33 @@ def test_without_breaks(spark):
     write(path, rows)
     for breaks in (True, False):
         assert rows_of(X.read_csv_export(spark, path, S.RAW_SUPPORT, line_breaks=breaks)) == sorted(tuple(r) for r in rows)
+
+
+def test_types_and_rescued_values(spark, small_ranges):
+    path = local(spark, "raw")
+    header = ["id", "n", "big", "x", "flag", "day", "at", "word", "none"]
+    rows = [[str(i), f"{i:03d}", str(i * 10**10), f"{i}.5e1", "TRUE" if i % 2 else "false", f"2026-01-{i + 1:02d}",
+             f"2026-01-01 10:{i:02d}:00", f'a "word",\n{i}', ""] for i in range(28)]
+    write(path, rows, header=header)
+    df = X.load_raw(spark, path, "csv")
+    assert [t for _, t in df.dtypes] == ["int", "int", "bigint", "double", "boolean", "date", "timestamp", "string", "string",
+                                         "map<string,string>"]
+    assert sorted(r.word for r in df.collect()) == sorted(r[7] for r in rows) and df.where("_rescued is not null").count() == 0
+    # one value that does not fit widens a column, or is rescued where the type is named
+    write(path, [["x", "1", "2", "3", "maybe", "2026-01-01", "", "w", "q"]], "b.csv", header=header)
+    with open(f"{path}/b.csv", "a") as f:
+        f.write("5,6\n")
+    wide = X.load_raw(spark, path, "csv")
+    assert dict(wide.dtypes) | {"id": "string", "flag": "string", "x": "double"} == dict(wide.dtypes)
+    assert [dict(r._rescued) for r in wide.where("_rescued is not null").collect()] == [{"_record": "5,6"}]
+    named = X.load_raw(spark, path, "csv", types={"id": "int", "flag": "boolean"})
+    got = [dict(r._rescued) for r in named.where("_rescued is not null").collect()]
+    assert sorted(got, key=len) == [{"_record": "5,6"}, {"id": "x", "flag": "maybe"}]
+    assert named.where("id is null").count() == 1 and named.count() == 30
+
+
+def test_load_of_an_empty_table(spark):
+    path = local(spark, "none")
+    write(path, [])
+    df = X.load_raw(spark, path, "csv")
+    assert df.columns == [*NAMES, "_rescued"] and df.count() == 0
