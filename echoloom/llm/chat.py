@@ -9,8 +9,9 @@ least). Windows after the first repeat the system turn, and each repeats up to t
 A turn reads `### role`, line break, text, line break, `</turn>`, line break. In roles and texts `\` is written `\\`,
 `<` `\l`, `#` `\h` and in roles a line break `\n`, so no text can hold a marker.
 
-Conversations are cut at every `SEGMENT` turn numbers for grouping only: prefix sums go on across the cut, and history
-reaches over it to turns of the last two turn numbers. So one conversation of any length spreads over tasks.
+Conversations are cut at every `SEGMENT` turn numbers for sorting only, so one conversation of any length spreads over
+tasks. Prefix sums go on across the cut, windows hold turns of both sides, and history reaches over it to the two turns
+before, whatever their numbers: results are the same wherever the cuts are.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def unescaped(text: str) -> str:
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """(conv_id, segment, window, text, n_repeated, loss, n_tokens), in order of segment and window per conversation.
+    """(conv_id, window, text, n_repeated, loss, n_tokens), in order of window per conversation.
 
     Turns are ordered by turn (null first), then role, then text; repeated rows are turns of their own. Null roles and
     texts count as empty; a null conv_id is a conversation. The system turn is a first turn of role `system`. `loss`
@@ -75,19 +76,32 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
             .withColumn("start", F.concat(F.lit("### "), escaped(F.col("role"), True), F.lit("\n")))
             .withColumn("body", escaped(F.col("text")))
             .withColumn("piece", F.concat("start", "body", F.lit("\n</turn>\n"))))
-    # the last two turn numbers of a segment also go to the next one, as history only
-    over = (F.col("turn") % SEGMENT) >= SEGMENT - 2
-    rows = rows.withColumn("into", F.explode(F.when(over, F.array("segment", F.col("segment") + 1)).otherwise(F.array("segment"))))
-    order = Window.partitionBy("conv_id", "into").orderBy("segment", "nth")
-    past = [F.lag(F.struct("piece", "before", "is_head"), i).over(order) for i in (2, 1)]
-    rows = (rows.withColumn("new", F.coalesce(F.lag("window").over(order) != F.col("window"), F.lit(True)))
-            .withColumn("p2", past[0]).withColumn("p1", past[1]).where(F.col("into") == F.col("segment")))
+    # the last two turns of a segment, by rank, go on to the next one as history
+    last = Window.partitionBy("conv_id", "segment").orderBy(F.desc("nth"))
+    past = F.struct("piece", "before", "is_head", "window")
+    tails = (rows.withColumn("back", F.row_number().over(last)).where("back <= 2").groupBy("conv_id", "segment")
+             .agg(F.sort_array(F.collect_list(F.struct("nth", past.alias("past")))).alias("tail")))
+    cut = Window.partitionBy("conv_id").orderBy("segment")
+    none = F.slice(F.col("tail.past"), 1, 0)
+    carried = F.concat(F.coalesce(F.lag("tail.past", 2).over(cut), none), F.coalesce(F.lag("tail.past", 1).over(cut), none))
+    tails = tails.select(F.col("conv_id").alias("t_id"), F.col("segment").alias("t_segment"), carried.alias("carried"))
+    order = Window.partitionBy("conv_id", "segment").orderBy("nth")
+    ahead = rows.where("nth <= 2").select("conv_id", "segment", "nth").join(
+        tails, F.col("conv_id").eqNullSafe(F.col("t_id")) & (F.col("segment") == F.col("t_segment"))).select(
+        F.col("conv_id").alias("c_id"), F.col("segment").alias("c_segment"), F.col("nth").alias("c_nth"), "carried").where(
+        F.size("carried") > 0)
+    rows = rows.withColumn("p2", F.lag(past, 2).over(order)).withColumn("p1", F.lag(past, 1).over(order)).join(
+        ahead, F.col("conv_id").eqNullSafe(F.col("c_id")) & (F.col("segment") == F.col("c_segment")) & (F.col("nth") == F.col("c_nth")), "left")
+    back = lambda i: F.try_element_at("carried", F.lit(-i))
+    rows = (rows.withColumn("p2", F.when(F.col("nth") == 1, back(2)).when(F.col("nth") == 2, back(1)).otherwise(F.col("p2")))
+            .withColumn("p1", F.when(F.col("nth") == 1, back(1)).otherwise(F.col("p1")))
+            .withColumn("new", F.coalesce(F.col("p1.window") != F.col("window"), F.lit(True))))
     fits = lambda p: F.col("new") & F.coalesce(~F.col(f"{p}.is_head") & (F.col("before") - F.col(f"{p}.before") <= history), F.lit(False))
     rows = rows.withColumn("history", F.filter(F.array(F.when(fits("p2"), F.col("p2.piece")),
                                                        F.when(fits("p1"), F.col("p1.piece"))), lambda x: x.isNotNull()))
     head_piece = F.concat(F.lit("### system\n"), escaped(F.col("head.text")), F.lit("\n</turn>\n"))
-    grouped = rows.groupBy("conv_id", "segment", "window").agg(
-        F.sort_array(F.collect_list(F.struct("nth", "piece", F.char_length("start").alias("skip"),
+    grouped = rows.groupBy("conv_id", "window").agg(
+        F.sort_array(F.collect_list(F.struct("segment", "nth", "piece", F.char_length("start").alias("skip"),
                                              F.char_length("body").alias("size"), (F.col("role") == "assistant").alias("learn"),
                                              "history"))).alias("turns"),
         F.first(head_piece).alias("head"), F.max("is_head").alias("has_head"), F.sum("tokens").alias("n_tokens"))
@@ -101,7 +115,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
                                                   (a["at"] + t["skip"]).alias("start"),
                                                   (a["at"] + t["skip"] + t["size"]).alias("end")))))
                                               .otherwise(a["loss"]).alias("loss")), lambda a: a["loss"])
-    return grouped.select("conv_id", "segment", "window",
+    return grouped.select("conv_id", "window",
                           F.concat("lead", F.concat_ws("", F.transform("turns", lambda t: t["piece"]))).alias("text"),
                           F.size("repeats").alias("n_repeated"), spans.alias("loss"), "n_tokens")
 
@@ -150,7 +164,7 @@ DIGEST_SCHEMA = pa.schema([(c, pa.string() if c.endswith("sha256") else pa.int64
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation, what its windows say: see `DIGEST`. A conversation's windows stream through one task in order."""
     shared.small_batches(formatted.sparkSession)
-    rows = (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window")
+    rows = (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "window")
             .select("conv_id", "text", "n_repeated", "loss"))
     kinds = ", ".join(f"{c} {'string' if c.endswith('sha256') else 'long'}" for c in DIGEST)
     return rows.mapInArrow(_digests, kinds)

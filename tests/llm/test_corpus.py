@@ -270,7 +270,7 @@ def test_chat_round_trip(spark):
     for c, t, role, text, _ in rows:
         want[c].append((-1 if t is None else t, role or "", text or ""))
     got, loss = collections.defaultdict(list), collections.defaultdict(str)
-    for w in sorted(formatted.collect(), key=lambda w: (w.segment, w.window)):
+    for w in sorted(formatted.collect(), key=lambda w: w.window):
         turns = chat.parsed(w.text)
         got[w.conv_id] += turns[w.n_repeated:]
         repeated, new = turns[:w.n_repeated], turns[w.n_repeated:]
@@ -288,6 +288,21 @@ def test_chat_round_trip(spark):
     assert chat.windows(talks.limit(0)).count() == 0
 
 
+def test_chat_windows_do_not_depend_on_turn_numbers(spark):
+    """The same turns numbered from 0, across a cut for sorting, and far apart: equal windows."""
+    r = random.Random(9)
+    turns = [("system" if i == 0 else ("user", "assistant")[i % 2], prose(r.choice([5, 35, 60]), i)) for i in range(60)]
+    numbers = {0: range(60), 1: range(chat.SEGMENT - 30, chat.SEGMENT + 30), 2: range(chat.SEGMENT - 1, chat.SEGMENT + 59),
+               3: range(0, 60 * 5000, 5000), 4: range(0, 60 * 2100, 2100), 5: range(-2 * chat.SEGMENT, -2 * chat.SEGMENT + 60)}
+    rows = [(c, n, *t) for c, ns in numbers.items() for n, t in zip(ns, turns)]
+    got = collections.defaultdict(list)
+    for w in sorted(chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect(),
+                    key=lambda w: w.window):
+        got[w.conv_id].append((w.window, w.text, w.n_repeated, w.loss, w.n_tokens))
+    assert len(got[0]) > 4 and all(got[c] == got[0] for c in numbers)
+    assert all(n >= 2 for _, _, n, _, _ in got[3][1:])
+
+
 def test_url_rules(spark):
     urls = ["http://a.net/x", "https://Example.NET/en/1?x=/de/", "http://example.net/en", "http://example.com/de/1", "//net/",
             "http://net/", "http://xnet/", "http://net", "http://w.example.org/fr/#a", "ftp://org/fr/", "http://casino-win.example.com/",
