@@ -53,71 +53,75 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.floor(turn / SEGMENT), F.lit(-(1 << 52))).alias("segment"))
-    rows = rows.withColumn("tokens", F.expr(COUNT.format("text")) + OVERHEAD)
-    place = F.struct("segment", "turn", "role", "text")
-    heads = rows.groupBy("conv_id").agg(F.min(F.struct("segment", "turn", "role", "text", "tokens")).alias("h")).select(
-        F.col("conv_id").alias("h_id"), F.when(F.col("h.role") == "system", F.col("h")).alias("head"))
-    rows = rows.join(heads, F.col("conv_id").eqNullSafe(F.col("h_id"))).drop("h_id")
-    own = Window.partitionBy("conv_id", "segment").orderBy("turn", "role", "text")
-    rows = rows.withColumn("nth", F.row_number().over(own)).withColumn(
-        "is_head", F.coalesce(place.eqNullSafe(F.struct(*[F.col(f"head.{c}") for c in ("segment", "turn", "role", "text")]))
-                              & (F.col("nth") == 1), F.lit(False)))
+    own = Window.partitionBy("conv_id", "segment")
+    # texts are written once and looked up by (conv_id, segment, nth); windows are decided on numbers only
+    turns = shared.saved(rows.withColumn("tokens", (F.expr(COUNT.format("text")) + OVERHEAD).cast("long"))
+                         .withColumn("nth", F.row_number().over(own.orderBy("turn", "role", "text"))).drop("turn"), "chat-turns")
+    slim = _placed(turns.select("conv_id", "segment", "nth", "tokens", (F.col("role") == "system").alias("is_system")), budget, history)
+    t, s = turns.alias("t"), slim.select("conv_id", "window", F.explode("members").alias("m")).alias("s")
+    same = (F.col("t.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("t.segment") == F.col("s.m.segment"))
+            & (F.col("t.nth") == F.col("s.m.nth")))
+    grouped = t.join(s, same).groupBy("s.conv_id", "s.window").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("s.m.part").alias("part"), "t.segment", "t.nth", "t.role", "t.text"))).alias("turns"),
+        F.sum(F.when(F.col("s.m.part") == NEW, F.col("t.tokens"))).alias("n_tokens"))
+    pieces = F.transform("turns", lambda x: F.struct(
+        F.concat(F.lit("### "), escaped(x["role"], True), F.lit("\n")).alias("start"), escaped(x["text"]).alias("body"),
+        ((x["part"] == NEW) & (x["role"] == "assistant")).alias("learn"), (x["part"] != NEW).alias("repeated")))
+    grouped = grouped.select("conv_id", "window", pieces.alias("pieces"), "n_tokens")
+    end = "\n</turn>\n"
+    spans = F.aggregate("pieces", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long>>").alias("loss")),
+                        lambda a, x: F.struct(
+                            (a["at"] + F.char_length(x["start"]) + F.char_length(x["body"]) + len(end)).alias("at"),
+                            F.when(x["learn"], F.concat(a["loss"], F.array(F.struct(
+                                (a["at"] + F.char_length(x["start"])).alias("start"),
+                                (a["at"] + F.char_length(x["start"]) + F.char_length(x["body"])).alias("end")))))
+                            .otherwise(a["loss"]).alias("loss")), lambda a: a["loss"])
+    return grouped.select("conv_id", "window",
+                          F.concat_ws("", F.transform("pieces", lambda x: F.concat(x["start"], x["body"], F.lit(end)))).alias("text"),
+                          F.size(F.filter("pieces", lambda x: x["repeated"])).alias("n_repeated"), spans.alias("loss"), "n_tokens")
+
+
+HEAD, PAST, NEW = 0, 1, 2      # the parts of a window, in order
+
+
+def _placed(slim: DataFrame, budget: int, history: int) -> DataFrame:
+    """(conv_id, window, members): for every turn its window and, at a window's first turn, the turns that it repeats too."""
+    heads = slim.groupBy("conv_id").agg(F.min(F.struct("segment", "nth", "is_system", "tokens")).alias("h")).select(
+        F.col("conv_id").alias("h_id"), F.when(F.col("h.is_system"), F.col("h")).alias("head"))
+    rows = slim.join(heads, F.col("conv_id").eqNullSafe(F.col("h_id"))).drop("h_id")
+    rows = rows.withColumn("is_head", F.coalesce((F.col("head.segment") == F.col("segment")) & (F.col("head.nth") == F.col("nth")), F.lit(False)))
     rows = rows.withColumn("cost", F.when(F.col("is_head"), 0).otherwise(F.col("tokens")))
     sums = rows.groupBy("conv_id", "segment").agg(F.sum("cost").alias("cost")).select(
         F.col("conv_id").alias("s_id"), F.col("segment").alias("s_segment"),
         F.coalesce(F.sum("cost").over(Window.partitionBy("conv_id").orderBy("segment").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     free = F.greatest(F.lit(budget - history) - F.coalesce("head.tokens", F.lit(0)), F.lit(budget // 4))
-    rows = (rows.join(sums, F.col("conv_id").eqNullSafe(F.col("s_id")) & (F.col("segment") == F.col("s_segment")))
-            .withColumn("after", F.col("offset") + F.sum("cost").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy("conv_id", "segment").orderBy("nth")
+    rows = (rows.join(sums, F.col("conv_id").eqNullSafe(F.col("s_id")) & (F.col("segment") == F.col("s_segment"))).drop("s_id", "s_segment")
+            .withColumn("after", F.col("offset") + F.sum("cost").over(order.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("before", F.col("after") - F.col("cost")).withColumn("cell", F.floor(free / 2))
             .withColumn("window", 2 * F.floor(F.greatest(F.col("after") - 1, F.lit(0)) / F.col("cell"))
-                        + F.when(F.col("cost") > F.col("cell"), 0).otherwise(1))
-            .withColumn("start", F.concat(F.lit("### "), escaped(F.col("role"), True), F.lit("\n")))
-            .withColumn("body", escaped(F.col("text")))
-            .withColumn("piece", F.concat("start", "body", F.lit("\n</turn>\n"))))
-    # the last two turns of a segment, by rank, go on to the next one as history
-    last = Window.partitionBy("conv_id", "segment").orderBy(F.desc("nth"))
-    past = F.struct("piece", "before", "is_head", "window")
-    tails = (rows.withColumn("back", F.row_number().over(last)).where("back <= 2").groupBy("conv_id", "segment")
-             .agg(F.sort_array(F.collect_list(F.struct("nth", past.alias("past")))).alias("tail")))
+                        + F.when(F.col("cost") > F.col("cell"), 0).otherwise(1)))
+    # the last two turns of a segment, by rank, go on to the next ones as history
+    past = F.struct("segment", "nth", "before", "is_head", "window")
+    back = F.row_number().over(Window.partitionBy("conv_id", "segment").orderBy(F.desc("nth")))
+    tails = (rows.withColumn("back", back).where("back <= 2").groupBy("conv_id", "segment")
+             .agg(F.sort_array(F.collect_list(past)).alias("tail")))
     cut = Window.partitionBy("conv_id").orderBy("segment")
-    none = F.slice(F.col("tail.past"), 1, 0)
-    carried = F.concat(F.coalesce(F.lag("tail.past", 2).over(cut), none), F.coalesce(F.lag("tail.past", 1).over(cut), none))
-    tails = tails.select(F.col("conv_id").alias("t_id"), F.col("segment").alias("t_segment"), carried.alias("carried"))
-    order = Window.partitionBy("conv_id", "segment").orderBy("nth")
-    ahead = rows.where("nth <= 2").select("conv_id", "segment", "nth").join(
-        tails, F.col("conv_id").eqNullSafe(F.col("t_id")) & (F.col("segment") == F.col("t_segment"))).select(
-        F.col("conv_id").alias("c_id"), F.col("segment").alias("c_segment"), F.col("nth").alias("c_nth"), "carried").where(
-        F.size("carried") > 0)
+    none = F.slice("tail", 1, 0)
+    carried = F.concat(F.coalesce(F.lag("tail", 2).over(cut), none), F.coalesce(F.lag("tail", 1).over(cut), none))
+    tails = tails.select(F.col("conv_id").alias("t_id"), F.col("segment").alias("t_segment"), carried.alias("carried")).where(F.size("carried") > 0)
     rows = rows.withColumn("p2", F.lag(past, 2).over(order)).withColumn("p1", F.lag(past, 1).over(order)).join(
-        ahead, F.col("conv_id").eqNullSafe(F.col("c_id")) & (F.col("segment") == F.col("c_segment")) & (F.col("nth") == F.col("c_nth")), "left")
-    back = lambda i: F.try_element_at("carried", F.lit(-i))
-    rows = (rows.withColumn("p2", F.when(F.col("nth") == 1, back(2)).when(F.col("nth") == 2, back(1)).otherwise(F.col("p2")))
-            .withColumn("p1", F.when(F.col("nth") == 1, back(1)).otherwise(F.col("p1")))
+        tails, F.col("conv_id").eqNullSafe(F.col("t_id")) & (F.col("segment") == F.col("t_segment")), "left")
+    last = lambda i: F.try_element_at("carried", F.lit(-i))
+    rows = (rows.withColumn("p2", F.when(F.col("nth") == 1, last(2)).when(F.col("nth") == 2, last(1)).otherwise(F.col("p2")))
+            .withColumn("p1", F.when(F.col("nth") == 1, last(1)).otherwise(F.col("p1")))
             .withColumn("new", F.coalesce(F.col("p1.window") != F.col("window"), F.lit(True))))
-    fits = lambda p: F.col("new") & F.coalesce(~F.col(f"{p}.is_head") & (F.col("before") - F.col(f"{p}.before") <= history), F.lit(False))
-    rows = rows.withColumn("history", F.filter(F.array(F.when(fits("p2"), F.col("p2.piece")),
-                                                       F.when(fits("p1"), F.col("p1.piece"))), lambda x: x.isNotNull()))
-    head_piece = F.concat(F.lit("### system\n"), escaped(F.col("head.text")), F.lit("\n</turn>\n"))
-    grouped = rows.groupBy("conv_id", "window").agg(
-        F.sort_array(F.collect_list(F.struct("segment", "nth", "piece", F.char_length("start").alias("skip"),
-                                             F.char_length("body").alias("size"), (F.col("role") == "assistant").alias("learn"),
-                                             "history"))).alias("turns"),
-        F.first(head_piece).alias("head"), F.max("is_head").alias("has_head"), F.sum("tokens").alias("n_tokens"))
-    repeats = F.concat(F.when(F.col("has_head") | F.col("head").isNull(), F.array().cast("array<string>"))
-                       .otherwise(F.array("head")), F.col("turns")[0]["history"])
-    grouped = grouped.withColumn("repeats", repeats).withColumn("lead", F.concat_ws("", "repeats"))
-    spans = F.aggregate("turns", F.struct(F.char_length("lead").cast("long").alias("at"),
-                                          F.array().cast("array<struct<start:long,end:long>>").alias("loss")),
-                        lambda a, t: F.struct((a["at"] + F.char_length(t["piece"])).alias("at"),
-                                              F.when(t["learn"], F.concat(a["loss"], F.array(F.struct(
-                                                  (a["at"] + t["skip"]).alias("start"),
-                                                  (a["at"] + t["skip"] + t["size"]).alias("end")))))
-                                              .otherwise(a["loss"]).alias("loss")), lambda a: a["loss"])
-    return grouped.select("conv_id", "window",
-                          F.concat("lead", F.concat_ws("", F.transform("turns", lambda t: t["piece"]))).alias("text"),
-                          F.size("repeats").alias("n_repeated"), spans.alias("loss"), "n_tokens")
+    member = lambda part, x: F.struct(F.lit(part).alias("part"), x["segment"].alias("segment"), x["nth"].alias("nth"))
+    fits = lambda p: F.when(F.col("new") & ~F.col(f"{p}.is_head") & (F.col("before") - F.col(f"{p}.before") <= history), member(PAST, F.col(p)))
+    members = F.array(F.when(F.col("new") & ~F.col("is_head") & F.col("head").isNotNull(), member(HEAD, F.col("head"))), fits("p2"), fits("p1"),
+                      F.struct(F.lit(NEW).alias("part"), "segment", "nth"))
+    return rows.select("conv_id", "window", F.filter(members, lambda x: x.isNotNull()).alias("members"))
 
 
 def parsed(text: str) -> list[tuple[str, str]]:
