@@ -142,7 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFrame:
     """`docs` with a column `column` (0 to 1, higher: better); replaces a column of that name.
 
-    Null and blank texts have no features: their score is that of the bias. All other columns stay as they are.
+    Null and blank texts have no features: their score is that of the bias. All other columns stay as they are. Rows that
+    repeat score alike; an empty table stays empty.
     """
     shared.small_batches(docs.sparkSession)
     docs = docs.drop(column)
@@ -159,7 +160,10 @@ def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFr
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row; a null doc_id is not held out."""
+    """(doc_id, held_out, score, predicted) for every row; a null doc_id is not held out.
+
+    A doc_id that stands several times, in `docs` or `labels`, teaches once for each pair of rows. An empty table gives no rows.
+    """
     weights = train(docs, labels)
     return (score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), weights)
             .select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
@@ -167,6 +171,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without the rows whose score is below the threshold; columns as they are."""
+    """`docs` without the rows whose score is below the threshold; columns as they are. Rows that repeat stay or go together;
+    an empty table stays empty."""
     column = "__echoloom_score"
     return score(docs, train(docs, labels), column).where(F.col(column) >= threshold).drop(column)
