@@ -1,4 +1,8 @@
-"""From raw documents to a training mix, in five stages, each written before the next one reads it."""
+"""From raw documents to a training mix, in five stages, each written before the next one reads it.
+
+Every stage keeps empty tables empty, null and empty texts as its operator says, and the columns of its input. The last one
+adds what the mix takes: whoever reads its rows as a corpus repeats them by `copies` and leaves out those with 0.
+"""
 
 from __future__ import annotations
 
@@ -55,7 +59,7 @@ STAGES = [
     ("source_mixing", mix_stage),
 ]
 
-#: Hashed features, content-defined boundaries and Newton steps have no SQL form; tests hold the stages against brute force.
+#: Hashed features, digests of line runs and Newton steps have no SQL form.
 ORACLE_SQL = None
 
 
