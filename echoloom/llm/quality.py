@@ -116,20 +116,29 @@ def fold(column="doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % FOLDS
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> np.ndarray:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, shards: int = SHARDS) -> np.ndarray:
     """Weights (BUCKETS + 1 numbers) from at most `max_labelled` labelled rows outside fold 0, taken by a hash of doc_id.
 
-    Rows without a label, ID or text don't teach. With no labelled row all weights are 0 and every score 0.5.
+    Rows without a label, ID or text don't teach. With no labelled row all weights are 0 and every score 0.5. Texts are
+    not shuffled to find their labels: the sample, `max_labelled` rows of three numbers at most, goes to every task.
     """
     shared.small_batches(docs.sparkSession)
-    rows = shared.hash_sample(
+    rows = shared.saved(shared.hash_sample(
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
-        .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != 0), max_labelled, "doc_id", "quality")
+        .where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != 0), max_labelled, "doc_id", "quality"),
+        "quality-labels")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where("text IS NOT NULL")
-    shards = (texts.join(rows, "doc_id").select(F.pmod("turn", F.lit(SHARDS)).alias("shard"), "turn", "text", "quality")
-              .repartition(SHARDS, "shard").sortWithinPartitions("shard", "turn", "text"))
-    got = (shards.mapInArrow(_learn, "bucket long, weight double").groupBy("bucket")
+    examples = shared.saved(texts.join(F.broadcast(rows.distinct()), "doc_id").withColumnRenamed("turn", "dealt")
+                            .dropDuplicates(["doc_id", "quality", "text"])
+                            .withColumn("text_key", F.xxhash64("text")), "quality-examples")
+    # an ID may stand with any number of texts: of all pairs, again the first by a hash
+    keys = ["doc_id", "quality", "text_key"]
+    taken = shared.saved(shared.hash_sample(examples.select(*keys), max_labelled, *keys).drop("turn").distinct(), "quality-taken")
+    dealt = (examples.join(F.broadcast(taken), keys)
+              .select(F.pmod("dealt", F.lit(shards)).alias("shard"), F.col("dealt").alias("turn"), "text", "quality")
+              .repartition(shards, "shard").sortWithinPartitions("shard", "turn", "text"))
+    got = (dealt.mapInArrow(_learn, "bucket long, weight double").groupBy("bucket")
            .agg(F.sum("weight").alias("weight")).toArrow())
     out = np.zeros(BUCKETS + 1)
     bucket, weight = got.column("bucket").to_numpy(), got.column("weight").to_numpy()
@@ -162,7 +171,8 @@ def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFr
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; a null doc_id is not held out.
 
-    A doc_id that stands several times, in `docs` or `labels`, teaches once for each pair of rows. An empty table gives no rows.
+    A doc_id that stands several times teaches once for each of its texts and labels; equal rows teach once. An empty table
+    gives no rows.
     """
     weights = train(docs, labels)
     return (score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), weights)
