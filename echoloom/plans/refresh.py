@@ -190,10 +190,14 @@ class Refresh:
                        retained_from_previous=total["retained"] + alone, total=total["checked_rows"] + alone)
 
     def analyze(self, metrics):
-        """Label new and changed text once; everything else keeps its saved label."""
+        """Label new and changed text once; everything else keeps its saved label.
+
+        The cache is read once, and only in the buckets of the pending keys. An answer that another
+        run caches meanwhile is not seen: this run uses its own.
+        """
         prepared, prior = self.stage("prepared").drop("_status", "bucket"), self.baseline("feedback_analyzed")
         pending = self.save(I.pending(prepared, prior, self.version), "pending")
-        known = self.store.cache()
+        known = self.save(self.store.cached(pending), "known_answers")
         fresh = I.uncached(pending, known)
         responses = with_audit(
             lambda: self.save(ai.classify(fresh, self.make_model), "ai_responses"),
@@ -205,17 +209,17 @@ class Refresh:
         metrics["ai_messages"] = checked["ai_messages"]
         if checked["responses"]:
             self.save(failed, "failed_ai_responses")
+        added = self.save(I.insert_missing(known, valid, "_cache_key"), "new_answers")
         if checked["ai_messages"]:
             # before failing: good answers are not asked again
-            self.store.append_cache(I.insert_missing(known, valid, "_cache_key"), self.run_id)
+            self.store.append_cache(added, self.run_id)
         G.enforce(checked, {"responses": "AI responses failed validation; the others are cached"},
                   metrics)
 
-        answers = I.one_answer(self.store.cache().join(
-            pending.select("_cache_key").distinct(), "_cache_key", "left_semi"))
+        answers = known.unionByName(added)
         unique = G.row(G.unique_keys(answers, ["_cache_key"]))
-        G.enforce(unique, {"duplicate_keys": "the answer cache holds a key twice",
-                           "empty_keys": "the answer cache holds an empty key"}, metrics)
+        G.enforce(unique, {"duplicate_keys": "a key was answered from the cache and anew",
+                           "empty_keys": "an answer has an empty key"}, metrics)
         attached = I.attach(pending, answers)
         new = ai.extract_labels(attached).select(*S.ANALYZED.names, F.lit(False).alias("_reused"))
         reused = I.reuse_labels(prepared, prior).withColumn("_reused", F.lit(True))

@@ -10,16 +10,19 @@ written by hand): the next run cuts it into buckets.
 
 import datetime as dt
 import json
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from echoloom import schemas as S
+from echoloom.operators.incremental import one_answer
 
 LOG = ("version BIGINT, run_id STRING, parent BIGINT, folders MAP<STRING, ARRAY<STRING>>, "
        "stats MAP<STRING, ARRAY<STRUCT<rows: BIGINT, review: BIGINT, active: BIGINT>>>, published_at TIMESTAMP")
 BUCKETS = 16    # a run rewrites whole buckets: choose as many as keep one bucket a small job
+CACHE_BUCKETS = 64  # a run reads the cache buckets of the keys it lacks
 
 
 def key_bucket(n: int):
@@ -30,6 +33,10 @@ def user_bucket(n: int):
     return F.pmod(F.xxhash64("source", "user_id"), F.lit(n)).cast("int")
 
 
+def cache_bucket(n: int):
+    return F.pmod(F.xxhash64("_cache_key"), F.lit(n)).cast("int")
+
+
 COUNTED = ("feedback_clean", "feedback_analyzed", "feedback_with_issue_type")
 
 
@@ -43,8 +50,8 @@ def counts_of(entry) -> dict:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, cache_buckets: int = CACHE_BUCKETS):
+        self.spark, self.root, self.buckets, self.cache_buckets = spark, root.rstrip("/"), buckets, cache_buckets
 
     # --- stages -----------------------------------------------------------------------
 
@@ -195,14 +202,29 @@ class Store:
 
     # --- append-only tables ------------------------------------------------------------
 
-    def cache(self) -> DataFrame:
-        """Answers of all runs; two runs may have asked for one key, see `one_answer`."""
-        found = self._read_or_none(f"{self.root}/ai_cache", S.AI_CACHE)
-        return self.spark.createDataFrame([], S.AI_CACHE) if found is None else found.select(*S.AI_CACHE.names)
+    def cache(self, buckets=None) -> DataFrame:
+        """Answers of all runs; two runs may have asked for one key, see `one_answer`. Only some buckets
+        if they are named: the folders of the others are not opened, but for answers that were cut into another number."""
+        cut = T.StructType([*S.AI_CACHE.fields, T.StructField("cut", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+        found = self._read_or_none(f"{self.root}/ai_answers", cut)
+        if found is None:
+            return self.spark.createDataFrame([], S.AI_CACHE)
+        if buckets is not None:
+            found = found.where((F.col("cut") != self.cache_buckets) | F.col("bucket").isin([int(b) for b in buckets]))
+        return found.select(*S.AI_CACHE.names)
+
+    def cached(self, keys: DataFrame) -> DataFrame:
+        """One answer per cache key of `keys` that has one, from the buckets of these keys."""
+        met = keys.select(cache_bucket(self.cache_buckets).alias("b")).distinct().collect()    # at most one row per bucket
+        asked = keys.select("_cache_key").distinct()
+        return one_answer(self.cache(sorted(r["b"] for r in met)).join(asked, "_cache_key", "left_semi"))
 
     def append_cache(self, rows: DataFrame, run_id):
-        """A run's answers, in a folder of its own: a repeated step replaces them."""
-        rows.select(*S.AI_CACHE.names).write.mode("overwrite").parquet(f"{self.root}/ai_cache/by_run={run_id}")
+        """A run's answers, in a new folder cut into buckets: nothing that is there is replaced, so a step that
+        is repeated after a failure keeps what the first attempt was answered."""
+        path = f"{self.root}/ai_answers/cut={self.cache_buckets}/by_run={run_id}/part={uuid.uuid4().hex}"
+        rows.select(*S.AI_CACHE.names, cache_bucket(self.cache_buckets).alias("bucket")).repartition("bucket") \
+            .sortWithinPartitions("bucket", "_cache_key").write.partitionBy("bucket").parquet(path)
 
     def reports(self) -> DataFrame:
         return self.spark.read.schema(S.RUN_LOG).json(f"{self.root}/runs")

@@ -1,13 +1,16 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from echoloom.functions.identity import cache_key
 from echoloom.operators.ai import keyword_model
 from echoloom.operators.gates import GateFailure
 from echoloom.plans.audit import with_audit
 from echoloom.plans.refresh import Refresh
 from echoloom.plans.submissions import submission_refresh
 from echoloom.sources.exports import read_snapshot
-from echoloom.tables import Conflict
+from echoloom.tables import Conflict, Store, cache_bucket
 
 ROWS = [("support", "1", "u1", "Payment failed, call 07700 900190", None, "2026-01-01"),
         ("support", "2", "u2", "Delivery was late", None, "2026-01-02"),
@@ -89,6 +92,41 @@ def test_failed_responses_do_not_lose_good_ones(store, feedback):
     assert run["analyze"]["ai_messages"] == 1 and store.cache().count() == 4
 
 
+def test_repeated_step_keeps_the_answers_of_its_first_attempt(store, feedback):
+    with pytest.raises(GateFailure):
+        Refresh(store, "1", flaky()).run(feedback(*ROWS))
+    again = Refresh(store, "1").run(feedback(*ROWS))
+    assert again["analyze"]["ai_messages"] == 1 and again["analyze"]["processed"] == 4
+    assert store.cache().count() == 4 and len(table(store)) == 4
+
+
+def test_cache_is_read_once_and_only_where_keys_are(store, feedback, monkeypatch):
+    Refresh(store, "1").run(feedback(*ROWS))
+    changed = ROWS[1][:3] + ("The order is wrong",) + ROWS[1][4:]
+    Refresh(store, "2").run(feedback(changed))
+    key = feedback(ROWS[1]).select(cache_key().alias("_cache_key"))
+    mine = key.select(cache_bucket(store.cache_buckets)).first()[0]
+    # files of other buckets that cannot be read
+    other = os.path.join(store.root, f"ai_answers/cut={store.cache_buckets}/by_run=x/part=x/bucket={(mine + 1) % store.cache_buckets}")
+    os.makedirs(other)
+    with open(os.path.join(other, "bad.parquet"), "wb") as f:
+        f.write(b"not parquet")
+    calls, read = [], Store.cache
+    monkeypatch.setattr(Store, "cache", lambda self, buckets=None: calls.append(buckets) or read(self, buckets))
+    back = Refresh(store, "3").run(feedback(ROWS[1]))
+    assert back["analyze"]["ai_messages"] == 0 and back["analyze"]["processed"] == 1 and calls == [[mine]]
+    with pytest.raises(Exception, match="bad.parquet"):
+        read(store).collect()
+
+
+def test_answers_cut_into_another_number_of_buckets_are_found(spark, store, feedback):
+    Refresh(store, "1").run(feedback(*ROWS))
+    changed = ROWS[1][:3] + ("The order is wrong",) + ROWS[1][4:]
+    Refresh(store, "2").run(feedback(changed))
+    other = Store(spark, store.root, store.buckets, cache_buckets=7)
+    assert Refresh(other, "3").run(feedback(ROWS[1]))["analyze"]["ai_messages"] == 0
+
+
 def test_concurrent_publication_is_refused(store, feedback):
     late = Refresh(store, "late")
     late.step("prepare", feedback(ROWS[0]))
