@@ -463,8 +463,10 @@ def test_mixing(spark, empty):
     assert mixing.mix(empty).count() == 0
 
 
-def test_rates_are_exponential_tilts(spark):
-    """Newton's multiplier meets the target with rates min(2, exp(lambda * x))."""
+@pytest.mark.parametrize("newton", [mixing.NEWTON, 0])     # 0: by bisection alone
+def test_rates_are_exponential_tilts(spark, monkeypatch, newton):
+    """The multiplier meets the target with rates min(2, exp(lambda * x))."""
+    monkeypatch.setattr(mixing, "NEWTON", newton)
     import math
     cells = spark.createDataFrame([(1, s, 10) for s in range(1, 200)] + [(2, 7, 5)], "place int, size long, n long")
     sources = spark.createDataFrame([(1, 199 * 100 * 10, 1990, 260_000.0), (2, 35, 5, 70.0)],
