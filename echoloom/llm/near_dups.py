@@ -3,11 +3,13 @@
 1. Every text becomes its set of distinct five-word shingles, a digest of that set and 64 minima. Equal digests are
    one class; from here on a class counts once, however many copies it has.
 2. The forest has 16 orders of the signature, each beginning four places later. Classes that share the first three
-   places of an order form a region (a pair of similarity 0.85 shares none with probability 2e-7). Regions of more than
-   `LARGE` members go to six places, then to twelve: the depth follows the region.
-3. A region is read in signature order, so neighbours have the longest common prefixes. Each class is held against the
-   `WINDOW` classes before it; those whose signatures agree in 36 of 64 places belong to one family (a pair of
-   similarity 0.85 misses that with probability 1e-9). A task sends stars, never pairs.
+   places of an order form a region. The depth follows the region: one of more than `LARGE` members grows four branches,
+   each by three further places of its own, and a branch that is still as large grows four more. A pair parts at a
+   larger depth only if it parts in all four branches, so depth hardly costs links (`README.md` has the rates).
+3. A region is read in signature order, so neighbours have the longest common prefixes, and each class is held against
+   all classes before it: at most `LARGE`. Those whose signatures agree in 36 of 64 places belong to one family (a pair
+   of similarity 0.85 misses that with probability 1e-9). A task sends stars, never pairs. A region that is larger even
+   with nine places is one family as a whole, without a comparison of signatures.
 4. Families are components of these stars. A family's full sets meet once, in blocks of `BLOCK` shingles; block pairs are
    separate groups, so a large family spreads over tasks. Intersections are counted exactly, links sent as stars.
 """
@@ -23,14 +25,14 @@ from pyspark.sql import DataFrame, functions as F
 from echoloom.llm import shared, words
 
 PLACES, ORDERS, STEP = 64, 16, 4
-DEPTHS = (3, 6, 12)
+DEPTH, BRANCHES, LEVELS = 3, 4, 3
 LARGE = 4096
-WINDOW = 512
 AGREE = 36
 BLOCK = 1 << 20
 PERCENT = 85
 KEY, LOST, LOST_ID = "__echoloom_key", "__echoloom_lost", "__echoloom_lost_id"
 _KEY = np.random.default_rng(77).integers(1, 1 << 62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_REGION = "digest binary, order int, path int, key long"
 _SKETCH = "doc_id long, row_key long, n_shingles long, digest binary, signature binary"
 
 
@@ -52,10 +54,21 @@ def _sketch(batches):
                  pa.array(signatures, pa.binary())], ["doc_id", "row_key", "n_shingles", "digest", "signature"])
 
 
-def _region_key(signatures: np.ndarray, order: int, depth: int) -> np.ndarray:
-    places = (order * STEP + np.arange(depth)) % PLACES
-    h = (signatures[:, places].astype(np.uint64) * _KEY[:depth]).sum(axis=1, dtype=np.uint64)
-    return words.mix(h + np.uint64(order * 64 + depth)).view(np.int64)
+def _places(order: int, path: tuple = ()) -> np.ndarray:
+    """The places that the last branch of `path` adds, `DEPTH` of them: all branches of an order have places of their own."""
+    first, level = 0, 1
+    if path:
+        first = sum(BRANCHES ** k for k in range(len(path)))
+        for branch in path:
+            level = (level - 1) * BRANCHES + branch + 1
+        first += level - 1
+    return (order * STEP + first * DEPTH + np.arange(DEPTH)) % PLACES
+
+
+def _region_key(signatures: np.ndarray, places: np.ndarray, parent) -> np.ndarray:
+    """The region that `places` make of their parent region, or of an order for a start."""
+    h = (signatures[:, places].astype(np.uint64) * _KEY[places]).sum(axis=1, dtype=np.uint64)
+    return words.mix(h + words.mix(parent)).view(np.int64)
 
 
 def _matrix(column) -> np.ndarray:
@@ -64,35 +77,51 @@ def _matrix(column) -> np.ndarray:
 
 
 def _keys(batches):
-    """Rows (digest, order, key): the region of each class in each order, at the least depth."""
+    """Rows (digest, order, path, key): the region of each class in each order."""
     for batch in batches:
         if not batch.num_rows:
             continue
         m = _matrix(batch.column("signature"))
-        keys = np.stack([_region_key(m, t, DEPTHS[0]) for t in range(ORDERS)], axis=1)
+        keys = np.stack([_region_key(m, _places(t), np.full(len(m), t, np.uint64)) for t in range(ORDERS)], axis=1)
         order = np.tile(np.arange(ORDERS, dtype=np.int32), len(m))
         digest = batch.column("digest").take(pa.array(np.repeat(np.arange(len(m)), ORDERS)))
-        yield pa.RecordBatch.from_arrays([digest, pa.array(order), pa.array(keys.ravel())], ["digest", "order", "key"])
+        yield pa.RecordBatch.from_arrays([digest, pa.array(order), pa.array(np.zeros_like(order)), pa.array(keys.ravel())],
+                                         ["digest", "order", "path", "key"])
 
 
-def _deepen(batches):
-    """The key that follows the region's size, and the order's signature to sort by."""
+def _branches(level):
+    """Rows (digest, order, path, key): the branches of members of regions at `level`; path holds the branches as digits."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            m = _matrix(batch.column("signature"))
+            order, path = batch.column("order").to_numpy(), batch.column("path").to_numpy()
+            key = batch.column("key").to_numpy().view(np.uint64)
+            for t, p in {*zip(order.tolist(), path.tolist())}:
+                rows = np.flatnonzero((order == t) & (path == p))
+                digits = tuple(p // BRANCHES ** k % BRANCHES for k in reversed(range(level)))
+                digest = batch.column("digest").take(pa.array(rows))
+                for branch in range(BRANCHES):
+                    keys = _region_key(m[rows], _places(t, (*digits, branch)), key[rows] + np.uint64(branch + 1))
+                    yield pa.RecordBatch.from_arrays(
+                        [digest, pa.array(np.full(len(rows), t, np.int32)),
+                         pa.array(np.full(len(rows), p * BRANCHES + branch, np.int32)), pa.array(keys)],
+                        ["digest", "order", "path", "key"])
+    return run
+
+
+def _ranked(batches):
+    """Region, signature turned to its order, and digest."""
     for batch in batches:
         if not batch.num_rows:
             continue
         m = _matrix(batch.column("signature"))
         order = batch.column("order").to_numpy()
-        members = batch.column("members").to_numpy()
-        key = batch.column("key").to_numpy().copy()
-        for t in np.unique(order):
-            for depth, least in zip(DEPTHS[1:], (LARGE, LARGE * LARGE)):
-                rows = (order == t) & (members > least)
-                if rows.any():
-                    key[rows] = _region_key(m[rows], int(t), depth)
         turned = (order.astype(np.int64)[:, None] * STEP + np.arange(PLACES)) % PLACES
         ranked = np.take_along_axis(m, turned, axis=1).astype(">u4")
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array([r.tobytes() for r in ranked], pa.binary()), batch.column("digest")],
+            [batch.column("key"), pa.array([r.tobytes() for r in ranked], pa.binary()), batch.column("digest")],
             ["key", "ranked", "digest"])
 
 
@@ -118,9 +147,9 @@ class Sets:
 
 
 def _stars(batches):
-    """Rows arrive by (key, ranked). Each is held against the window before it; sends (a, b): member and its star's centre.
+    """Rows arrive by (key, ranked). Each is held against its region before it; sends (a, b): member and its star's centre.
 
-    Only the window is in memory: a class knows its centre, and a merge of two stars sends one more edge.
+    One region is in memory: a class knows its centre, and a merge of two stars sends one more edge.
     """
     key, seen, centre = None, np.empty((0, PLACES), np.uint32), []
     for batch in batches:
@@ -136,10 +165,9 @@ def _stars(batches):
             names = centre + digests[begin:end]
             base = len(seen)
             for i in range(base, len(rows)):
-                lo = max(0, i - WINDOW)
-                near = np.flatnonzero((rows[lo:i] == rows[i]).sum(axis=1) >= AGREE)
+                near = np.flatnonzero(np.count_nonzero(rows[:i] == rows[i], axis=1) >= AGREE)
                 if len(near):
-                    stars = {names[lo + j] for j in near}
+                    stars = {names[j] for j in near}
                     first = min(stars)
                     a.append(names[i])
                     b.append(first)
@@ -147,9 +175,9 @@ def _stars(batches):
                         a.append(other)
                         b.append(first)
                     if len(stars) > 1:
-                        names[lo:i] = [first if x in stars else x for x in names[lo:i]]
+                        names[:i] = [first if x in stars else x for x in names[:i]]
                     names[i] = first
-            seen, centre = rows[-WINDOW:], names[-WINDOW:]
+            seen, centre = rows, names
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
@@ -222,6 +250,27 @@ def _confirm(percent):
     return run
 
 
+def _stars_of(classes: DataFrame) -> DataFrame:
+    """(a, b): members of one family, from all levels of the forest."""
+    signatures = classes.select("digest", "signature")
+    keys, stars = signatures.mapInArrow(_keys, _REGION), None
+    for level in range(LEVELS):
+        keys = shared.saved(keys, f"keys-{level}")
+        regions = shared.saved(keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), f"regions-{level}")
+        members = keys.join(regions, "key")
+        scanned = (members.where(F.col("members") <= LARGE).join(signatures, "digest").select("key", "order", "signature", "digest")
+                   .mapInArrow(_ranked, "key long, ranked binary, digest binary")
+                   .repartition("key").sortWithinPartitions("key", "ranked", "digest").mapInArrow(_stars, "a binary, b binary"))
+        stars = scanned if stars is None else stars.union(scanned)
+        if regions.where(F.col("members") > LARGE).isEmpty():
+            return stars
+        large = members.where(F.col("members") > LARGE)
+        keys = large.join(signatures, "digest").select("key", "order", "path", "signature", "digest").mapInArrow(
+            _branches(level), _REGION)
+    centres = large.groupBy("key").agg(F.min("digest").alias("b"))
+    return stars.union(large.join(centres, "key").select(F.col("digest").alias("a"), "b"))
+
+
 def _decided(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, row_key, n_shingles, digest, least, own): least is the first row of the component, own this row."""
     base = shared.identified(docs)
@@ -231,15 +280,7 @@ def _decided(docs: DataFrame, percent: int) -> DataFrame:
         F.min(own).alias("least"), F.first("signature").alias("signature"),
         F.first("n_shingles").alias("n_shingles")), "classes")
 
-    keys = shared.saved(classes.select("digest", "signature").mapInArrow(
-        _keys, "digest binary, order int, key long"), "keys")
-    regions = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = keys.join(regions, "key").join(classes.select("digest", "signature"), "digest")
-    deep = members.select("key", "order", "members", "signature", "digest").mapInArrow(
-        _deepen, "key long, ranked binary, digest binary")
-    stars = deep.repartition("key").sortWithinPartitions("key", "ranked", "digest").mapInArrow(
-        _stars, "a binary, b binary")
-    families = shared.saved(shared.components(stars, "families").join(
+    families = shared.saved(shared.components(_stars_of(classes), "families").join(
         classes.select(F.col("digest").alias("node"), "least.row_key", "n_shingles"), "node"), "families")
 
     blocks = families.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))

@@ -97,6 +97,43 @@ def test_near_duplicates_of_a_large_group(spark):
     assert sorted(got) == sorted(near_brute(rows))
 
 
+@pytest.mark.parametrize("large", [4, 12, 100_000])
+def test_regions_of_shared_boilerplate_lose_no_links(spark, monkeypatch, large):
+    """Texts that share a third of their words, with pairs and triples among them: every depth gives the same links."""
+    common, rows = prose(120, 3), []
+    for i in range(220):
+        words = (common + " " + prose(200, 9000 + i)).split()
+        for j in range(1 + (i % 4 == 0) + (i % 8 == 0)):
+            other = words[:]
+            for k in range(j + i % 3 if j else 0):  # each takes five of 316 shingles
+                other[130 + 50 * k] = f"changed{j}"
+            rows.append((len(rows), " ".join(other)))
+    monkeypatch.setattr(near_dups, "LARGE", large)
+    got = [tuple(r) for r in near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = near_brute(rows)
+    assert sorted(got) == sorted(want) and 60 < sum(not r[3] for r in want)
+
+
+def test_regions_that_no_depth_splits_are_whole_families(spark, monkeypatch):
+    base, rows = prose(400, 1).split(), []
+    for i in range(150):
+        other = base[:]
+        other[i] = f"changed{i}"
+        rows.append((i, " ".join(other)))
+    monkeypatch.setattr(near_dups, "LARGE", 3)
+    monkeypatch.setattr(near_dups, "BLOCK", 20_000)
+    got = [tuple(r) for r in near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(near_brute(rows)) and sum(r[3] for r in got) == 1
+
+
+def test_branches_of_an_order_have_places_of_their_own():
+    b = range(near_dups.BRANCHES)
+    for order in range(near_dups.ORDERS):
+        paths = [(), *[(i,) for i in b], *[(i, j) for i in b for j in b]]
+        places = [x for p in paths for x in near_dups._places(order, p).tolist()]
+        assert len(places) == len(set(places)) == near_dups.DEPTH * len(paths)
+
+
 def test_near_duplicates_in_several_blocks(spark, monkeypatch):
     """Families above a block are compared block by block."""
     rows = [(i, prose(150, i % 5) + f" t{i}") for i in range(60)]
