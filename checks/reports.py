@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from checks.base import (FLAG, USER, fingerprint, inlist, issue_key, norm_play, q, query, stamp)
 from checks.tables import slim
 from echoloom import schemas as S
-from echoloom.operators import (explore, incremental as I, issues, quality as Q, submissions as U)
+from echoloom.operators import (explore, incremental as I, issues, ordered, quality as Q, submissions as U)
+from echoloom.session import scratch
 from echoloom.sources import exports as X, samples as Z
 
 
@@ -208,6 +209,22 @@ def page_of_messages(spark, sf):
     return explore.page(Z.grouped(spark, sf), 3).select("source", "feedback_id", "timestamp")
 
 
+@query("page_by_index", f"""SELECT source, feedback_id, {stamp()} FROM grouped
+  ORDER BY "timestamp" DESC, source, feedback_id LIMIT 25 OFFSET (SELECT (count(*) - 1) // 25 * 25 FROM grouped)""")
+def page_by_index(spark, sf):
+    """The last page, by its position in stored order."""
+    rows = Z.grouped(spark, sf)
+    stored = ordered.Ordered.write(rows, ordered.newest_first(), scratch(spark, "pages"), per_range=1000)
+    return stored.page(1 << 40).select("source", "feedback_id", "timestamp")
+
+
+@query("evidence_in_order", f"""SELECT issue_cat, issue_type, source, feedback_id, rank AS position FROM ({NEWEST})""")
+def evidence_in_order(spark, sf):
+    """All evidence with its position in its issue."""
+    stored = issues.ordered_evidence(Z.grouped(spark, sf), scratch(spark, "evidence"), per_range=1000)
+    return stored.positions(within=issues.ISSUE).select(*issues.ISSUE, "source", "feedback_id", "position")
+
+
 @query("page_after", f"""SELECT source, feedback_id, {stamp()} FROM grouped
   ORDER BY "timestamp" DESC, source, feedback_id LIMIT 25 OFFSET 75""")
 def page_after(spark, sf):

@@ -6,6 +6,7 @@ from echoloom import schemas as S
 from echoloom.functions import labels
 from echoloom.functions.identity import issue_key, reporter_struct
 from echoloom.functions.text import web_trim
+from echoloom.operators import ordered
 
 ISSUE = ["issue_cat", "issue_type"]
 NEWEST = 100        # messages an issue shows inline in the summary
@@ -175,6 +176,14 @@ def issue_examples(rows: DataFrame, per_row: int = CHUNK, within=()) -> DataFram
                     F.col("_x.e").alias("example_messages"), *within))
 
 
+def ordered_evidence(rows: DataFrame, path: str, per_range: int = ordered.RANGE) -> ordered.Ordered:
+    """Every active message in the order of its issue, newest first, stored below `path`.
+
+    `positions(within=ISSUE)` numbers the messages of each issue without a window or one value per issue.
+    """
+    return ordered.Ordered.write(active(rows), [F.col(c).asc() for c in ISSUE] + ordered.newest_first(), path, per_range)
+
+
 def issue_groups(rows: DataFrame) -> DataFrame:
     """The read side's issue list: messages, reporters, repeat reporters, messages to review."""
     name = F.col("issue_type")

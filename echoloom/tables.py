@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from echoloom import schemas as S
 from echoloom.operators.incremental import one_answer
+from echoloom.operators.ordered import RANGE, Ordered, newest_first
 
 LOG = ("version BIGINT, run_id STRING, parent BIGINT, folders MAP<STRING, ARRAY<STRING>>, "
        "stats MAP<STRING, ARRAY<STRUCT<rows: BIGINT, review: BIGINT, active: BIGINT>>>, published_at TIMESTAMP")
@@ -139,6 +140,20 @@ class Store:
             return self.spark.createDataFrame([], S.PUBLISHED[name])
         return self.spark.read.schema(S.PUBLISHED[name]).parquet(*there)
 
+    def pages(self, version=None, name="feedback_with_issue_type", per_range: int = RANGE) -> Ordered:
+        """A version's rows, newest first, by page: ordered once per version, when first asked for. Of two builds at
+        once both are whole, and later readers share one."""
+        entry = self.entry(version)
+        path = f"{self.root}/pages/{name}/v={entry['version']}"
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        builds = sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
+        for build in builds:
+            done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{build}/counts/_SUCCESS")
+            if files.exists(done):
+                return Ordered(self.spark, f"{path}/{build}", S.PUBLISHED[name])
+        return Ordered.write(self.read(name, entry), newest_first(), f"{path}/build={uuid.uuid4().hex}", per_range)
+
     def in_buckets(self, entry) -> bool:
         """Whether all tables of a version are cut into this store's buckets, with counts."""
         return all(len(entry["folders"].get(n) or []) == self.buckets for n in (*S.BY_KEY, *S.BY_USER)) and all(

@@ -9,7 +9,7 @@ from checks.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
 FAST = ["scan_csv_export", "normalize_in_app", "mask_contacts", "classify_feedback", "issue_type_rules", "record_diff", "issue_summary",
-        "issue_examples", "issue_groups", "weekly_sentiment", "dedupe_by_key", "hourly_submission_count", "rate_limit",
+        "issue_examples", "issue_groups", "page_by_index", "evidence_in_order", "weekly_sentiment", "dedupe_by_key", "hourly_submission_count", "rate_limit",
         "submission_idempotency", "validate_submissions", "decision_upsert", "publish_result", "stream_dedup"]
 
 
