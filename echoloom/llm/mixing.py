@@ -3,7 +3,9 @@
 Every document gets a rate, the tilt exp(lambda * x) of its source capped at 2, where x is its size over the source's
 mean size: the rates closest to 1 in relative entropy whose expected words meet the source's target. The dual has one
 multiplier per source; its Newton steps run for all sources at once on (source, size) counts, each step one
-aggregation, kept inside a bracket that every step narrows.
+aggregation, kept inside a bracket that every step narrows. A source that has not converged after `NEWTON` steps is
+bisected until it has, or until no number lies between the ends of its bracket. An end that is not known yet is infinite
+and found by doubling.
 
 Rates become copies by systematic rounding: within a source, sizes in descending order, the running sum of rates is
 rounded, and a document's copies are what the rounded sum grows by. Neighbours have like sizes, so a source's words
@@ -13,6 +15,8 @@ Equal sizes are ranked in `SALTS` groups by a hash of doc_id.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from echoloom.llm import shared
@@ -21,7 +25,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SALTS = 1024
-STEPS = 40
+NEWTON = 40
 TOLERANCE = 1e-9
 SIZE = r"size(filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> ''))"
 
@@ -53,10 +57,10 @@ def _solve(cells: DataFrame, sources: DataFrame, most: float) -> DataFrame:
     state = shared.saved(sources.select(
         "place", "target", (F.col("total") / F.col("n")).alias("mean"),
         (F.col("target") >= most * F.col("total") * (1 - 1e-12)).alias("full"),
-        F.when(F.col("target") >= F.col("total"), 0.0).otherwise(-1e6).alias("lo"),
-        F.when(F.col("target") >= F.col("total"), 1e6).otherwise(0.0).alias("hi"),
+        F.when(F.col("target") >= F.col("total"), 0.0).otherwise(float("-inf")).alias("lo"),
+        F.when(F.col("target") >= F.col("total"), float("inf")).otherwise(0.0).alias("hi"),
         F.lit(0.0).alias("lam")).where("total > 0"), "mix-state")
-    for _ in range(STEPS):
+    for done_steps in itertools.count():
         rate = F.least(F.exp(F.least(F.col("lam") * F.col("x"), F.lit(50.0))), F.lit(float(most)))
         moments = (cells.join(state.where("NOT full").select("place", "lam", "mean"), "place")
                    .withColumn("x", F.col("size") / F.col("mean")).withColumn("rate", rate)
@@ -69,11 +73,14 @@ def _solve(cells: DataFrame, sources: DataFrame, most: float) -> DataFrame:
         step = (step.withColumn("hi", F.when(over > 0, F.col("lam")).otherwise(F.col("hi")))
                 .withColumn("lo", F.when(over < 0, F.col("lam")).otherwise(F.col("lo")))
                 .withColumn("newton", F.col("lam") - F.try_divide(over, F.col("slope")))
-                .withColumn("middle", F.when(F.col("hi") >= 1e6, F.col("lo") * 2 + 1)
-                            .when(F.col("lo") <= -1e6, F.col("hi") * 2 - 1).otherwise((F.col("lo") + F.col("hi")) / 2))
-                .withColumn("done", F.coalesce(F.abs(over) <= TOLERANCE * F.col("target"), F.lit(True)))
+                .withColumn("middle", F.when(F.col("hi") == float("inf"), F.col("lo") * 2 + 1)
+                            .when(F.col("lo") == float("-inf"), F.col("hi") * 2 - 1).otherwise((F.col("lo") + F.col("hi")) / 2))
+                .withColumn("narrow", (F.col("middle") <= F.col("lo")) | (F.col("middle") >= F.col("hi")))
+                .withColumn("done", F.coalesce(F.abs(over) <= TOLERANCE * F.col("target"), F.lit(True))
+                            | F.col("narrow"))
                 .withColumn("lam", F.when(F.col("done"), F.col("lam"))
-                            .when((F.col("newton") > F.col("lo")) & (F.col("newton") < F.col("hi")), F.col("newton"))
+                            .when((F.col("newton") > F.col("lo")) & (F.col("newton") < F.col("hi")) & F.lit(done_steps < NEWTON),
+                                  F.col("newton"))
                             .otherwise(F.col("middle"))))
         step = shared.saved(step.select(*state.columns, "done"), "mix-step")
         state = step.drop("done")
