@@ -14,7 +14,7 @@ from echoloom.plans.submissions import submission_refresh
 from echoloom.session import scratch
 from echoloom.sources import exports as X, samples as Z
 from echoloom.streaming.submissions import stream_dedup, stream_rate_limit, stream_refresh
-from echoloom.streaming.trends import stream_weekly
+from echoloom.streaming.trends import stream_weeks
 
 # The load holds every review once per order line; orders without lines are not in it.
 CTES.update({
@@ -231,10 +231,17 @@ def stream_rate_limit_query(spark, sf):
 
 
 @query("stream_weekly_sentiment", f"""SELECT CAST(CAST(date_trunc('week', "timestamp") AS DATE) AS VARCHAR) AS week,
-  {WEEKS} FROM ({labelled('(' + masked_rows('sub_rows') + ')')}) GROUP BY date_trunc('week', "timestamp")
-  HAVING date_trunc('week', "timestamp") + INTERVAL 21 DAY <= (SELECT max("timestamp") FROM sub_rows)""")
+  {WEEKS} FROM ({labelled('(' + masked_rows('sub_rows') + ')')}) GROUP BY 1""")
 def stream_weekly_query(spark, sf):
-    """Weekly sentiment of the submission stream: the weeks that are closed, two weeks behind the newest message."""
+    """Weekly sentiment of the submission stream, all weeks, in complete mode."""
     from echoloom.functions.text import mask
     rows = Z.label(mask(X.read_submissions(Z.submissions_from(Z.stream(spark, sf, "events", "ts")))))
-    return _appended(spark, stream_weekly(rows))
+    path = scratch(spark, "weekly")
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(path)     # a row per week
+
+    weeks = stream_weeks(rows)
+    _drain(weeks.writeStream.outputMode("complete").foreachBatch(keep)
+           .option("checkpointLocation", scratch(spark, "ckpt")).trigger(availableNow=True).start())
+    return spark.read.schema(weeks.schema).parquet(path)

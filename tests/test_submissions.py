@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from echoloom.operators import submissions as U
 from echoloom.session import scratch
 from echoloom.streaming.submissions import stream_dedup, stream_rate_limit
-from echoloom.streaming.trends import stream_weekly
+from echoloom.streaming.trends import stream_weekly, stream_weeks
 
 T0 = dt.datetime(2026, 1, 1, 7)
 
@@ -168,6 +168,17 @@ def test_stream_weeks_close_once(spark):
     assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress[2]) == 1
 
 
+def test_stream_weeks_leaves_no_message_out(spark):
+    """Open weeks, late messages and those without a time."""
+    at = lambda n: T0 + dt.timedelta(days=n)
+    out, last = scratch(spark, "all-weeks"), []
+    batches = [[("negative", at(0)), ("positive", None)], [("mixed", at(30))], [("mixed", at(1)), ("mixed", at(60))]]
+    feed(spark, "sentiment string, timestamp timestamp", batches, lambda s: stream_weeks(s).writeStream.outputMode("complete").foreachBatch(
+        lambda b, i: last.append(b.collect())).option("checkpointLocation", f"{out}-ckpt").trigger(availableNow=True).start())
+    got = {str(r.week): (r.positive, r.negative, r.mixed) for r in last[-1]}
+    assert got == {"None": (1, 0, 0), "2025-12-29": (0, 1, 1), "2026-01-26": (0, 0, 1), "2026-03-02": (0, 0, 1)}
+
+
 def test_receipts_complete_submissions_once(spark):
     subs = spark.createDataFrame([("1", None, None, "busy"), ("2", '{"a":1}', T0, None), ("3", None, None, "x")],
                                  "id string, result string, completed_at timestamp, dispatch_error string")
