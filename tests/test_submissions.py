@@ -179,6 +179,16 @@ def test_stream_weeks_leaves_no_message_out(spark):
     assert got == {"None": (1, 0, 0), "2025-12-29": (0, 1, 1), "2026-01-26": (0, 0, 1), "2026-03-02": (0, 0, 1)}
 
 
+def test_hourly_count_is_one_running_sum(spark):
+    """A frame that slides by time adds up all of a window anew for every row."""
+    rows = [(str(i), "a", T0 + dt.timedelta(seconds=i % 50)) for i in range(100)] + [("x", "a", None), ("y", None, T0), ("z", None, T0)]
+    counted = U.hourly_count(frame(spark, rows))
+    text = counted._jdf.queryExecution().executedPlan().toString().lower()
+    assert "rowframe" in text and "rangeframe" not in text
+    got = {(r.created_by, r.created_at): (r.submissions, r.earlier) for r in counted.collect()}
+    assert got == {("a", T0 + dt.timedelta(seconds=i)): (2, 2 * i) for i in range(50)} | {(None, T0): (2, 0)}
+
+
 def test_receipts_complete_submissions_once(spark):
     subs = spark.createDataFrame([("1", None, None, "busy"), ("2", '{"a":1}', T0, None), ("3", None, None, "x")],
                                  "id string, result string, completed_at timestamp, dispatch_error string")
