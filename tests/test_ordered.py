@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from echoloom import schemas as S
-from echoloom.operators import issues
+from echoloom.operators import issues, ordered
 from echoloom.operators.ordered import Ordered, newest_first
 from echoloom.tables import Store
 
@@ -54,6 +54,14 @@ def test_positions_within_issues(spark, rows, tmp_path):
         (*k, i): f for k, ids in want.items() for i, f in enumerate(ids, 1)}
 
 
+def test_ranges_stay_as_many_on_larger_tables(spark, rows, tmp_path, monkeypatch):
+    """The borders of the ranges are chosen from a sample in one place, so much for each."""
+    monkeypatch.setattr(ordered, "MOST", 6)
+    stored = Ordered.write(rows, newest_first(), str(tmp_path / "o"), 10)
+    assert 1 < stored.counts().count() <= 6 and stored.total() == 1000
+    assert stored.slice(490, 30).collect() == sorted(rows.collect(), key=key)[490:520]
+
+
 def test_empty_tables(spark, rows, tmp_path):
     stored = Ordered.write(rows.limit(0), newest_first(), str(tmp_path / "o"))
     assert stored.total() == 0 and stored.page(3).collect() == [] and stored.positions().collect() == []
