@@ -85,7 +85,7 @@ def gate_unique_keys(spark, sf):
   CAST(0 AS BIGINT) AS after_masking FROM corpus""")
 def gate_privacy(spark, sf):
     """Violations in the raw rows and in the stored, masked rows (none)."""
-    raw = Z.corpus(spark, sf).withColumn("masked", F.lit(False))
+    raw = Z.spread(Z.corpus(spark, sf)).withColumn("masked", F.lit(False))
     both = raw.unionByName(Z.stored(spark, sf).withColumn("masked", F.lit(True)))
     return both.agg(F.count(F.when(~F.col("masked"), 1)).alias("checked_rows"),
                     F.count(F.when(~F.col("masked") & G.contact_left(), 1)).alias("before_masking"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from echoloom import schemas as S
 from echoloom.operators import explore, incremental as I, issues, quality as Q
 from echoloom.operators.explore import Filter
+from echoloom.sources import samples as Z
 
 
 @pytest.fixture
@@ -63,3 +64,9 @@ def test_totals_read_only_their_columns(rows):
 
 def test_pages_use_a_bounded_sort(rows):
     assert "TakeOrderedAndProject" in plan(explore.order_evidence(rows).offset(50).limit(25))
+
+
+def test_samples_spread_by_key_and_join_names_first(spark, feedback, tmp_path):
+    """Spreading sorts nothing; order lines meet reviews that have their names."""
+    text = plan(Z.spread(feedback()))
+    assert "hashpartitioning(source" in text and "roundrobin" not in text.lower()
