@@ -7,7 +7,7 @@ from echoloom import schemas as S
 from echoloom.operators import issues
 from echoloom.plans.refresh import Refresh
 from echoloom.session import scratch
-from echoloom.tables import Store
+from echoloom.tables import CLEAN_UP, Store
 
 TEXTS = ["Payment failed", "Delivery was late", "Please add dark mode", "Great service", "The order is wrong"]
 
@@ -91,3 +91,20 @@ def test_other_number_of_buckets(spark, wide, feedback):
     assert all(len(other.head()["folders"][name]) == 3 for name in S.BY_KEY)
     assert other.read("feedback_clean").count() == 30
     check(other)
+
+
+def test_buckets_are_written_as_rows_come(spark, wide, feedback):
+    """No shuffle of its own: two tasks that hold every bucket write two files for each."""
+    rows = feedback(*load(400)).repartition(2)
+    wide.save_buckets(rows, f"{wide.root}/cut", F.col("rating").isNull().cast("int") + F.length("user_id") % 2)
+    files = spark.read.parquet(f"{wide.root}/cut").groupBy("bucket", F.input_file_name().alias("f")).count()
+    assert {r.bucket: r.n for r in files.groupBy("bucket").agg(F.count("*").alias("n")).collect()} == {1: 2}
+    assert spark.read.parquet(f"{wide.root}/cut").count() == 400
+
+
+def test_stages_leave_no_shuffle_files(spark, wide, feedback):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in kept.getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+    before, setting = files(), spark.conf.get(CLEAN_UP)
+    wide.save_stage(feedback(*load(50)).groupBy("user_id").count(), "1", "n")
+    assert not files() - before and spark.conf.get(CLEAN_UP) == setting

@@ -70,3 +70,11 @@ def test_samples_spread_by_key_and_join_names_first(spark, feedback, tmp_path):
     """Spreading sorts nothing; order lines meet reviews that have their names."""
     text = plan(Z.spread(feedback()))
     assert "hashpartitioning(source" in text and "roundrobin" not in text.lower()
+    spark.sql("select 1L o_orderkey, 7L o_custkey, 'F' o_orderstatus, '3-X' o_orderpriority, timestamp'2026-01-01' o_orderdate"
+              " union all select 2L, 7L, 'F', '1-X', timestamp'2026-01-02'").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("select 7L c_custkey, 'n' c_name, 3 c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("select explode(array(1L, 1L, 2L, 9L)) l_orderkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = Z.google_play_reexported(spark, str(tmp_path))
+    assert sorted(r.reviewId for r in rows.collect()) == ["1", "1", "2"]
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert "o_orderkey" in joins[0] and "o_custkey" in joins[1]
