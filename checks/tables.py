@@ -36,7 +36,8 @@ def published(spark, sf):
         rows = Z.previous_grouped(spark, sf)
         whole = store.write_version("feedback_with_issue_type", rows, "previous")
         folders = {"issue_summary": store.write_version("issue_summary", issues.issue_summary(rows, issues.NEWEST), "previous"),
-                   "issue_evidence": store.write_version("issue_evidence", issues.issue_examples(rows), "previous"),
+                   "issue_evidence": store.write_version("issue_evidence", issues.issue_examples(
+                       rows, keep=lambda p: store.save_stage(p, "previous", "large_days")), "previous"),
                    **dict.fromkeys(("feedback_clean", "feedback_analyzed", "feedback_with_issue_type"), whole)}
         store.commit("previous", 0, store.head()["folders"] | folders)
         _published[key] = store

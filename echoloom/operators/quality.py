@@ -4,9 +4,10 @@ from typing import Protocol
 
 import pandas as pd
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from echoloom.operators.issues import SALTS
+from echoloom import schemas as S
+from echoloom.operators.issues import first_per_group
 
 STRATUM = ["category", "uncertain_classification"]
 
@@ -16,18 +17,14 @@ def _app_first() -> Column:
 
 
 def sample_rank(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows per (category, flagged): app submissions first, then by key hash.
-
-    Ranked per salt first, so a stratum with a third of all rows is not sorted in one task.
-    """
-    keyed = df.withColumns({"_app": _app_first(),
-                            "_hash": F.sha2(F.concat("source", F.lit("|"), "feedback_id"), 256)})
-    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64("_hash"), F.lit(SALTS)))
-    local = F.row_number().over(W.partitionBy(*STRATUM, "_salt").orderBy("_app", "_hash"))
-    few = salted.withColumn("sample_rank", local).where(F.col("sample_rank") <= n)
-    rank = F.row_number().over(W.partitionBy(*STRATUM).orderBy("_app", "_hash"))
-    return few.withColumn("sample_rank", rank).where(F.col("sample_rank") <= n) \
-        .drop("_app", "_hash", "_salt")
+    """The first n rows per (category, flagged): app submissions first, then by key hash."""
+    key_hash = F.sha2(F.concat("source", F.lit("|"), "feedback_id"), 256)
+    return first_per_group(df, STRATUM, [_app_first(), key_hash], n, "sample_rank")
+
+
+def texts_now(current: DataFrame, sample: DataFrame) -> DataFrame:
+    """Today's texts of the sampled messages. The sample has a known bound, so the texts of all others stay where they are."""
+    return current.join(sample.select(*S.KEYS), S.KEYS, "left_semi").select(*S.KEYS, F.col("message_text").alias("_now"))
 
 
 def quality_sample(df: DataFrame, n: int = 20) -> DataFrame:

@@ -13,6 +13,6 @@ def evaluate(store: Store, version: int, current: DataFrame, make_judge=None, n:
     Saved labels are judged, never replaced. A message that `current` lacks is judged by its saved text.
     """
     sample = Q.quality_sample(store.read("feedback_with_issue_type", version), n)
-    now = current.select(*S.KEYS, F.col("message_text").alias("_now"))
+    now = Q.texts_now(current, sample)
     judged = sample.join(now, S.KEYS, "left").withColumn("message_text", F.coalesce("_now", "message_text")).drop("_now")
     return Q.pass_rates(Q.judge_batches(judged, make_judge or Q.model_judge(ai.keyword_model())))

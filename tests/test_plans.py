@@ -51,6 +51,36 @@ def test_ranks_are_limited_before_the_shuffle(rows):
     assert "WindowGroupLimit" in plan(Q.sample_rank(rows, 20))
 
 
+def test_whole_rows_are_neither_sorted_nor_shuffled_to_find_the_first(rows):
+    """Places are found on the order's columns; texts meet them in a broadcast join."""
+    for df in [issues.top_messages(rows, 5), Q.sample_rank(rows, 20)]:
+        text = plan(df)
+        assert "BroadcastHashJoin LeftSemi" in text
+        wide = text[text.index("BroadcastHashJoin LeftSemi"):].split("BroadcastExchange")[0]
+        assert "Scan parquet" in wide and "Exchange" not in wide and "Sort" not in wide
+    small = Q.quality_sample(rows, 20)
+    assert "BroadcastHashJoin LeftSemi" in plan(Q.texts_now(rows, small))
+
+
+def test_first_per_group_keeps_ties_nulls_and_late_times(feedback):
+    rows = feedback(*[("s", k, "u", "t", 1, f"2026-01-01 00:00:0{i}") for i, k in enumerate("abc")],
+                    ("s", "c", "u", "again", 1, "2026-01-01 00:00:02")) \
+        .withColumns({"timestamp": F.when(F.col("feedback_id") != "b", F.col("timestamp")), "issue_cat": F.lit(None).cast("string"),
+                      "issue_type": F.lit("x")})
+    got = lambda n: [(r["feedback_id"], r["rank"]) for r in issues.top_messages(rows, n).orderBy("rank").collect()]
+    assert got(2) == [("c", 1), ("c", 2)] and got(3)[2] == ("a", 3) and got(9)[3] == ("b", 4)
+    assert got(1) == [("c", 1)]
+
+
+def test_evidence_joins_only_large_days(feedback):
+    rows = feedback(*[("s", str(i), "u", "t", 1, f"2026-01-0{1 + i // 3} 00:00:00") for i in range(4)]) \
+        .withColumns({"issue_cat": F.lit(None).cast("string"), "issue_type": F.lit("x"), "confidence_score": F.lit(0.5), "sentiment": F.lit("mixed")})
+    seen = []
+    chunks = issues.issue_examples(rows, per_row=2, keep=lambda p: seen.append(p) or p).collect()
+    assert seen[0].count() == 1     # the first day has two parts, the second day one and no row to join
+    assert sorted((r["day"].day, r["parts"]) for r in chunks)[-1] == (2, 1) and sum(r["messages"] for r in chunks) == 4
+
+
 def test_day_and_source_filters_reach_the_scan(rows):
     df = explore.filter_feedback(rows, Filter(start="2026-01-01", end="2026-01-31", source="support"))
     pushed = next(line for line in plan(df.select("feedback_id")).splitlines() if "PushedFilters" in line)
