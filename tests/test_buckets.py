@@ -108,3 +108,33 @@ def test_stages_leave_no_shuffle_files(spark, wide, feedback):
     before, setting = files(), spark.conf.get(CLEAN_UP)
     wide.save_stage(feedback(*load(50)).groupBy("user_id").count(), "1", "n")
     assert not files() - before and spark.conf.get(CLEAN_UP) == setting
+
+
+def test_keyed_stages_meet_without_a_shuffle(spark, wide, feedback):
+    """Rows are dealt by key once a run: joins and gates of the later steps find them where they lie."""
+    from echoloom.operators import gates as G, incremental as I
+    run = Refresh(wide, "1")
+    run.run(feedback(*load(60)))
+    again = Refresh(wide, "2")
+    again.step("prepare", feedback(*load(20, 0, 1)))
+    prepared, prior = again.stage("prepared").drop("_status", "bucket"), again.baseline("feedback_analyzed")
+    old = again.baseline("feedback_with_issue_type")
+    for df in [I.pending(prepared, prior), I.reuse_labels(prepared, prior), I.with_saved_group(run.stage("analyzed"), old),
+               I.record_diff(run.stage("grouped").select(*S.GROUPED.names), old, S.GROUPED.names), G.duplicate_keys(prepared),
+               I.attach(run.stage("pending"), run.stage("new_answers"))]:
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    again.step("analyze")
+    again.step("group")
+    again.step("publish")
+    check(wide)
+
+
+def test_versions_laid_out_before_are_cut_anew(wide, feedback):
+    """A version of this many folders whose log names no layout: every bucket is read and written again."""
+    Refresh(wide, "1").run(feedback(*load(30)))
+    head = wide.head()
+    wide.commit("older", 1, head["folders"], {n: [c.asDict() for c in cs] for n, cs in head["stats"].items()})
+    Refresh(wide, "2").run(feedback(load(31)[30]))
+    assert all(a != b for a, b in zip(wide.entry(2)["folders"]["feedback_clean"], wide.head()["folders"]["feedback_clean"]) if a and b)
+    assert wide.read("feedback_clean").count() == 31
+    check(wide)
