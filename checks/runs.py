@@ -184,6 +184,9 @@ def ai_audit_log(spark, sf):
 
 # --- streams ---------------------------------------------------------------------------
 
+PER_BATCH = 1_500_000   # posts of a micro-batch, which are in the state at once
+
+
 def _drain(stream):
     stream.awaitTermination()
 
@@ -208,7 +211,7 @@ def stream_refresh_query(spark, sf):
   HAVING max(created_at) + INTERVAL 8 DAY <= (SELECT max(created_at) FROM attempts)""")
 def stream_dedup_query(spark, sf):
     """The IDs that closed by the end of the stream: none for seven days before the watermark, a day behind."""
-    return _appended(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem", "l_shipdate"))))
+    return _appended(spark, stream_dedup(Z.attempts_from(Z.stream(spark, sf, "lineitem", "l_shipdate", per_batch=PER_BATCH))))
 
 
 def _appended(spark, closed):

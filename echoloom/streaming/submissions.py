@@ -30,13 +30,16 @@ def stream_dedup(attempts: DataFrame, keep: str = "7 days", delay: str = "1 day"
     (append mode) and leaves the state. A post of a closed ID is a new submission. Attempts
     older than the newest of all by more than `delay` are late: Spark leaves them out and
     counts them in the query's progress (`numRowsDroppedByWatermark`).
+
+    The state holds the IDs that are open and those of a batch, so a batch of bounded size keeps it bounded; hashes are
+    kept as bytes there, which order as their digits do.
     """
-    posted = attempts.withWatermark("created_at", delay).select("id", "created_at", payload_hash().alias("payload"))
+    posted = attempts.withWatermark("created_at", delay).select("id", "created_at", F.unhex(payload_hash()).alias("payload"))
     return posted.groupBy(F.session_window("created_at", keep), "id").agg(
         F.min(F.struct("created_at", "payload")).alias("kept"), F.count("*").alias("attempts"),
         (F.min("payload") != F.max("payload")).alias("conflict")) \
         .select("id", F.col("kept.created_at").alias("accepted_at"),
-                F.col("kept.payload").alias("payload"), "attempts", "conflict")
+                F.lower(F.hex("kept.payload")).alias("payload"), "attempts", "conflict")
 
 
 def stream_rate_limit(subs: DataFrame, store_path: str, checkpoint: str, limit: int = 10,

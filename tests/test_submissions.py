@@ -200,3 +200,21 @@ def test_receipts_complete_submissions_once(spark):
     assert got["1"].result == '{"b":2}' and got["1"].completed_at == T0 + dt.timedelta(days=1)
     assert got["1"].dispatch_error is None and got["2"].result == '{"a":1}' and got["2"].completed_at == T0
     assert got["3"].result is None and got["3"].dispatch_error == "x"
+
+
+def test_a_stream_is_cut_into_batches_of_bounded_size(spark):
+    """However many posts there are, the state holds those of a batch; results stay those of all posts."""
+    from echoloom.sources import samples as Z
+    folder, out = scratch(spark, "posts"), scratch(spark, "bounded")
+    rows = [(str(i), "a", f"m{i}", 1, T0 + dt.timedelta(days=i)) for i in range(600)] + [("7", "a", "other", 1, T0 + dt.timedelta(days=9))]
+    schema = "id string, created_by string, message string, rating int, created_at timestamp"
+    spark.createDataFrame([*rows, ("no time", "a", "m", 1, None)], schema).write.parquet(f"{folder}/posts.parquet")
+    stream = Z.stream(spark, folder, "posts", "created_at", per_batch=60)
+    query = appended(stream_dedup(stream), out)
+    query.awaitTermination()
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(batches) >= 10 and sum(p["numInputRows"] for p in batches) == len(rows) + 1
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) < 200      # 400 and more in three batches
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress) == 0
+    got = {r.id: (r.accepted_at, r.attempts, r.conflict, len(r.payload)) for r in spark.read.parquet(out).collect()}
+    assert got == {str(i): (T0 + dt.timedelta(days=i), 1 + (i == 7), i == 7, 64) for i in range(592)}
