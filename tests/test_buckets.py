@@ -138,3 +138,27 @@ def test_versions_laid_out_before_are_cut_anew(wide, feedback):
     assert all(a != b for a, b in zip(wide.entry(2)["folders"]["feedback_clean"], wide.head()["folders"]["feedback_clean"]) if a and b)
     assert wide.read("feedback_clean").count() == 31
     check(wide)
+
+
+def test_a_load_is_shuffled_once(spark, wide, feedback):
+    """The load is laid into parts as it comes out of its dedup: a part then has a file per task, and is read as one."""
+    rows = feedback(*load(200)).repartition(3)
+    plain = Refresh._loaded(rows)
+    written = wide.few_tasks(plain)._jdf.queryExecution().executedPlan().toString()
+    assert written.count("Exchange hashpartitioning") == plain._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    run = Refresh(wide, "1")
+    run.step("prepare", rows)
+    assert run.stage("incoming").count() == 200
+    by_key = wide.stage("1", "incoming", S.CLEAN, S.KEYS).groupBy(*S.KEYS).count()
+    assert "Exchange hashpartitioning" not in by_key._jdf.queryExecution().executedPlan().toString()
+    assert by_key.where("count = 1").count() == 200
+
+
+def test_a_write_begins_with_many_pieces(spark, wide):
+    """A session's few shuffle partitions do not make the pieces of a large load: Spark only joins small ones."""
+    from echoloom.tables import LEAST_PIECES, PIECES, shuffles_dropped
+    assert spark.conf.get(PIECES, None) is None
+    with shuffles_dropped(spark):
+        assert int(spark.conf.get(PIECES)) == LEAST_PIECES
+        spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()
+    assert spark.conf.get(PIECES, None) is None
