@@ -1,5 +1,7 @@
 """Publication of changed buckets only, and the summary from stored parts."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +164,19 @@ def test_a_write_begins_with_many_pieces(spark, wide):
         assert int(spark.conf.get(PIECES)) == LEAST_PIECES
         spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()
     assert spark.conf.get(PIECES, None) is None
+
+
+def test_laid_rows_are_compared_as_their_hashes(spark):
+    """`record_diff` over rows that lie in parts compares the rows, and finds what their hashes find."""
+    from echoloom.operators import incremental as I
+    schema = "source string, feedback_id string, score double, timestamp timestamp, message_text string"
+    at = lambda s: dt.datetime.fromisoformat(f"2026-01-01T00:00:{s}")
+    old = [("a", "1", 0.0, at("00.001400"), "x"), ("a", "2", float("nan"), None, None), ("a", "3", 0.5, at("01"), "y"), ("a", "4", 0.1, at("02"), "z"),
+           ("a", "6", None, at("00.001"), "null")]
+    new = [("a", "1", -0.0, at("00.001900"), "x"), ("a", "2", float("nan"), None, None), ("a", "3", 0.5, at("01.002"), "y"), ("a", "5", 0.1, at("02"), "z"),
+           ("a", "6", None, at("00.001"), None)]
+    left, right = (spark.createDataFrame(r, schema) for r in (new, old))
+    found = [{tuple(r) for r in I.record_diff(left, right, left.columns, laid).collect()} for laid in (False, True)]
+    assert found[0] == found[1] == {("a", "1", "changed"), ("a", "3", "changed"), ("a", "4", "removed"), ("a", "5", "added"), ("a", "6", "changed")}
+    text = I.record_diff(left, right, left.columns, True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in text and "to_json" not in text.lower()

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -50,3 +51,19 @@ def test_lower_case_and_trim(spark):
     row = spark.range(1).select(ascii_lower(F.lit("AKÉİz")).alias("a"), ascii_lower(F.lit("AbÉ")).alias("b"),
                                 web_trim(F.lit(" \t x ﻿")).alias("c")).first()
     assert row.a == "aKÉİz" and row.b.startswith("ab") and row.c == "x"
+
+
+def test_guards_pass_every_number(spark):
+    """Whatever the patterns of phone numbers find passes their guard; texts without ten digits close together do not."""
+    gaps = ["", " ", "-", ".", ") ", " - ", "\t", "x", "[EMAIL]"]
+    texts = [f"Order 7 {a}07700{b}900{c}1905{d}" for a, b, c, d in itertools.product(["", "+1-", "(", "a@b.com"], gaps, gaps, ["", "6", " 12", "x@y.org 33"])]
+    texts += ["Order 123456789.", "4 5 6 7 8 9 0 1 2 3", "", "1" * 40, "12345 a@b.com 678901", None]
+    plain = lambda t: re.sub(R.INTL_PHONE, R.PHONE_TOKEN, re.sub(R.UK_PHONE, R.PHONE_TOKEN, re.sub(R.EMAIL, R.EMAIL_TOKEN, t)))
+    rows = spark.createDataFrame([(t, None, None) for t in texts], "message_text string, user_id string, metadata string")
+    rows = rows.withColumn("raw", F.col("message_text"))
+    got = mask(rows).select("raw", "message_text", has_contact(["raw"]).alias("found"), F.col("raw").rlike(R.TEN_DIGITS).alias("guard")).collect()
+    for r in got:
+        if r.raw is not None:
+            assert r.message_text == plain(r.raw), r.raw
+            assert r.found == bool(re.search(f"{R.EMAIL}|{R.UK_PHONE}|{R.INTL_PHONE}", r.raw)), r.raw
+    assert not next(r.guard for r in got if r.raw == "Order 123456789.")
